@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.vocabulary import vocabulary
 from gleanery.plans.curation import Feed
-from gleanery.sources.tables import read_table
+from gleanery.sources.tables import read_table, spread
 
 # Vocabulary of words, phrases and marks that occur in the texts.
 ALIASES = (
@@ -75,7 +75,7 @@ def aliases(spark: SparkSession) -> DataFrame:
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """All-text feed, one row per document."""
-    documents = read_table(spark, folder, "documents")
+    documents = spread(read_table(spark, folder, "documents"))
     labels = read_table(spark, folder, "labels")
     lang, source, toxic, quality = (F.col(c) for c in ("lang", "source", "toxic", "quality"))
 

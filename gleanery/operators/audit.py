@@ -41,9 +41,15 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(is_missing(c)).alias(f"missing_{c}") for c in columns])
 
 
-def row_digest(columns: Sequence[str]) -> Column:
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of all values; NULLs are equal to each other and to nothing else."""
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    def value(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        # Adding zero makes the two zeros of floating point one.
+        floating = df.schema[name].dataType.typeName() in ("double", "float")
+        return (column + F.lit(0.0) if floating else column).alias(name)
+
+    row = F.to_json(F.struct(*[value(c) for c in columns]), {"ignoreNullFields": "false"})
     return F.sha2(row, 256)
 
 
@@ -55,7 +61,7 @@ def exact_duplicates(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     groups.
     """
     columns = [c for c in df.columns if c not in set(exclude)]
-    copies = df.groupBy(row_digest(columns).alias("digest")).agg(row_count().alias("copies"))
+    copies = df.groupBy(row_digest(df, columns).alias("digest")).agg(row_count().alias("copies"))
     return copies.filter("copies > 1").agg(
         row_count().alias("duplicate_groups"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("surplus_rows"),

@@ -28,13 +28,11 @@ MATCH = "array<struct<source_name:string,standard_name:string>>"
 
 def _plan_rows(terms: DataFrame, max_terms: int) -> list | None:
     """Rows of `terms` in the order of source_name, or None if out of bounds."""
-    size = terms.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
-    ).first()
-    if size.n > max_terms or (size.bytes or 0) > PLAN_BYTES:
+    rows = terms.limit(max_terms + 1).collect() if max_terms else []
+    size = sum(len(value) for row in rows for value in row if isinstance(value, str))
+    if not max_terms or len(rows) > max_terms or size > PLAN_BYTES:
         return None
-    return terms.orderBy("source_name").collect()
+    return sorted(rows, key=lambda row: row.source_name)
 
 
 def _plan_array(rows: list, schema: str) -> Column:
@@ -220,7 +218,7 @@ def _probe_by_join(
     )
     grams = terms.withColumn("gram", F.left(stretch, F.lit(GRAM)))
     short = grams.filter(F.length("gram") < GRAM)
-    short_rows = _plan_rows(short.select("source_name", "term", "wild"), PLAN_TERMS)
+    short_rows = _plan_rows(short, PLAN_TERMS)
     if short_rows is None:
         raise ValueError(f"over {PLAN_TERMS} names without {GRAM} literal characters in a row")
     lowered = df.select(key, F.lower(text).alias("_lowered"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,8 +42,8 @@ OBSERVATION_COLUMNS = (
 # Text no file holds, so that an empty field reads as NULL and "" as empty text.
 UNUSED_NULL_TEXT = "\x01"
 
-# A file with line breaks inside fields is read by one task; larger ones are refused.
-WHOLE_FILE_BYTES = 1024 * 1024 * 1024
+# Files up to this size may be read by one task each.
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def text_schema(columns: Sequence[str]) -> StructType:
@@ -66,27 +66,84 @@ def read_text_csv(
     """Comma-separated UTF-8 files with a header; columns go by position.
 
     Doubled quotes stand for a quote, an empty field is NULL, "" is empty text.
-    Fields with line breaks keep a file from being split, so many files of
-    moderate size load in parallel and a file too large for one task is
-    refused. Pass `line_breaks_in_fields=False` where no field has any: such
-    files are split freely.
+    The CSV source reads a file whole if its fields may hold line breaks. That
+    is fine for files of moderate size; if any is larger, the records are
+    found with all tasks working on all files (`csv_records`). Pass
+    `line_breaks_in_fields=False` where no field has any: such files are split
+    freely.
     """
-    if line_breaks_in_fields:
-        refused = files_too_large(spark, path, whole_file_bytes).limit(3).collect()
-        if refused:
-            names = ", ".join(row.path for row in refused)
-            raise ValueError(f"too large to read whole, split at record ends first: {names}")
-    return spark.read.csv(
-        path,
-        schema=text_schema(columns),
-        header=True,
-        enforceSchema=True,
-        multiLine=line_breaks_in_fields,
-        quote='"',
-        escape='"',
-        nullValue=UNUSED_NULL_TEXT,
-        encoding="UTF-8",
+    options = {
+        "quote": '"',
+        "escape": '"',
+        "nullValue": UNUSED_NULL_TEXT,
+        "multiLine": str(line_breaks_in_fields).lower(),
+    }
+    schema = text_schema(columns)
+    if line_breaks_in_fields and files_too_large(spark, path, whole_file_bytes).limit(1).count():
+        ddl = ", ".join(f"`{c}` string" for c in columns)
+        parsed = F.from_csv("record", ddl, options)
+        return csv_records(spark, path).select(parsed.alias("r")).select(
+            *[F.col("r").getField(c).alias(c) for c in columns]
+        )
+    return spark.read.options(**options).csv(
+        path, schema=schema, header=True, enforceSchema=True, encoding="UTF-8"
+    )
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files, one row each, without the header record of each file.
+
+    A line starts a record if an even number of quotes stands before it in its
+    file. Every block of a file is counted on its own; the counts of the
+    blocks, one row per block, tell each block whether it starts inside a field.
+    """
+    block = ["file", "block"]
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            F.col("value"),
+        )
+        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', "")))
+    )
+    earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    in_order = Window.partitionBy(*block).orderBy("line")
+    earlier_lines = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    lines_so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = (
+        lines.groupBy(*block)
+        .agg(F.sum("quotes").alias("quotes"))
+        .select(*block, F.coalesce(F.sum("quotes").over(earlier_blocks), F.lit(0)).alias("before"))
+    )
+    quotes_before = F.col("before") + F.coalesce(F.sum("quotes").over(earlier_lines), F.lit(0))
+    started = (
+        lines.join(before, block)
+        .withColumn("header", (F.col("block") == 0) & (F.row_number().over(in_order) == 1))
+        .withColumn("start", F.when(quotes_before % 2 == 0, F.col("line")))
+        .withColumn("start", F.last("start", ignorenulls=True).over(lines_so_far))
+    )
+    # A record that runs into the next block keeps the start it has in its own.
+    open_before = (
+        started.groupBy(*block)
+        .agg(F.max("start").alias("start"))
+        .select(*block, F.last("start", ignorenulls=True).over(earlier_blocks).alias("open"))
+    )
+    pieces = started.join(open_before, block).withColumn("start", F.coalesce("start", "open"))
+    records = (
+        pieces.groupBy("file", "start")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"),
+            F.bool_or("header").alias("header"),
+        )
+        .filter("NOT header")
     )
+    record = F.regexp_replace(F.array_join("parts.value", "\n"), "\\r$", "")
+    return records.select(record.alias("record")).filter("record != ''")
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

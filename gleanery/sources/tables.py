@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleanery.functions.text import is_missing
 
@@ -14,6 +16,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer parts than there are cores, dealt out evenly; larger ones as they are.
+
+    For work that is heavy per row on a table as it comes from its files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def save_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Table written anew and read back, so that later stages start from files."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
@@ -26,8 +37,13 @@ def append_rows(df: DataFrame, folder: str, name: str) -> None:
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small table written out in the program, such as an alias list."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small table written out in the program, such as an alias list.
+
+    It goes through Arrow and so becomes a local relation, whose size Catalyst knows.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns)).to(StructType.fromDDL(schema))
 
 
 def sample_rows(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
