@@ -54,9 +54,9 @@ def keep_latest_wide(
     if found.n != found.ids:
         raise ValueError(f"{row_id} does not identify the rows: {found.ids} ids, {found.n} rows")
     if (found.n - kept.count()) * ID_BYTES > broadcast_bytes:
-        return df.join(kept, row_id, "left_semi")
+        return df.join(kept, row_id, "left_semi").select(*df.columns)
     superseded = written(narrow.select(row_id).join(kept, row_id, "left_anti"), "superseded")
-    return df.join(F.broadcast(superseded), row_id, "left_anti")
+    return df.join(F.broadcast(superseded), row_id, "left_anti").select(*df.columns)
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

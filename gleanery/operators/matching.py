@@ -77,9 +77,8 @@ def attach_matches(
     packed = found.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("source_name", "standard_name"))).alias(into)
     )
-    return df.join(packed, key, "left").withColumn(
-        into, F.coalesce(F.col(into), F.array().cast(MATCH))
-    )
+    none = F.array().cast(MATCH)
+    return df.join(packed, key, "left").select(*df.columns, F.coalesce(into, none).alias(into))
 
 
 def find_matches(

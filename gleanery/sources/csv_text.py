@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gleanery.scale import written
+
 # The columns of the observation feed, in file order.
 OBSERVATION_COLUMNS = (
     "Unnamed: 0",
@@ -96,9 +98,10 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     A line starts a record if an even number of quotes stands before it in its
     file. Every block of a file is counted on its own; the counts of the
     blocks, one row per block, tell each block whether it starts inside a field.
+    The lines are written first, so that every step sees the same blocks.
     """
     block = ["file", "block"]
-    lines = (
+    lines = written(
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
@@ -107,7 +110,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
             F.col("value"),
         )
-        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', "")))
+        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', ""))),
+        "csv-lines",
     )
     earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -151,7 +155,6 @@ def write_text_csv(df: DataFrame, path: str) -> None:
     df.write.csv(
         path,
         header=True,
-        quoteAll=True,
         escape='"',
         emptyValue='""',
         nullValue="",

@@ -1,0 +1,203 @@
+import random
+import re
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from gleanery.functions.text import WORD, WORD_OR_UNDERSCORE
+from gleanery.operators import matching, recovery, vocabulary
+
+NAMES = ["node", "node.js", "js", "r", "c", "c++", "go", "sql", "sql server", ".net", "no-sql", "nosql"]
+
+TEXTS = [
+    ("Built with Node.js and C++", "c c++ js node node.js", None),
+    ("R&D lead", "r", None),
+    ("Going to Argo", "", None),
+    ("my_sql_x", "sql", ""),
+    ("Numéro r, go-to", "go r", None),
+    ("SQL Server", "sql|sql server", None),
+    ("asp.net", "", None),
+    ("asp.net .net", ".net", None),
+    ("no-sql nosql", "no-sql nosql sql", None),
+    ("", "", None),
+    (None, "", None),
+]
+
+# Ways to match: within the rows, joined with a broadcast, joined with a salted shuffle.
+WAYS = [
+    {"max_terms": 1000},
+    {"max_terms": 0},
+    {"max_terms": 0, "broadcast_bytes": 0},
+]
+
+
+def vocab(spark, names):
+    return vocabulary.vocabulary(spark, [(n, n.upper()) for n in names])
+
+
+def texts(spark, values):
+    return spark.createDataFrame(list(enumerate(values)), "id long, text string")
+
+
+def by_regex(values, names, word=WORD):
+    """Every pair, tested with a regular expression."""
+    return sorted(
+        (
+            (i, n, n.upper())
+            for i, value in enumerate(values)
+            for n in names
+            if value is not None
+            and re.search(f"(^|[^{word}]){re.escape(n.lower())}([^{word}]|$)", value.lower())
+        ),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("word", [WORD, WORD_OR_UNDERSCORE])
+def test_known_texts(spark, way, word):
+    got = matching.find_matches(
+        texts(spark, [t[0] for t in TEXTS]), "text", vocab(spark, NAMES), "id", word=word, **way
+    )
+    found = {}
+    for i, name, _ in rows(got):
+        found.setdefault(i, []).append(name)
+    for i, (_, plain, other) in enumerate(TEXTS):
+        want = other if word == WORD_OR_UNDERSCORE and other is not None else plain
+        split = want.split("|") if "|" in want else want.split()
+        assert sorted(found.get(i, [])) == sorted(split), TEXTS[i]
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("word", [WORD, WORD_OR_UNDERSCORE])
+def test_random_texts_agree_with_brute_force(spark, way, word):
+    made = random.Random(11)
+
+    def some(n):
+        return "".join(made.choice("aAbB0_ .+-é\n$(#") for _ in range(n))
+
+    names = list({n for n in (some(made.randint(1, 5)) for _ in range(150))})
+    values = [some(made.randint(0, 40)) for _ in range(300)] + [None]
+    got = matching.find_matches(
+        texts(spark, values), "text", vocab(spark, names), "id", word=word, **way
+    )
+    assert rows(got) == by_regex(values, names, word)
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_a_word_in_every_text(spark, way):
+    values = ["the end", "The c++ way", "over the top"] * 200
+    got = matching.find_matches(texts(spark, values), "text", vocab(spark, ["the", "c++", "top"]), "id", **way)
+    assert rows(got) == by_regex(values, ["the", "c++", "top"])
+
+
+def test_rows_are_matched_without_a_shuffle_and_once(spark):
+    found = matching.find_matches(texts(spark, ["a b"]), "text", vocab(spark, ["a", "a b"]), "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert plan.count("array_intersect") == 1
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_probe_agrees_with_brute_force(spark, way):
+    made = random.Random(5)
+
+    def some(n):
+        return "".join(made.choice("abcABé%_ .") for _ in range(n))
+
+    names = list({some(made.randint(1, 6)) for _ in range(80)})
+    values = [some(made.randint(0, 30)) for _ in range(120)] + [None]
+
+    def like(name, value):
+        pattern = "".join({"%": ".*", "_": "."}.get(ch, re.escape(ch)) for ch in name.lower())
+        return re.search(pattern, value.lower(), re.S) is not None
+
+    want = {}
+    for name in names:
+        n = sum(like(name, v) for v in values if v is not None)
+        if len(name) > 2 and n:
+            want[name] = n
+    got = matching.probe_vocabulary(
+        texts(spark, values), "text", vocab(spark, names), "id", **way
+    )
+    assert dict(rows(got)) == want
+
+
+def test_probe_constants_in_one_scan(spark):
+    df = texts(spark, ["Python and SQL", "excellent", None])
+    got = matching.probe_constants(df, "text", ["python", "sql", "excel", "tableau"])
+    assert rows(got) == [("excel", 1), ("python", 1), ("sql", 1), ("tableau", 0)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def feed(spark):
+    return spark.createDataFrame(
+        [
+            ("posting-0000000001", "A", "SQL and R", "[]"),
+            ("posting-0000000002", "B", "SQL and R", "['go']"),
+            ("posting-0000000003", "C", "nothing", "[]"),
+            ("posting-0000000004", "D", None, "[]"),
+            ("posting-0000000005", "E", "SQL", None),
+            ("posting-0000000006", "F", " ", "[]"),
+            ("posting-0000000007", "G", "my_sql go", "[]"),
+        ],
+        "id string, title string, text string, tokens string",
+    )
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_recovery_touches_empty_lists_with_terms_only(spark, way):
+    v = vocab(spark, NAMES)
+    got = recovery.recover(feed(spark), "text", "tokens", v, "id", **way)
+    assert [r[3] for r in rows(got)] == [
+        "['r', 'sql']", "['go']", "[]", "[]", None, "[]", "['go', 'sql']",
+    ]
+    summary = recovery.recovery_summary(feed(spark), "text", "tokens", v, "id", **way)
+    assert rows(summary) == [(5, 2, 3)]
+
+
+def test_preview_and_lists(spark):
+    v = vocabulary.vocabulary(spark, [("sql", "SQL"), ("r", "R"), ("r and", "R"), ("and r", "R")])
+    preview = recovery.match_preview(feed(spark), "text", "tokens", v, "id", "title")
+    assert rows(preview) == [("0000000001", "A", 3, "R, SQL")]
+    lists = recovery.recovered_lists(feed(spark), "text", "tokens", v, "id", "title")
+    assert rows(lists) == [
+        ("posting-0000000001", "A", "['and r', 'r', 'sql']"),
+        ("posting-0000000007", "G", "['sql']"),
+    ]
+
+
+def test_vocabulary_is_checked(spark):
+    with pytest.raises(ValueError, match="PRIMARY KEY"):
+        vocabulary.vocabulary(spark, [("a", "A"), ("a", "B")])
+    with pytest.raises(ValueError, match="NOT NULL"):
+        vocabulary.vocabulary(spark, [("a", None)])
+
+
+def test_sample_aliases(spark):
+    v = vocabulary.vocabulary(spark)
+    assert (v.count(), v.select("standard_name").distinct().count()) == (10, 5)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_tokens_of_lists(spark, broadcast_bytes):
+    df = spark.createDataFrame(
+        [
+            (1, "['js', 'javascript']"), (2, "['SQL']"), (3, "['sql','r']"), (4, "[]"), (5, None),
+            (6, "['js', 'js', 'zz']"),
+        ],
+        "id int, tokens string",
+    )
+    v = vocabulary.vocabulary(
+        spark, [("js", "JavaScript"), ("javascript", "JavaScript"), ("sql", "SQL"), ("r", "R")]
+    )
+    mapped = vocabulary.mapped_tokens(df, "id", "tokens", v, broadcast_bytes)
+    assert rows(mapped, "id", "standard_name") == [
+        (1, "JavaScript"), (1, "JavaScript"), (6, "JavaScript"),
+    ]
+    unmapped = vocabulary.unmapped_tokens(df, "id", "tokens", v, broadcast_bytes)
+    assert sorted(rows(unmapped)) == [("SQL", 1), ("sql','r", 1), ("zz", 1)]
+    assert rows(vocabulary.inspect_vocabulary(df, "tokens")) == [
+        ("SQL",), ("javascript",), ("js",), ("r",), ("sql",), ("zz",),
+    ]

@@ -1,0 +1,170 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from gleanery import scale
+from gleanery.operators import checks, model, vocabulary
+from gleanery.plans.curation import JOB_POSTINGS, curate, load_model
+from gleanery.sources.csv_text import OBSERVATION_COLUMNS, read_text_csv, write_text_csv
+
+
+def test_names_are_numbered_with_null_last(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "name string")
+    dimension = model.extract_dimension(df, "name", "id")
+    assert rows(dimension) == [(1, "a"), (2, "b"), (3, None)]
+    linked = model.attach_dimension(df, dimension, "name")
+    assert rows(linked, "name", "id") == [("a", 1), ("a", 1), ("b", 2), (None, None)]
+    assert rows(model.unmatched_rows(linked, "id")) == [(1,)]
+    assert model.fact_table(linked, "id", ["id"]).count() == 3
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_ids_are_contiguous_and_in_order(spark, parts):
+    df = spark.range(10000).select(
+        F.concat(F.lit("n"), F.col("id") * 7919 % 10000).alias("name"), "id"
+    ).repartition(parts)
+    got = scale.contiguous_ids(df, ["name"], "no").orderBy("no").collect()
+    assert [r.no for r in got] == list(range(1, 10001))
+    assert [r.name for r in got] == sorted(r.name for r in got)
+
+
+def test_ids_of_nothing(spark):
+    assert rows(scale.contiguous_ids(spark.range(0).select("id"), ["id"], "no")) == []
+
+
+def hot_frames(spark):
+    """A third of the rows under one key, a tenth without one."""
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 10 == 1, None)
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+        .alias("k"),
+        "id",
+    )
+    right = spark.createDataFrame(
+        [("hot", 1), ("unused", 2)] + [(f"k{i}", 10 + i) for i in range(40)], "k string, v int"
+    )
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_is_a_join(spark, how):
+    left, right = hot_frames(spark)
+    hot = scale.hot_keys(left, "k", share=0.2)
+    assert hot == ["hot"]
+    want = rows(left.join(right, "k", how))
+    assert rows(scale.salted_join(left, right, "k", how, hot, salts=5)) == want
+    assert rows(scale.salted_join(left, right, "k", how, [])) == want
+    assert rows(scale.lookup_join(left, right, "k", how, ["id"], broadcast_bytes=0)) == want
+
+
+def test_salted_join_spreads_the_hot_key(spark):
+    left, right = hot_frames(spark)
+    joined = scale.salted_join(left, right, "k", "inner", ["hot"], ["id"], salts=8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [
+            r.n
+            for r in joined.filter("k = 'hot'")
+            .groupBy(F.spark_partition_id().alias("p"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 1000 and len(sizes) > 2 and max(sizes) < 700
+
+
+def test_only_a_measured_side_is_broadcast(spark):
+    left, right = hot_frames(spark)
+    assert scale.text_size(right) > 40 * 20
+    small = scale.lookup_join(left, right, "k", "inner")
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in scale.lookup_join(
+        left, right, "k", "inner", broadcast_bytes=0
+    )._jdf.queryExecution().analyzed().toString()
+
+
+def test_constraints(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "id int, v string")
+    child = spark.createDataFrame(
+        [(1, "x"), (1, "x"), (9, "y"), (9, "z"), (None, None)], "pid int, t string"
+    )
+    got = checks.report(
+        checks.primary_key(parent, "parent", ["id"]),
+        checks.unique(parent, "parent", ["id"]),
+        checks.foreign_key(child, parent, "child", "pid", "id"),
+        checks.unique(child, "child", ["pid", "t"]),
+        checks.not_null(child, "child", ["pid"]),
+    )
+    assert [tuple(r) for r in got.collect()] == [
+        ("parent", "PRIMARY KEY", "id", 2),
+        ("parent", "UNIQUE", "id", 1),
+        ("child", "FOREIGN KEY", "pid", 2),
+        ("child", "UNIQUE", "pid, t", 1),
+        ("child", "NOT NULL", "pid", 1),
+    ]
+    with pytest.raises(ValueError, match="child FOREIGN KEY"):
+        checks.require(got)
+    assert rows(checks.orphans(child, parent, "pid", "id")) == [(9, 2)]
+
+
+def posting(**values):
+    return tuple(values.get(c) for c in OBSERVATION_COLUMNS)
+
+
+POSTINGS = [
+    posting(index_col="1", job_id="j1", date_time="2023-01-02 10:00:00", company_name="Acme",
+            location=" Anywhere ", title="old", description="SQL", description_tokens="[]"),
+    posting(index_col="2", job_id="j1", date_time="2023-01-10 10:00:00", company_name="ACME",
+            location=" Anywhere ", title="new", description="Uses Node.js, no-sql",
+            work_from_home="True", salary_avg="101.5", description_tokens="[]"),
+    posting(index_col="3", job_id="j2", date_time="2023-01-03 10:00:00", company_name="acme",
+            title="two", description="none here", description_tokens="[]"),
+    posting(index_col="4", job_id="j3", date_time="2023-01-04 10:00:00", company_name="Beta",
+            location="Here", title='three, "quoted"\nline', description="x",
+            description_tokens="['js', 'javascript', 'cobol']"),
+    posting(index_col="5", job_id="j4", date_time="2023-01-05 10:00:00", title="four",
+            description="mongo", description_tokens="['postgres']"),
+]
+
+
+def test_whole_workflow_from_csv(spark, tmp_path):
+    schema = ", ".join(f"`{c}` string" for c in OBSERVATION_COLUMNS)
+    write_text_csv(spark.createDataFrame(POSTINGS, schema), str(tmp_path / "csv"))
+    raw = read_text_csv(spark, str(tmp_path / "csv"))
+    built = curate(raw, vocabulary.vocabulary(spark), JOB_POSTINGS, str(tmp_path / "out"))
+
+    assert rows(built.records, "job_id", "title", "location", "company_name", "description_tokens") == [
+        ("j1", "new", "Anywhere", "acme", "['js', 'no-sql', 'node', 'node.js']"),
+        ("j2", "two", None, "acme", "[]"),
+        ("j3", 'three, "quoted"\nline', "Here", "beta", "['js', 'javascript', 'cobol']"),
+        ("j4", "four", None, None, "['postgres']"),
+    ]
+    assert len(built.records.columns) == 27
+    assert rows(built.companies) == [(1, "acme"), (2, "beta"), (3, None)]
+    assert rows(built.jobs, "job_id", "company_id") == [("j1", 1), ("j2", 1), ("j3", 2)]
+    assert len(built.jobs.columns) == 18
+    assert dict(built.jobs.dtypes)["date_time"] == "timestamp_ntz"
+    assert dict(built.jobs.dtypes)["salary_avg"] == "decimal(38,10)"
+    assert rows(built.job_skills) == [
+        (1, "j1", "JavaScript"), (2, "j1", "NoSQL"), (3, "j1", "Node.js"),
+        (4, "j3", "JavaScript"), (5, "j4", "PostgreSQL"),
+    ]
+    assert rows(built.unmapped) == [("cobol", 1)]
+    assert rows(built.unmatched) == [(1,)]
+    broken = [tuple(r) for r in built.constraints.filter("violations > 0").collect()]
+    assert broken == [("job_skills", "FOREIGN KEY", "job_id", 1)]
+    counts = model.model_counts(built.jobs, built.companies, built.job_skills, "job_id", "company_id", "skill")
+    assert rows(counts) == [(3, 3, 3, 3, 5, 3, 4)]
+    balance = model.coverage_balance(built.records, built.job_skills, "job_id", "description_tokens")
+    assert rows(balance) == [(4, 3, 1, True)]
+    assert rows(load_model(spark, str(tmp_path / "out"))["jobs"], "job_id") == [("j1",), ("j2",), ("j3",)]
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert scale.shared_folder(spark) == named
+    assert scale.scratch_path(spark, "x").startswith(named)
