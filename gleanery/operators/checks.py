@@ -62,14 +62,15 @@ def orphans(
 ) -> DataFrame:
     """Keys of `child` that `parent` lacks, with the rows that hold them; NULL refers to nothing.
 
-    Rows are counted per key before the join, so a hot key joins as one row.
+    Rows are counted per key before the join, and the keys of `parent` made
+    distinct, so a hot key joins as one row on either side.
     """
     held = (
         child.filter(F.col(child_key).isNotNull())
         .groupBy(F.col(child_key).alias("key"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    known = parent.select(F.col(parent_key).alias("key"))
+    known = parent.select(F.col(parent_key).alias("key")).distinct()
     return held.join(known, "key", "left_anti")
 
 

@@ -39,21 +39,20 @@ def keep_latest_wide(
     tie_break: Sequence[str],
     row_id: str,
     broadcast_bytes: int = BROADCAST_BYTES,
+    check: bool = True,
 ) -> DataFrame:
     """`keep_latest` for wide rows: the choice is made on the narrow columns alone.
 
-    `row_id` must be unique and known; that is checked. When few rows are
+    `row_id` must be unique and known, which is checked unless told not to. When few rows are
     superseded their ids are broadcast and the wide rows are filtered where
     they lie, otherwise the wide rows are shuffled once, by `row_id`.
     """
     narrow = df.select(*dict.fromkeys([*keys, newest, *tie_break, row_id]))
     kept = written(keep_latest(narrow, keys, newest, tie_break).select(row_id), "latest")
-    found = narrow.agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct(row_id).alias("ids")
-    ).first()
-    if found.n != found.ids:
-        raise ValueError(f"{row_id} does not identify the rows: {found.ids} ids, {found.n} rows")
-    if (found.n - kept.count()) * ID_BYTES > broadcast_bytes:
+    total = narrow.count()
+    if check and (ids := narrow.select(row_id).agg(F.countDistinct(row_id)).first()[0]) != total:
+        raise ValueError(f"{row_id} does not identify the rows: {ids} ids, {total} rows")
+    if (total - kept.count()) * ID_BYTES > broadcast_bytes:
         return df.join(kept, row_id, "left_semi").select(*df.columns)
     superseded = written(narrow.select(row_id).join(kept, row_id, "left_anti"), "superseded")
     return df.join(F.broadcast(superseded), row_id, "left_anti").select(*df.columns)

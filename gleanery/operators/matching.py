@@ -21,6 +21,10 @@ from gleanery.scale import BROADCAST_BYTES, computed_once, exploded, let, lookup
 PLAN_TERMS = 1000
 PLAN_BYTES = 256 * 1024
 
+# Share of the texts looked at to find the hot words. It decides only which
+# words are salted, never what is matched.
+PROFILE_SHARE = 0.01
+
 GRAM = 3
 
 MATCH = "array<struct<source_name:string,standard_name:string>>"
@@ -66,44 +70,27 @@ def attach_matches(
 
     A term occurs where it stands literally, case aside, with no `word`
     character before or after it; overlapping terms are all reported. Rows
-    outside `where` and rows without text get an empty array. `key`, unique in
-    `df`, ties the parts together when the vocabulary is too large for the plan.
+    outside `where` and rows without text get an empty array. `key`, unique and
+    known, ties the parts together when the vocabulary is too large for the plan.
     """
     terms = search_terms(vocab, word)
     rows = _plan_rows(terms, max_terms)
+    lowered = F.lower(text) if where is None else F.when(where, F.lower(text))
     if rows is not None:
-        return _match_in_rows(df, text, rows, where, word, into)
-    found = find_matches(df, text, vocab, key, where, word, max_terms, broadcast_bytes)
-    packed = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("source_name", "standard_name"))).alias(into)
-    )
-    none = F.array().cast(MATCH)
-    return df.join(packed, key, "left").select(*df.columns, F.coalesce(into, none).alias(into))
+        return _match_in_rows(df, lowered, rows, word, into)
+    return _match_by_join(df, lowered, terms, key, word, broadcast_bytes, into)
 
 
 def find_matches(
-    df: DataFrame,
-    text: str,
-    vocab: DataFrame,
-    key: str,
-    where: Column | None = None,
-    word: str = WORD,
-    max_terms: int = PLAN_TERMS,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    df: DataFrame, text: str, vocab: DataFrame, key: str, where: Column | None = None, **options
 ) -> DataFrame:
     """One row per record and term: key, source_name, standard_name."""
-    terms = search_terms(vocab, word)
-    rows = _plan_rows(terms, max_terms)
-    if rows is None:
-        chosen = df if where is None else df.filter(where)
-        return _match_by_join(chosen, text, terms, key, word, broadcast_bytes)
-    return _match_in_rows(df, text, rows, where, word, "_matches").select(
-        key, F.inline("_matches")
-    )
+    found = attach_matches(df, text, vocab, key, where, into="_matches", **options)
+    return found.select(key, F.inline("_matches"))
 
 
 def _match_in_rows(
-    df: DataFrame, text: str, rows: list, where: Column | None, word: str, into: str
+    df: DataFrame, lowered: Column, rows: list, word: str, into: str
 ) -> DataFrame:
     terms = _plan_array(
         rows,
@@ -111,12 +98,10 @@ def _match_in_rows(
         "wordless:boolean,plain:boolean,pattern:string",
     )
     anchors = F.split(F.lit(" ".join(sorted({r.anchor for r in rows if not r.wordless}))), " ")
-    lowered = F.lower(text) if where is None else F.when(where, F.lower(text))
 
     def occurs(t: Column, low: Column, present: Column) -> Column:
         possible = t["wordless"] | F.array_contains(present, t["anchor"])
-        checked = F.contains(low, t["term"]) & F.rlike(low, t["pattern"])
-        return F.coalesce(possible & (t["plain"] | checked), F.lit(False))
+        return F.coalesce(possible & _holds(low, t), F.lit(False))
 
     found = let(
         lowered,
@@ -125,25 +110,44 @@ def _match_in_rows(
             lambda present: F.filter(terms, lambda t: occurs(t, low, present)),
         ),
     )
-    names = F.transform(found, lambda t: F.struct(t["source_name"], t["standard_name"]))
-    return computed_once(df, into, names)
+    return computed_once(df, into, _names(found))
+
+
+def _holds(lowered: Column, t: Column) -> Column:
+    """Whether a term whose anchor is in the text is there as a whole."""
+    return t["plain"] | (F.contains(lowered, t["term"]) & F.rlike(lowered, t["pattern"]))
+
+
+def _names(found: Column) -> Column:
+    return F.transform(found, lambda t: F.struct(t["source_name"], t["standard_name"]))
 
 
 def _match_by_join(
-    df: DataFrame, text: str, terms: DataFrame, key: str, word: str, broadcast_bytes: int
+    df: DataFrame,
+    lowered: Column,
+    terms: DataFrame,
+    key: str,
+    word: str,
+    broadcast_bytes: int,
+    into: str,
 ) -> DataFrame:
-    found = exploded(df, _anchors_in(F.lower(text), word), "anchor", key).filter("anchor != ''")
-    candidates = lookup_join(found, terms, "anchor", "inner", [key], broadcast_bytes)
-    names = [key, "source_name", "standard_name"]
-    plain = candidates.filter("plain").select(*names)
-    # The text rejoins only the candidates whose anchor is not the whole term.
-    checked = (
-        candidates.filter("NOT plain")
-        .join(df.select(key, F.lower(text).alias("_lowered")), key)
-        .filter(F.contains("_lowered", "term") & F.rlike("_lowered", "pattern"))
-        .select(*names)
+    def anchors(rows: DataFrame) -> DataFrame:
+        return exploded(rows, _anchors_in(lowered, word), "anchor", key).filter("anchor != ''")
+
+    candidates = lookup_join(
+        anchors(df), terms, "anchor", "inner", [key], broadcast_bytes,
+        profile=lambda: anchors(df.sample(PROFILE_SHARE)),
     )
-    return plain.unionByName(checked)
+    # A group is what one text can hold; texts meet their candidates once, to check them.
+    packed = candidates.groupBy(key).agg(
+        F.collect_list(
+            F.struct("source_name", "standard_name", "term", "plain", "pattern")
+        ).alias("_candidates")
+    )
+    found = let(lowered, lambda low: F.filter("_candidates", lambda t: _holds(low, t)))
+    names = F.coalesce(F.array_sort(_names(found)), F.array().cast(MATCH))
+    joined = df.join(packed, key, "left")
+    return computed_once(joined, into, names).select(*df.columns, into)
 
 
 def probe_constants(
@@ -222,9 +226,13 @@ def _probe_by_join(
         raise ValueError(f"over {PLAN_TERMS} names without {GRAM} literal characters in a row")
     lowered = df.select(key, F.lower(text).alias("_lowered"))
     every_gram = F.regexp_extract_all("_lowered", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
-    found = exploded(lowered, F.array_distinct(every_gram), "gram", key)
+
+    def text_grams(rows: DataFrame) -> DataFrame:
+        return exploded(rows, F.array_distinct(every_gram), "gram", key)
+
     candidates = lookup_join(
-        found, grams.filter(F.length("gram") == GRAM), "gram", "inner", [key], broadcast_bytes
+        text_grams(lowered), grams.filter(F.length("gram") == GRAM), "gram", "inner", [key],
+        broadcast_bytes, profile=lambda: text_grams(lowered.sample(PROFILE_SHARE)),
     )
     hits = (
         candidates.join(lowered, key)

@@ -29,8 +29,11 @@ SAMPLE_ALIASES = (
 
 
 def vocabulary(spark: SparkSession, aliases=SAMPLE_ALIASES) -> DataFrame:
-    """Alias table written out in the program, checked."""
-    return checked_vocabulary(literal_table(spark, aliases, VOCABULARY_SCHEMA))
+    """Alias table written out in the program, held to the same rules."""
+    names = [source for source, _ in aliases]
+    if len(set(names)) < len(names) or any(None in row for row in aliases):
+        raise ValueError("vocabulary: source names must be unique and no name may be missing")
+    return literal_table(spark, aliases, VOCABULARY_SCHEMA)
 
 
 def checked_vocabulary(aliases: DataFrame) -> DataFrame:

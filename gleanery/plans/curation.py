@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleanery.operators import checks, clean, dedup, model, recovery, typing
 from gleanery.operators.vocabulary import checked_vocabulary, unmapped_tokens
 from gleanery.sources.tables import read_table, save_table
 
 
+# Column that numbers the landed observations.
+ROW = "_row"
+
+TABLES = ("observations", "records", "companies", "jobs", "job_skills")
+
+
 @dataclass(frozen=True)
 class Feed:
     """Which column of a feed plays which part."""
@@ -86,14 +93,25 @@ class Model:
     constraints: DataFrame = field(repr=False)
 
 
-def cleaned_records(raw: DataFrame, feed: Feed) -> DataFrame:
-    """Typed, one row per key, trimmed and case-folded.
+def landed(raw: DataFrame, folder: str) -> DataFrame:
+    """The observations as they came, in Parquet, each with a number of its own."""
+    return save_table(raw.withColumn(ROW, F.monotonically_increasing_id()), folder, "observations")
+
 
-    Types come first: the order of times, not of their text, decides which row
-    is the latest.
+def cleaned_records(observations: DataFrame, feed: Feed) -> DataFrame:
+    """One row per key, typed, trimmed and case-folded.
+
+    The columns that decide which row is the latest get their types first, so
+    that times are compared and not their texts; the others only have to fit
+    in the rows that are kept.
     """
-    rows = dedup.keep_latest(typing.typed(raw, feed.kinds), [feed.key], feed.newest, feed.tie_break)
-    return clean.case_folded(clean.trimmed(rows, *feed.trim), feed.name)
+    deciding = {c: k for c, k in feed.kinds.items() if c in (feed.key, feed.newest, *feed.tie_break)}
+    others = {c: k for c, k in feed.kinds.items() if c not in deciding}
+    latest = dedup.keep_latest_wide(
+        typing.typed(observations, deciding), [feed.key], feed.newest, feed.tie_break, ROW, check=False
+    )
+    rows = clean.trimmed(typing.typed(latest.drop(ROW), others), *feed.trim)
+    return clean.case_folded(rows, feed.name)
 
 
 def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
@@ -102,10 +120,9 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
     A run that fails can start again: every table is overwritten whole.
     """
     vocab = checked_vocabulary(vocab)
+    cleaned = cleaned_records(landed(raw, folder), feed)
     records = save_table(
-        recovery.recover(cleaned_records(raw, feed), feed.text, feed.packed, vocab, feed.key),
-        folder,
-        "records",
+        recovery.recover(cleaned, feed.text, feed.packed, vocab, feed.key), folder, "records"
     )
     companies = save_table(
         model.extract_dimension(records, feed.name, feed.name_id), folder, "companies"
@@ -113,13 +130,10 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
     linked = model.attach_dimension(records, companies, feed.name)
     jobs = save_table(model.fact_table(linked, feed.name_id, feed.fact_columns), folder, "jobs")
     job_skills = save_table(
-        model.junction_table(
-            records, feed.key, feed.packed, vocab, feed.junction_id, feed.term
-        ),
+        model.junction_table(records, feed.key, feed.packed, vocab, feed.junction_id, feed.term),
         folder,
         "job_skills",
     )
-    constraints = model_constraints(jobs, companies, job_skills, feed)
     return Model(
         records=records,
         companies=companies,
@@ -127,7 +141,7 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
         job_skills=job_skills,
         unmapped=unmapped_tokens(records, feed.key, feed.packed, vocab),
         unmatched=model.unmatched_rows(linked, feed.name_id),
-        constraints=constraints,
+        constraints=model_constraints(jobs, companies, job_skills, feed),
     )
 
 
@@ -147,6 +161,6 @@ def model_constraints(
     )
 
 
-def load_model(spark, folder: str) -> dict[str, DataFrame]:
+def load_model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Tables of an earlier run."""
-    return {name: read_table(spark, folder, name) for name in ("records", "companies", "jobs", "job_skills")}
+    return {name: read_table(spark, folder, name) for name in TABLES}

@@ -112,16 +112,18 @@ def lookup_join(
     how: str,
     spread_by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    profile: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Equi-join of a large frame with a smaller one.
 
     `right` is broadcast when its measured size allows it: then `left` is not
     shuffled and skew does not matter. Beyond that the join is salted for the
-    hot keys found in `left`.
+    hot keys found in `left`, or in `profile` where `left` is costly to make.
     """
     if text_size(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
-    return salted_join(left, right, key, how, hot_keys(left, key), spread_by)
+    hot = hot_keys(profile() if profile else left, key)
+    return salted_join(left, right, key, how, hot, spread_by)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -169,10 +169,12 @@ def test_preview_and_lists(spark):
 
 
 def test_vocabulary_is_checked(spark):
-    with pytest.raises(ValueError, match="PRIMARY KEY"):
-        vocabulary.vocabulary(spark, [("a", "A"), ("a", "B")])
-    with pytest.raises(ValueError, match="NOT NULL"):
-        vocabulary.vocabulary(spark, [("a", None)])
+    for aliases, kind in (([("a", "A"), ("a", "B")], "PRIMARY KEY"), ([("a", None)], "NOT NULL")):
+        with pytest.raises(ValueError):
+            vocabulary.vocabulary(spark, aliases)
+        table = spark.createDataFrame(aliases, vocabulary.VOCABULARY_SCHEMA)
+        with pytest.raises(ValueError, match=kind):
+            vocabulary.checked_vocabulary(table)
 
 
 def test_sample_aliases(spark):
