@@ -68,11 +68,23 @@ def escape_regex(value: str | Column) -> Column:
     return F.regexp_replace(col(value), REGEX_METACHARACTERS, r"\\$1")
 
 
+def word_class(word: str = WORD) -> str:
+    """Pattern of one `word` character of lower-cased text.
+
+    A class of three parts is ten times slower than its equal short form.
+    """
+    return r"\w" if word == WORD_OR_UNDERSCORE else f"[{word}]"
+
+
+def boundary_class(word: str = WORD) -> str:
+    """Pattern of one character of lower-cased text that is none of `word`."""
+    return r"\W" if word == WORD_OR_UNDERSCORE else f"[^{word}]"
+
+
 def boundary_pattern(term: str | Column, word: str = WORD) -> Column:
     """Pattern that finds the lower-cased term, literally, where no `word` character touches it."""
-    return F.concat(
-        F.lit(f"(^|[^{word}])"), escape_regex(F.lower(col(term))), F.lit(f"([^{word}]|$)")
-    )
+    edge = boundary_class(word)
+    return F.concat(F.lit(f"(^|{edge})"), escape_regex(F.lower(col(term))), F.lit(f"({edge}|$)"))
 
 
 def contains_ignoring_case(text: str | Column, part: str | Column) -> Column:

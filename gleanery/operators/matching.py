@@ -13,8 +13,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import WORD, col, contains_ignoring_case
-from gleanery.operators.vocabulary import search_terms
+from gleanery.functions.text import WORD, boundary_class, col, contains_ignoring_case, word_class
+from gleanery.operators.vocabulary import search_terms, with_rarest, word_runs
 from gleanery.scale import BROADCAST_BYTES, computed_once, exploded, let, lookup_join
 
 # A vocabulary within these bounds is carried in the plan.
@@ -46,12 +46,12 @@ def _plan_array(rows: list, schema: str) -> Column:
 
 
 def words(lowered: str | Column, word: str = WORD) -> Column:
-    return F.split(col(lowered), f"[^{word}]+")
+    return F.split(col(lowered), f"{boundary_class(word)}+")
 
 
 def _anchors_in(lowered: str | Column, word: str) -> Column:
     """All that can be the anchor of a term in the text: its words and its other characters."""
-    rest = F.regexp_replace(col(lowered), f"[{word}]+", "")
+    rest = F.regexp_replace(col(lowered), f"{word_class(word)}+", "")
     return F.array_union(words(lowered, word), F.split(rest, ""))
 
 
@@ -134,6 +134,7 @@ def _match_by_join(
     def anchors(rows: DataFrame) -> DataFrame:
         return exploded(rows, _anchors_in(lowered, word), "anchor", key).filter("anchor != ''")
 
+    terms = with_rarest(terms, word_runs("term", word), "anchor")
     candidates = lookup_join(
         anchors(df), terms, "anchor", "inner", [key], broadcast_bytes,
         profile=lambda: anchors(df.sample(PROFILE_SHARE)),
@@ -210,25 +211,26 @@ def _probe_in_rows(df: DataFrame, text: str, rows: list, key: str) -> DataFrame:
     return exploded(df, names, "source_name", key)
 
 
+def _grams(value: Column) -> Column:
+    """Every stretch of GRAM characters."""
+    return F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+
+
 def _probe_by_join(
     df: DataFrame, text: str, terms: DataFrame, key: str, broadcast_bytes: int
 ) -> DataFrame:
-    # The gram comes from the longest stretch without wildcards.
-    stretch = F.reduce(
-        F.split("term", r"[%_\\]+"),
-        F.lit(""),
-        lambda best, s: F.when(F.length(s) > F.length(best), s).otherwise(best),
-    )
-    grams = terms.withColumn("gram", F.left(stretch, F.lit(GRAM)))
+    # Three characters in a row, none of them a wildcard, are in every text a name is in.
+    stretches = F.split("term", r"[%_\\]+")
+    pieces = F.flatten(F.transform(stretches, _grams))
+    grams = with_rarest(terms.withColumn("gram", F.lit("")), pieces, "gram")
     short = grams.filter(F.length("gram") < GRAM)
     short_rows = _plan_rows(short, PLAN_TERMS)
     if short_rows is None:
         raise ValueError(f"over {PLAN_TERMS} names without {GRAM} literal characters in a row")
     lowered = df.select(key, F.lower(text).alias("_lowered"))
-    every_gram = F.regexp_extract_all("_lowered", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
 
     def text_grams(rows: DataFrame) -> DataFrame:
-        return exploded(rows, F.array_distinct(every_gram), "gram", key)
+        return exploded(rows, F.array_distinct(_grams(F.col("_lowered"))), "gram", key)
 
     candidates = lookup_join(
         text_grams(lowered), grams.filter(F.length("gram") == GRAM), "gram", "inner", [key],

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.packed import EMPTY_LIST, inspect_tokens, list_tokens, unwrap
-from gleanery.functions.text import WORD, boundary_pattern
+from gleanery.functions.text import WORD, boundary_class, boundary_pattern
 from gleanery.operators.checks import not_null, primary_key, require
 from gleanery.scale import BROADCAST_BYTES, exploded, lookup_join
 from gleanery.sources.tables import literal_table
@@ -90,6 +90,38 @@ def unmapped_tokens(
     )
 
 
+def word_runs(term: str, word: str = WORD) -> Column:
+    """The runs of word characters of a lower-cased term."""
+    return F.filter(F.split(term, f"{boundary_class(word)}+"), lambda run: run != "")
+
+
+def longest(pieces: Column) -> Column:
+    """The first of the longest pieces, "" if there is none."""
+    return F.reduce(
+        pieces,
+        F.lit(""),
+        lambda best, piece: F.when(F.length(piece) > F.length(best), piece).otherwise(best),
+    )
+
+
+def with_rarest(terms: DataFrame, pieces: Column, anchor: str) -> DataFrame:
+    """`terms` with the piece that the fewest terms share as `anchor`; as it was without pieces.
+
+    Keeps terms with a piece in common from all being candidates wherever it occurs.
+    """
+    each = exploded(terms, F.array_distinct(pieces), "piece", "source_name")
+    shared = each.groupBy("piece").agg(F.count(F.lit(1)).alias("terms"))
+    order = F.struct("terms", -F.length("piece"), "piece")
+    rarest = each.join(shared, "piece").groupBy("source_name").agg(
+        F.min_by("piece", order).alias("rarest")
+    )
+    return (
+        terms.join(rarest, "source_name", "left")
+        .withColumn(anchor, F.coalesce("rarest", anchor))
+        .drop("rarest")
+    )
+
+
 def search_terms(vocab: DataFrame, word: str = WORD) -> DataFrame:
     """Vocabulary ready for matching.
 
@@ -99,16 +131,10 @@ def search_terms(vocab: DataFrame, word: str = WORD) -> DataFrame:
     is the whole term, so finding the anchor is the match. pattern: the
     boundary-aware regular expression.
     """
-    runs = F.filter(F.split("term", f"[^{word}]+"), lambda run: run != "")
-    longest = F.reduce(
-        runs,
-        F.lit(""),
-        lambda best, run: F.when(F.length(run) > F.length(best), run).otherwise(best),
-    )
     return (
         vocab.filter(F.col("source_name") != "")
         .withColumn("term", F.lower("source_name"))
-        .withColumn("longest", longest)
+        .withColumn("longest", longest(word_runs("term", word)))
         .withColumn("wordless", F.col("longest") == "")
         .withColumn(
             "anchor", F.when(F.col("wordless"), F.left("term", F.lit(1))).otherwise(F.col("longest"))

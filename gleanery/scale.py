@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # never more than 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.002
 
-# How many ways the rows of a hot key are spread.
-SALTS = 64
+# The rows of a hot key are spread so that no task gets more than this share of all rows.
+TASK_SHARE = 0.0005
+
+# How many ways the rows without a key are spread, which need no partner.
+NULL_SALTS = 1024
 
 # monotonically_increasing_id() keeps the row position in its lower 33 bits.
 POSITION_BITS = 33
@@ -62,18 +66,32 @@ def text_size(df: DataFrame) -> int:
     return row[0] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Values of `key` that hold at least `share` of the rows, at most 1/share of them.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict[Any, float]:
+    """Values of `key` that hold at least `share` of the rows, with their shares.
 
-    The counts are combined before the shuffle, so a hot key costs no task more
-    than one row per input partition.
+    There are at most 1 / share of them. The counts are combined before the
+    shuffle, so a hot key costs no task more than one row per input partition.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    total = df.agg(F.count(F.lit(1)))
-    hot = counts.filter(F.col("n") >= total.scalar() * F.lit(share)).orderBy(F.desc("n"))
-    return [row.k for row in hot.limit(int(1 / share) + 1).collect()]
+    total = df.agg(F.count(F.lit(1))).scalar()
+    hot = counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= share)
+    return {row.k: row.share for row in hot.orderBy(F.desc("n")).limit(int(1 / share)).collect()}
+
+
+def _salt_count(key: Column, hot: Mapping[Any, float]) -> Column:
+    """Number of salts of a key: 1, or a power of 4 that grows with the share of a hot key."""
+    classes: dict[int, list] = {}
+    for value, share in hot.items():
+        salts = 1
+        while share / salts > TASK_SHARE:
+            salts *= 4
+        classes.setdefault(salts, []).append(value)
+    count = F.lit(1)
+    for salts, values in classes.items():
+        count = F.when(key.isin(values), F.lit(salts)).otherwise(count)
+    return count
 
 
 def salted_join(
@@ -81,11 +99,10 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    hot: Sequence,
+    hot: Mapping[Any, float],
     spread_by: Sequence[str] = (),
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join on `key` with the hot keys of `left` spread over `salts` tasks.
+    """Equi-join on `key` with the hot keys of `left` spread over many tasks.
 
     Rows of `right` are repeated once per salt for hot keys only. NULL keys of
     `left` match nothing and are spread as well. `how` is inner, left,
@@ -93,14 +110,12 @@ def salted_join(
     `spread_by`: copies of one row spread too, and a task that runs again puts
     each row where it was.
     """
-    is_hot = F.col(key).isin(list(hot)) if hot else F.lit(False)
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    spread = left.withColumn(
-        "_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(F.lit(0))
-    )
+    count = _salt_count(F.col(key), hot)
+    place = F.xxhash64(F.spark_partition_id(), *spread_by)
+    salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(count)
+    spread = left.withColumn("_salt", F.pmod(place, salts).cast("int"))
     repeated = right.filter(F.col(key).isNotNull()).withColumn(
-        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+        "_salt", F.explode(F.sequence(F.lit(0), count - 1))
     )
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 

@@ -32,6 +32,11 @@ def save_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def create_table(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """Typed table without rows."""
+    return save_table(spark.createDataFrame([], schema), folder, name)
+
+
 def append_rows(df: DataFrame, folder: str, name: str) -> None:
     df.write.mode("append").parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -46,9 +51,22 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     return spark.createDataFrame(pa.table(columns)).to(StructType.fromDDL(schema))
 
 
+def in_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows by columns, descending where the name starts with "-".
+
+    An unknown value counts as the greatest: last going up, first going down.
+    """
+    return df.orderBy(
+        *[
+            F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc_nulls_last()
+            for c in columns
+        ]
+    )
+
+
 def sample_rows(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
     """A few rows to look at: any, or the first in an order."""
-    return (df.orderBy(*order_by) if order_by else df).limit(n)
+    return (in_order(df, *order_by) if order_by else df).limit(n)
 
 
 def schema_report(df: DataFrame) -> DataFrame:

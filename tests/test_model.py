@@ -51,16 +51,17 @@ def hot_frames(spark):
 def test_salted_join_is_a_join(spark, how):
     left, right = hot_frames(spark)
     hot = scale.hot_keys(left, "k", share=0.2)
-    assert hot == ["hot"]
+    assert hot == {"hot": pytest.approx(1 / 3)}
     want = rows(left.join(right, "k", how))
-    assert rows(scale.salted_join(left, right, "k", how, hot, salts=5)) == want
-    assert rows(scale.salted_join(left, right, "k", how, [])) == want
+    assert rows(scale.salted_join(left, right, "k", how, hot, ["id"])) == want
+    assert rows(scale.salted_join(left, right, "k", how, {"hot": 0.3, "k1": 0.01})) == want
+    assert rows(scale.salted_join(left, right, "k", how, {})) == want
     assert rows(scale.lookup_join(left, right, "k", how, ["id"], broadcast_bytes=0)) == want
 
 
 def test_salted_join_spreads_the_hot_key(spark):
     left, right = hot_frames(spark)
-    joined = scale.salted_join(left, right, "k", "inner", ["hot"], ["id"], salts=8)
+    joined = scale.salted_join(left, right, "k", "inner", {"hot": 1 / 3}, ["id"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

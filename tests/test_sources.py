@@ -92,3 +92,17 @@ def test_sample_rows(spark):
 def test_spread_deals_out_small_tables_only(spark):
     assert tables.spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 8
     assert tables.spread(spark.range(100, numPartitions=20)).rdd.getNumPartitions() == 20
+
+
+def test_unknown_counts_as_greatest_in_order(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, None), (2, "c")], "n int, v string")
+    up = [tuple(r) for r in tables.in_order(df, "n", "v").collect()]
+    assert up == [(1, "a"), (2, "c"), (2, None), (None, "b")]
+    down = [tuple(r) for r in tables.in_order(df, "-n", "-v").collect()]
+    assert down == [(None, "b"), (2, None), (2, "c"), (1, "a")]
+
+
+def test_created_table_keeps_its_types(spark, tmp_path):
+    made = tables.create_table(spark, str(tmp_path), "t", "id bigint, v string")
+    assert made.count() == 0
+    assert tables.read_table(spark, str(tmp_path), "t").dtypes == [("id", "bigint"), ("v", "string")]
