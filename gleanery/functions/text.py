@@ -88,6 +88,8 @@ def boundary_pattern(term: str | Column, word: str = WORD) -> Column:
 
 
 def contains_ignoring_case(text: str | Column, part: str | Column) -> Column:
-    """Substring test, case aside; `%` and `_` in `part` are wildcards."""
+    """Substring test, case aside; `%` and `_` in `part` are wildcards, a backslash escapes."""
     part = F.lit(part) if isinstance(part, str) else part
+    # A backslash before an ordinary character says nothing, but Spark refuses it.
+    part = F.regexp_replace(part, r"(?s)(\\[%_\\])|\\(.)", "$1$2")
     return F.ilike(col(text), F.concat(F.lit("%"), part, F.lit("%")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import WORD, boundary_class, col, contains_ignoring_case, word_class
 from gleanery.operators.vocabulary import search_terms, with_rarest, word_runs
-from gleanery.scale import BROADCAST_BYTES, computed_once, exploded, let, lookup_join
+from gleanery.scale import BROADCAST_BYTES, computed_once, exploded, let, lookup_join, written
 
 # A vocabulary within these bounds is carried in the plan.
 PLAN_TERMS = 1000
@@ -49,9 +49,12 @@ def words(lowered: str | Column, word: str = WORD) -> Column:
     return F.split(col(lowered), f"{boundary_class(word)}+")
 
 
-def _anchors_in(lowered: str | Column, word: str) -> Column:
-    """All that can be the anchor of a term in the text: its words and its other characters."""
-    rest = F.regexp_replace(col(lowered), f"{word_class(word)}+", "")
+def _anchors_in(lowered: Column, word: str, wordless: bool) -> Column:
+    """All that can be the anchor of a term in the text: its words and, if there are
+    wordless terms, its other characters."""
+    if not wordless:
+        return F.array_distinct(words(lowered, word))
+    rest = F.regexp_replace(lowered, f"{word_class(word)}+", "")
     return F.array_union(words(lowered, word), F.split(rest, ""))
 
 
@@ -78,14 +81,31 @@ def attach_matches(
     lowered = F.lower(text) if where is None else F.when(where, F.lower(text))
     if rows is not None:
         return _match_in_rows(df, lowered, rows, word, into)
-    return _match_by_join(df, lowered, terms, key, word, broadcast_bytes, into)
+    candidates, _ = _candidates(df, lowered, terms, key, word, broadcast_bytes)
+    return _check_candidates(df, lowered, candidates, key, into)
 
 
 def find_matches(
-    df: DataFrame, text: str, vocab: DataFrame, key: str, where: Column | None = None, **options
+    df: DataFrame,
+    text: str,
+    vocab: DataFrame,
+    key: str,
+    where: Column | None = None,
+    word: str = WORD,
+    max_terms: int = PLAN_TERMS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per record and term: key, source_name, standard_name."""
-    found = attach_matches(df, text, vocab, key, where, into="_matches", **options)
+    terms = search_terms(vocab, word)
+    rows = _plan_rows(terms, max_terms)
+    lowered = F.lower(text) if where is None else F.when(where, F.lower(text))
+    if rows is not None:
+        found = _match_in_rows(df, lowered, rows, word, "_matches")
+    else:
+        candidates, proven = _candidates(df, lowered, terms, key, word, broadcast_bytes)
+        if proven:
+            return candidates.select(key, "source_name", "standard_name")
+        found = _check_candidates(df, lowered, candidates, key, "_matches")
     return found.select(key, F.inline("_matches"))
 
 
@@ -122,24 +142,41 @@ def _names(found: Column) -> Column:
     return F.transform(found, lambda t: F.struct(t["source_name"], t["standard_name"]))
 
 
-def _match_by_join(
-    df: DataFrame,
-    lowered: Column,
-    terms: DataFrame,
-    key: str,
-    word: str,
-    broadcast_bytes: int,
-    into: str,
-) -> DataFrame:
+def _candidates(
+    df: DataFrame, lowered: Column, terms: DataFrame, key: str, word: str, broadcast_bytes: int
+) -> tuple[DataFrame, bool]:
+    """Records and the terms whose anchor is in their text, and whether that proves them all."""
+    rare = with_rarest(terms, word_runs("term", word), "anchor")
+    unproven = ~F.col("plain")
+    terms = written(
+        rare.select(
+            "source_name",
+            "standard_name",
+            "anchor",
+            "wordless",
+            "plain",
+            F.when(unproven, F.col("term")).alias("term"),
+            F.when(unproven, F.col("pattern")).alias("pattern"),
+        ),
+        "terms",
+    )
+    kinds = terms.agg(F.bool_or("wordless").alias("wordless"), F.bool_and("plain").alias("plain")).first()
+
     def anchors(rows: DataFrame) -> DataFrame:
-        return exploded(rows, _anchors_in(lowered, word), "anchor", key).filter("anchor != ''")
+        found = _anchors_in(lowered, word, bool(kinds.wordless))
+        return exploded(rows, found, "anchor", key).filter("anchor != ''")
 
-    terms = with_rarest(terms, word_runs("term", word), "anchor")
     candidates = lookup_join(
-        anchors(df), terms, "anchor", "inner", [key], broadcast_bytes,
+        anchors(df), terms.drop("wordless"), "anchor", "inner", [key], broadcast_bytes,
         profile=lambda: anchors(df.sample(PROFILE_SHARE)),
     )
-    # A group is what one text can hold; texts meet their candidates once, to check them.
+    return candidates, bool(kinds.plain)
+
+
+def _check_candidates(
+    df: DataFrame, lowered: Column, candidates: DataFrame, key: str, into: str
+) -> DataFrame:
+    """`df` with the candidates that hold; each text meets its own once."""
     packed = candidates.groupBy(key).agg(
         F.collect_list(
             F.struct("source_name", "standard_name", "term", "plain", "pattern")
