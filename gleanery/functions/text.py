@@ -12,6 +12,15 @@ REGEX_METACHARACTERS = r"([\\.^$|()\[\]{}*+?])"
 WORD = "a-z0-9"
 WORD_OR_UNDERSCORE = "a-z0-9_"
 
+# Names of the formatting conditions, in the order they are tested.
+FORMAT_CLASSES = (
+    "NULL",
+    "Empty string",
+    "Whitespace only",
+    "Leading/trailing whitespace",
+    "No formatting issue",
+)
+
 
 def col(name: str | Column) -> Column:
     return name if isinstance(name, Column) else F.col(name)
@@ -54,12 +63,13 @@ def differs(value: str | Column, cleaned: Column) -> Column:
 def format_class(value: str | Column) -> Column:
     """First formatting condition that applies."""
     value = col(value)
+    unknown, empty, blank, padded, fine = FORMAT_CLASSES
     return (
-        F.when(value.isNull(), "NULL")
-        .when(value == "", "Empty string")
-        .when(F.trim(value) == "", "Whitespace only")
-        .when(differs(value, F.trim(value)), "Leading/trailing whitespace")
-        .otherwise("No formatting issue")
+        F.when(value.isNull(), unknown)
+        .when(value == "", empty)
+        .when(F.trim(value) == "", blank)
+        .when(differs(value, F.trim(value)), padded)
+        .otherwise(fine)
     )
 
 

@@ -146,29 +146,27 @@ def _candidates(
     df: DataFrame, lowered: Column, terms: DataFrame, key: str, word: str, broadcast_bytes: int
 ) -> tuple[DataFrame, bool]:
     """Records and the terms whose anchor is in their text, and whether that proves them all."""
-    rare = with_rarest(terms, word_runs("term", word), "anchor")
+    terms = written(terms, "terms")
+    kinds = terms.agg(
+        F.bool_or("wordless").alias("wordless"), F.bool_and("plain").alias("plain")
+    ).first()
     unproven = ~F.col("plain")
-    terms = written(
-        rare.select(
-            "source_name",
-            "standard_name",
-            "anchor",
-            "wordless",
-            "plain",
-            F.when(unproven, F.col("term")).alias("term"),
-            F.when(unproven, F.col("pattern")).alias("pattern"),
-        ),
-        "terms",
+    rare = with_rarest(terms, word_runs("term", word), "anchor", broadcast_bytes).select(
+        "source_name",
+        "standard_name",
+        "anchor",
+        "plain",
+        F.when(unproven, F.col("term")).alias("term"),
+        F.when(unproven, F.col("pattern")).alias("pattern"),
     )
-    kinds = terms.agg(F.bool_or("wordless").alias("wordless"), F.bool_and("plain").alias("plain")).first()
 
     def anchors(rows: DataFrame) -> DataFrame:
         found = _anchors_in(lowered, word, bool(kinds.wordless))
         return exploded(rows, found, "anchor", key).filter("anchor != ''")
 
     candidates = lookup_join(
-        anchors(df), terms.drop("wordless"), "anchor", "inner", [key], broadcast_bytes,
-        profile=lambda: anchors(df.sample(PROFILE_SHARE)),
+        anchors(df), rare, "anchor", "inner", [key], broadcast_bytes,
+        profile=lambda: anchors(df.sample(PROFILE_SHARE, seed=1)),
     )
     return candidates, bool(kinds.plain)
 
@@ -259,7 +257,8 @@ def _probe_by_join(
     # Three characters in a row, none of them a wildcard, are in every text a name is in.
     stretches = F.split("term", r"[%_\\]+")
     pieces = F.flatten(F.transform(stretches, _grams))
-    grams = with_rarest(terms.withColumn("gram", F.lit("")), pieces, "gram")
+    whole = written(terms.withColumn("gram", F.lit("")), "names")
+    grams = with_rarest(whole, pieces, "gram", broadcast_bytes)
     short = grams.filter(F.length("gram") < GRAM)
     short_rows = _plan_rows(short, PLAN_TERMS)
     if short_rows is None:
@@ -271,7 +270,7 @@ def _probe_by_join(
 
     candidates = lookup_join(
         text_grams(lowered), grams.filter(F.length("gram") == GRAM), "gram", "inner", [key],
-        broadcast_bytes, profile=lambda: text_grams(lowered.sample(PROFILE_SHARE)),
+        broadcast_bytes, profile=lambda: text_grams(lowered.sample(PROFILE_SHARE, seed=1)),
     )
     hits = (
         candidates.join(lowered, key)

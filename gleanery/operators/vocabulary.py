@@ -104,7 +104,9 @@ def longest(pieces: Column) -> Column:
     )
 
 
-def with_rarest(terms: DataFrame, pieces: Column, anchor: str) -> DataFrame:
+def with_rarest(
+    terms: DataFrame, pieces: Column, anchor: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """`terms` with the piece that the fewest terms share as `anchor`; as it was without pieces.
 
     Keeps terms with a piece in common from all being candidates wherever it occurs.
@@ -112,9 +114,8 @@ def with_rarest(terms: DataFrame, pieces: Column, anchor: str) -> DataFrame:
     each = exploded(terms, F.array_distinct(pieces), "piece", "source_name")
     shared = each.groupBy("piece").agg(F.count(F.lit(1)).alias("terms"))
     order = F.struct("terms", -F.length("piece"), "piece")
-    rarest = each.join(shared, "piece").groupBy("source_name").agg(
-        F.min_by("piece", order).alias("rarest")
-    )
+    counted = lookup_join(each, shared, "piece", "inner", ["source_name"], broadcast_bytes)
+    rarest = counted.groupBy("source_name").agg(F.min_by("piece", order).alias("rarest"))
     return (
         terms.join(rarest, "source_name", "left")
         .withColumn(anchor, F.coalesce("rarest", anchor))

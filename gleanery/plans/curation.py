@@ -37,7 +37,7 @@ class Feed:
     term: str = "skill"
 
 
-# The feed of job postings, as `sources.csv_text` reads it.
+# The feed of job postings, as `sources.csv_text` reads it.
 JOB_POSTINGS = Feed(
     key="job_id",
     newest="date_time",

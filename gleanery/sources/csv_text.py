@@ -64,10 +64,13 @@ def read_text_csv(
     columns: Sequence[str] = OBSERVATION_COLUMNS,
     line_breaks_in_fields: bool = True,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Comma-separated UTF-8 files with a header; columns go by position.
 
     Doubled quotes stand for a quote, an empty field is NULL, "" is empty text.
+    A record with too few or too many fields fails the job; `mode="PERMISSIVE"`
+    fills or cuts it instead.
     The CSV source reads a file whole if its fields may hold line breaks. That
     is fine for files of moderate size; if any is larger, the records are
     found with all tasks working on all files (`csv_records`). Pass
@@ -79,6 +82,7 @@ def read_text_csv(
         "escape": '"',
         "nullValue": UNUSED_NULL_TEXT,
         "multiLine": str(line_breaks_in_fields).lower(),
+        "mode": mode,
     }
     schema = text_schema(columns)
     if line_breaks_in_fields and files_too_large(spark, path, whole_file_bytes).limit(1).count():

@@ -27,6 +27,29 @@ def test_csv_fields(spark, tmp_path, whole):
     ]
 
 
+@pytest.mark.parametrize("whole", [1 << 30, 0])
+def test_ragged_records_fail(spark, tmp_path, whole):
+    path = write(tmp_path / "f.csv", "id,a,b\n1,x,y\n2,x\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        csv_text.read_text_csv(spark, path, COLUMNS, whole_file_bytes=whole).collect()
+    filled = csv_text.read_text_csv(
+        spark, path, COLUMNS, whole_file_bytes=whole, mode="PERMISSIVE"
+    )
+    assert rows(filled) == [("1", "x", "y"), ("2", "x", None)]
+
+
+def test_files_without_line_breaks_are_split(spark, tmp_path):
+    path = write(tmp_path / "f.csv", "id,a,b\n" + "".join(f"{i},x,y\n" for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = csv_text.read_text_csv(spark, path, COLUMNS, line_breaks_in_fields=False)
+        assert df.rdd.getNumPartitions() > 1
+        assert df.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_records_across_many_blocks(spark, tmp_path):
     made = random.Random(7)
 
