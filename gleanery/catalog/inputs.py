@@ -73,9 +73,10 @@ def aliases(spark: SparkSession) -> DataFrame:
     return vocabulary(spark, ALIASES)
 
 
-def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """All-text feed, one row per document."""
-    documents = spread(read_table(spark, folder, "documents"))
+def observations(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
+    """All-text feed, one row per document; `heavy` where the texts are to be searched."""
+    documents = read_table(spark, folder, "documents")
+    documents = spread(documents) if heavy else documents
     labels = read_table(spark, folder, "labels")
     lang, source, toxic, quality = (F.col(c) for c in ("lang", "source", "toxic", "quality"))
 

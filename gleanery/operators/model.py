@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.packed import EMPTY_LIST
@@ -52,23 +52,27 @@ def junction_table(
     return contiguous_ids(pairs, [key, name], id_col)
 
 
+def _summary(df: DataFrame, **measures: Column) -> Column:
+    """All measures of a table as one scalar, from one pass."""
+    return df.agg(F.struct(*[value.alias(name) for name, value in measures.items()])).scalar()
+
+
 def model_counts(
     facts: DataFrame, dimension: DataFrame, junction: DataFrame, key: str, id_col: str, name: str
 ) -> DataFrame:
     """One row with the sizes and distinct keys of the three tables."""
     rows = F.count(F.lit(1))
-
-    def measure(df: DataFrame, value):
-        return df.agg(value).scalar()
-
+    fact = _summary(facts, rows=rows, keys=F.countDistinct(key))
+    dim = _summary(dimension, rows=rows, ids=F.countDistinct(id_col))
+    pair = _summary(junction, rows=rows, keys=F.countDistinct(key), names=F.countDistinct(name))
     return facts.sparkSession.range(1).select(
-        measure(facts, rows).alias("total_facts"),
-        measure(facts, F.countDistinct(key)).alias("unique_fact_keys"),
-        measure(dimension, rows).alias("total_dimension_rows"),
-        measure(dimension, F.countDistinct(id_col)).alias("unique_dimension_ids"),
-        measure(junction, rows).alias("total_junction_rows"),
-        measure(junction, F.countDistinct(key)).alias("records_with_terms"),
-        measure(junction, F.countDistinct(name)).alias("unique_terms"),
+        fact.getField("rows").alias("total_facts"),
+        fact.getField("keys").alias("unique_fact_keys"),
+        dim.getField("rows").alias("total_dimension_rows"),
+        dim.getField("ids").alias("unique_dimension_ids"),
+        pair.getField("rows").alias("total_junction_rows"),
+        pair.getField("keys").alias("records_with_terms"),
+        pair.getField("names").alias("unique_terms"),
     )
 
 
@@ -76,9 +80,11 @@ def coverage_balance(
     recovered: DataFrame, junction: DataFrame, key: str, packed: str
 ) -> DataFrame:
     """Whether records with terms and records with an empty list add up to all records."""
-    total = recovered.agg(F.count(F.lit(1))).scalar()
-    empty = recovered.agg(F.count_if(F.col(packed) == EMPTY_LIST)).scalar()
-    held = junction.agg(F.countDistinct(key)).scalar()
+    records = _summary(
+        recovered, total=F.count(F.lit(1)), empty=F.count_if(F.col(packed) == EMPTY_LIST)
+    )
+    total, empty = records.getField("total"), records.getField("empty")
+    held = _summary(junction, keys=F.countDistinct(key)).getField("keys")
     return recovered.sparkSession.range(1).select(
         total.alias("total_records"),
         held.alias("records_with_terms"),

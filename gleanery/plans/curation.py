@@ -105,10 +105,16 @@ def cleaned_records(observations: DataFrame, feed: Feed) -> DataFrame:
     that times are compared and not their texts; the others only have to fit
     in the rows that are kept.
     """
-    deciding = {c: k for c, k in feed.kinds.items() if c in (feed.key, feed.newest, *feed.tie_break)}
-    others = {c: k for c, k in feed.kinds.items() if c not in deciding}
+    first = (feed.key, feed.newest, *feed.tie_break)
+    deciding = {c: kind for c, kind in feed.kinds.items() if c in first}
+    others = {c: kind for c, kind in feed.kinds.items() if c not in first}
     latest = dedup.keep_latest_wide(
-        typing.typed(observations, deciding), [feed.key], feed.newest, feed.tie_break, ROW, check=False
+        typing.typed(observations, deciding),
+        [feed.key],
+        feed.newest,
+        feed.tie_break,
+        ROW,
+        check=False,
     )
     rows = clean.trimmed(typing.typed(latest.drop(ROW), others), *feed.trim)
     return clean.case_folded(rows, feed.name)

@@ -120,6 +120,9 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    open_files = lines.groupBy("file").agg(F.sum("quotes").alias("quotes")).filter("quotes % 2 = 1")
+    if broken := open_files.limit(3).collect():
+        raise ValueError("a quoted field never ends in " + ", ".join(row.file for row in broken))
     in_order = Window.partitionBy(*block).orderBy("line")
     earlier_lines = in_order.rowsBetween(Window.unboundedPreceding, -1)
     lines_so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -38,6 +38,12 @@ def test_ragged_records_fail(spark, tmp_path, whole):
     assert rows(filled) == [("1", "x", "y"), ("2", "x", None)]
 
 
+def test_a_field_that_never_ends_is_refused(spark, tmp_path):
+    path = write(tmp_path / "f.csv", 'id,a,b\n1,"x,y\n2,x,z\n')
+    with pytest.raises(ValueError, match="never ends"):
+        csv_text.read_text_csv(spark, path, COLUMNS, whole_file_bytes=0)
+
+
 def test_files_without_line_breaks_are_split(spark, tmp_path):
     path = write(tmp_path / "f.csv", "id,a,b\n" + "".join(f"{i},x,y\n" for i in range(2000)))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
