@@ -43,12 +43,14 @@ def keep_latest_wide(
 ) -> DataFrame:
     """`keep_latest` for wide rows: the choice is made on the narrow columns alone.
 
-    `row_id` must be unique and known, which is checked unless told not to. When few rows are
+    `row_id` must be unique and known, which is checked unless told not to; it
+    settles what the other columns leave open. When few rows are
     superseded their ids are broadcast and the wide rows are filtered where
     they lie, otherwise the wide rows are shuffled once, by `row_id`.
     """
     narrow = df.select(*dict.fromkeys([*keys, newest, *tie_break, row_id]))
-    kept = written(keep_latest(narrow, keys, newest, tie_break).select(row_id), "latest")
+    latest = keep_latest(narrow, keys, newest, list(dict.fromkeys([*tie_break, row_id])))
+    kept = written(latest.select(row_id), "latest")
     total = narrow.count()
     if check and (ids := narrow.select(row_id).agg(F.countDistinct(row_id)).first()[0]) != total:
         raise ValueError(f"{row_id} does not identify the rows: {ids} ids, {total} rows")
@@ -58,5 +60,17 @@ def keep_latest_wide(
     return df.join(F.broadcast(superseded), row_id, "left_anti").select(*df.columns)
 
 
+def undecided_keys(
+    df: DataFrame, keys: Sequence[str], newest: str, tie_break: Sequence[str]
+) -> DataFrame:
+    """Keys whose latest row the columns leave open, with the rows that tie.
+
+    Ties are counted before the choice, so that many of them cost one row.
+    """
+    ties = df.groupBy(*keys, newest, *tie_break).agg(F.count(F.lit(1)).alias("rows"))
+    latest = keep_latest(ties, keys, newest, tie_break)
+    return latest.filter("rows > 1").select(*keys, newest, *tie_break, "rows")
+
+
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()

@@ -18,10 +18,17 @@ def extract_dimension(df: DataFrame, value: str, id_col: str) -> DataFrame:
 
 
 def attach_dimension(
-    df: DataFrame, dimension: DataFrame, value: str, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    dimension: DataFrame,
+    value: str,
+    spread_by: Sequence[str] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """`df` with the id of its value; rows without a match, and NULLs, get NULL."""
-    return lookup_join(df, dimension, value, "left", broadcast_bytes=broadcast_bytes)
+    """`df` with the id of its value; rows without a match, and NULLs, get NULL.
+
+    Rows of a hot value are told apart by `spread_by` if the dimension is large.
+    """
+    return lookup_join(df, dimension, value, "left", spread_by, broadcast_bytes)
 
 
 def fact_table(linked: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:

@@ -133,7 +133,7 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
     companies = save_table(
         model.extract_dimension(records, feed.name, feed.name_id), folder, "companies"
     )
-    linked = model.attach_dimension(records, companies, feed.name)
+    linked = model.attach_dimension(records, companies, feed.name, [feed.key])
     jobs = save_table(model.fact_table(linked, feed.name_id, feed.fact_columns), folder, "jobs")
     job_skills = save_table(
         model.junction_table(records, feed.key, feed.packed, vocab, feed.junction_id, feed.term),

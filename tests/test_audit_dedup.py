@@ -107,6 +107,13 @@ def test_wide_rows_need_an_identity(spark):
         dedup.keep_latest_wide(twice, ["k"], "t", ["id"], "id")
 
 
+def test_undecided_keys(spark):
+    typed = typing.typed(observed(spark), {"t": "timestamp"})
+    open_keys = dedup.undecided_keys(typed, ["k"], "t", [])
+    assert rows(open_keys, "k", "rows") == [("k3", 2)]
+    assert rows(dedup.undecided_keys(typed, ["k"], "t", ["id"])) == []
+
+
 def test_keeping_the_latest_settles(spark):
     df = spark.range(5000).select(
         (F.col("id") % 7).alias("k"), (F.col("id") * 7919 % 101).alias("t"), "id"
