@@ -51,10 +51,13 @@ def keep_latest_wide(
     narrow = df.select(*dict.fromkeys([*keys, newest, *tie_break, row_id]))
     latest = keep_latest(narrow, keys, newest, list(dict.fromkeys([*tie_break, row_id])))
     kept = written(latest.select(row_id), "latest")
-    total = narrow.count()
-    if check and (ids := narrow.select(row_id).agg(F.countDistinct(row_id)).first()[0]) != total:
-        raise ValueError(f"{row_id} does not identify the rows: {ids} ids, {total} rows")
-    if (total - kept.count()) * ID_BYTES > broadcast_bytes:
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if check:
+        counts.append(F.countDistinct(row_id).alias("ids"))
+    found = narrow.agg(*counts).first()
+    if check and found.ids != found.rows:
+        raise ValueError(f"{row_id} does not identify the rows: {found.ids} of {found.rows}")
+    if (found.rows - kept.count()) * ID_BYTES > broadcast_bytes:
         return df.join(kept, row_id, "left_semi").select(*df.columns)
     superseded = written(narrow.select(row_id).join(kept, row_id, "left_anti"), "superseded")
     return df.join(F.broadcast(superseded), row_id, "left_anti").select(*df.columns)
