@@ -29,6 +29,12 @@ GRAM = 3
 
 MATCH = "array<struct<source_name:string,standard_name:string>>"
 
+TERM_FIELDS = ("source_name", "standard_name", "term", "plain", "pattern")
+TERMS = (
+    "array<struct<source_name:string,standard_name:string,term:string,"
+    "plain:boolean,pattern:string>>"
+)
+
 
 def _plan_rows(terms: DataFrame, max_terms: int) -> list | None:
     """Rows of `terms` in the order of source_name, or None if out of bounds."""
@@ -39,10 +45,9 @@ def _plan_rows(terms: DataFrame, max_terms: int) -> list | None:
     return sorted(rows, key=lambda row: row.source_name)
 
 
-def _plan_array(rows: list, schema: str) -> Column:
-    """Rows as one constant array."""
-    text = json.dumps([row.asDict() for row in rows], ensure_ascii=False)
-    return F.from_json(F.lit(text), f"array<struct<{schema}>>")
+def _constant(value: list | dict, ddl: str) -> Column:
+    """A nested value as one constant of the plan."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
 
 
 def words(lowered: str | Column, word: str = WORD) -> Column:
@@ -112,25 +117,25 @@ def find_matches(
 def _match_in_rows(
     df: DataFrame, lowered: Column, rows: list, word: str, into: str
 ) -> DataFrame:
-    terms = _plan_array(
-        rows,
-        "source_name:string,standard_name:string,term:string,anchor:string,"
-        "wordless:boolean,plain:boolean,pattern:string",
-    )
-    anchors = F.split(F.lit(" ".join(sorted({r.anchor for r in rows if not r.wordless}))), " ")
+    by_anchor: dict[str, list] = {}
+    wordless = []
+    for row in rows:
+        group = wordless if row.wordless else by_anchor.setdefault(row.anchor, [])
+        group.append({name: row[name] for name in TERM_FIELDS})
+    terms_of = _constant(by_anchor, f"map<string,{TERMS}>")
+    anchors = F.split(F.lit(" ".join(sorted(by_anchor))), " ")
+    others = _constant(wordless, TERMS)
 
-    def occurs(t: Column, low: Column, present: Column) -> Column:
-        possible = t["wordless"] | F.array_contains(present, t["anchor"])
-        return F.coalesce(possible & _holds(low, t), F.lit(False))
+    def found(low: Column) -> Column:
+        def holding(terms: Column) -> Column:
+            return F.filter(terms, lambda t: _holds(low, t))
 
-    found = let(
-        lowered,
-        lambda low: let(
-            F.array_intersect(words(low, word), anchors),
-            lambda present: F.filter(terms, lambda t: occurs(t, low, present)),
-        ),
-    )
-    return computed_once(df, into, _names(found))
+        present = F.array_intersect(words(low, word), anchors)
+        with_words = F.flatten(F.transform(present, lambda a: holding(F.element_at(terms_of, a))))
+        return F.concat(with_words, holding(others)) if wordless else with_words
+
+    matches = F.array_sort(_names(let(lowered, found)))
+    return computed_once(df, into, F.coalesce(matches, F.array().cast(MATCH)))
 
 
 def _holds(lowered: Column, t: Column) -> Column:
@@ -176,9 +181,7 @@ def _check_candidates(
 ) -> DataFrame:
     """`df` with the candidates that hold; each text meets its own once."""
     packed = candidates.groupBy(key).agg(
-        F.collect_list(
-            F.struct("source_name", "standard_name", "term", "plain", "pattern")
-        ).alias("_candidates")
+        F.collect_list(F.struct(*TERM_FIELDS)).alias("_candidates")
     )
     found = let(lowered, lambda low: F.filter("_candidates", lambda t: _holds(low, t)))
     names = F.coalesce(F.array_sort(_names(found)), F.array().cast(MATCH))
@@ -237,7 +240,10 @@ def _occurs_anywhere(lowered: Column, term: Column, wild: Column) -> Column:
 
 
 def _probe_in_rows(df: DataFrame, text: str, rows: list, key: str) -> DataFrame:
-    terms = _plan_array(rows, "source_name:string,term:string,wild:boolean")
+    terms = _constant(
+        [row.asDict() for row in rows],
+        "array<struct<source_name:string,term:string,wild:boolean>>",
+    )
     found = let(
         F.lower(text),
         lambda low: F.filter(terms, lambda t: _occurs_anywhere(low, t["term"], t["wild"])),
