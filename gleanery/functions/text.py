@@ -92,9 +92,13 @@ def boundary_class(word: str = WORD) -> str:
 
 
 def boundary_pattern(term: str | Column, word: str = WORD) -> Column:
-    """Pattern that finds the lower-cased term, literally, where no `word` character touches it."""
-    edge = boundary_class(word)
-    return F.concat(F.lit(f"(^|{edge})"), escape_regex(F.lower(col(term))), F.lit(f"({edge}|$)"))
+    """Pattern that finds the lower-cased term, literally, where no `word` character touches it.
+
+    The term comes first and what is around it after, so that the search skips
+    from one first character to the next.
+    """
+    literal, near = escape_regex(F.lower(col(term))), word_class(word)
+    return F.concat(literal, F.lit(f"(?<!{near}"), literal, F.lit(f")(?!{near})"))
 
 
 def contains_ignoring_case(text: str | Column, part: str | Column) -> Column:
