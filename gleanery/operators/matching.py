@@ -147,10 +147,18 @@ def _names(found: Column) -> Column:
     return F.transform(found, lambda t: F.struct(t["source_name"], t["standard_name"]))
 
 
+def _require_key(df: DataFrame, key: str) -> None:
+    """Fails unless `key` is unique and known, as texts are brought back by it."""
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("keys")).first()
+    if found.rows != found.keys:
+        raise ValueError(f"{key} does not identify the texts: {found.keys} of {found.rows}")
+
+
 def _candidates(
     df: DataFrame, lowered: Column, terms: DataFrame, key: str, word: str, broadcast_bytes: int
 ) -> tuple[DataFrame, bool]:
     """Records and the terms whose anchor is in their text, and whether that proves them all."""
+    _require_key(df, key)
     terms = written(terms, "terms")
     kinds = terms.agg(
         F.bool_or("wordless").alias("wordless"), F.bool_and("plain").alias("plain")
@@ -260,6 +268,7 @@ def _grams(value: Column) -> Column:
 def _probe_by_join(
     df: DataFrame, text: str, terms: DataFrame, key: str, broadcast_bytes: int
 ) -> DataFrame:
+    _require_key(df, key)
     # Three characters in a row, none of them a wildcard, are in every text a name is in.
     stretches = F.split("term", r"[%_\\]+")
     pieces = F.flatten(F.transform(stretches, _grams))

@@ -92,6 +92,16 @@ def test_a_word_in_every_text(spark, way):
     assert rows(got) == by_regex(values, ["the", "c++", "top"])
 
 
+def test_repeated_keys_are_refused_where_texts_are_joined(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c d")], "id long, text string")
+    v = vocab(spark, ["a", "c d", "abc"])
+    assert rows(matching.find_matches(df, "text", v, "id"), "source_name") == [("a",), ("c d",)]
+    with pytest.raises(ValueError, match="does not identify"):
+        matching.find_matches(df, "text", v, "id", max_terms=0)
+    with pytest.raises(ValueError, match="does not identify"):
+        matching.probe_vocabulary(df, "text", v, "id", max_terms=0)
+
+
 def test_rows_are_matched_without_a_shuffle_and_once(spark):
     found = matching.find_matches(texts(spark, ["a b"]), "text", vocab(spark, ["a", "a b"]), "id")
     plan = found._jdf.queryExecution().executedPlan().toString()
