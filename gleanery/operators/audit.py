@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import col, differs, fold_case, format_class, is_missing, last_characters
+from gleanery.functions.text import (
+    col,
+    differs,
+    fold_case,
+    format_class,
+    is_missing,
+    last_characters,
+)
 
 
 def row_count() -> Column:

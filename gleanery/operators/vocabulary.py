@@ -138,7 +138,8 @@ def search_terms(vocab: DataFrame, word: str = WORD) -> DataFrame:
         .withColumn("longest", longest(word_runs("term", word)))
         .withColumn("wordless", F.col("longest") == "")
         .withColumn(
-            "anchor", F.when(F.col("wordless"), F.left("term", F.lit(1))).otherwise(F.col("longest"))
+            "anchor",
+            F.when(F.col("wordless"), F.left("term", F.lit(1))).otherwise(F.col("longest")),
         )
         .withColumn("plain", F.col("longest") == F.col("term"))
         .withColumn("pattern", boundary_pattern("source_name", word))
