@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import simhash
+from gleanery.llm import mixture, simhash
 from gleanery.sources.tables import read_table
 
 
@@ -15,8 +17,29 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents, "doc_id", "text")
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(read_table(spark, folder, "documents"))
+
+
+def packed_pieces(documents: DataFrame) -> DataFrame:
+    """Pieces of the packed documents with the checksum of their ids in place of the ids."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = mixture.pack(documents, "doc_id", "text", "source", tokenizer)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "source",
+    )
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
 }
 
 CORPUS_SQL: dict[str, str] = {}
