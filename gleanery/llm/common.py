@@ -201,3 +201,19 @@ def _small_star(links: DataFrame) -> DataFrame:
         .select(F.col("lower").alias("node"), F.col("m").alias("lower"))
     )
     return least.select("node", F.col("m").alias("lower")).unionByName(moved).distinct()
+
+
+def boxed(df: DataFrame, **named: Column) -> DataFrame:
+    """The rows of `df` as one column `_row` beside the named ones, so that no names clash."""
+    return df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        *[value.alias(name) for name, value in named.items()],
+    )
+
+
+def unboxed(columns: Sequence[str], **changed: Column) -> list[Column]:
+    """Columns of `_row` again; those named in `changed` are replaced or added at the end."""
+    kept = [
+        changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`").alias(c) for c in columns
+    ]
+    return kept + [value.alias(c) for c, value in changed.items() if c not in columns]

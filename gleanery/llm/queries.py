@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import mixture, simhash
+from gleanery.llm import mixture, simhash, substring
 from gleanery.sources.tables import read_table
 
 
+def op1_substring(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the passages they share with earlier ones, and whose those are."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    return substring.without_copies(documents, "doc_id", "text").withColumn(
+        "removed_bytes",
+        F.aggregate("removed", F.lit(0), lambda n, s: n + s["stop"] - s["start"]),
+    )
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     return simhash.simhash_groups(documents, "doc_id", "text")
@@ -38,6 +47,7 @@ def packed_pieces(documents: DataFrame) -> DataFrame:
 
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": op1_substring,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
 }
