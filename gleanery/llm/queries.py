@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import mixture, simhash, substring
+from gleanery.llm import chain, mixture, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -46,10 +46,26 @@ def packed_pieces(documents: DataFrame) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the probability of each category and whether it is toxic."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    labels = read_table(spark, folder, "labels")
+    model = chain.fit(documents, labels, "doc_id", "text", chain.corpus_categories())
+    scores = chain.scored(documents.select("doc_id", "text"), "text", model)
+    return scores.select(
+        "doc_id",
+        F.col("categories.poor").alias("p_poor"),
+        F.col("categories.toxic").alias("p_toxic"),
+        F.col("categories.toxic_foreign").alias("p_toxic_foreign"),
+        (F.col("categories.toxic") >= chain.REJECT_FROM).alias("toxic"),
+    )
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 CORPUS_SQL: dict[str, str] = {}
