@@ -4,7 +4,8 @@ The categories are predicted one after the other. Each has a logistic model
 over the words of the text, the beginnings of its words and a few figures of
 its shape, and over the probabilities of the categories before it. For
 training, those earlier probabilities are out-of-fold: every row is predicted
-by models that have not seen it.
+by models that have not seen it. Words only ever raise a probability: an
+insult counts as much in a long harmless text as in a short one.
 
 The models are fitted on a sample of labelled rows whose size is a parameter;
 the sample goes by the hash of the key, so it is the same in every run. All
@@ -33,7 +34,10 @@ SAMPLE_ROWS = 20_000
 FEATURES = 4096
 
 #: A feature is considered from so many texts of the sample on.
-MIN_TEXTS = 5
+MIN_TEXTS = 3
+
+#: A feature is taken for more frequent in a category from this chi-square on (1 in 1000).
+CHI_SQUARE = 10.8
 
 #: Lengths of the beginnings of words.
 BEGINNINGS = (4, 5, 6)
@@ -135,9 +139,10 @@ class Rows:
         return sparse + self.dense @ dense + bias
 
     def fit(
-        self, y: np.ndarray, use: np.ndarray, steps: int = 80, rate: float = 0.3, ridge: float = 1e-4
+        self, y: np.ndarray, use: np.ndarray, steps: int = 150, rate: float = 0.3, ridge: float = 1e-6
     ) -> tuple[np.ndarray, np.ndarray, float]:
-        """Logistic regression by Adam over all rows in `use`; constant if they agree."""
+        """Logistic regression by Adam over all rows in `use`, word weights not below 0;
+        constant if the rows agree."""
         n = max(int(use.sum()), 1)
         total = self.size + self.dense.shape[1] + 1
         w = np.zeros(total)
@@ -156,6 +161,7 @@ class Rows:
             first = 0.9 * first + 0.1 * slope
             second = 0.99 * second + 0.01 * slope**2
             w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+            np.maximum(w[: self.size], 0, out=w[: self.size])
         return w[: self.size], w[self.size : -1], float(w[-1])
 
 
@@ -212,7 +218,7 @@ def labelled_sample(
 
 
 def choose_features(sample: DataFrame, categories: int, size: int = FEATURES) -> list[str]:
-    """The features that tell most about any category by their chi-square, the best first."""
+    """The features most over-represented in any category by their chi-square, the best first."""
     width = 2 * categories
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +255,13 @@ def choose_features(sample: DataFrame, categories: int, size: int = FEATURES) ->
         if 0 < p < n:
             hit, seen = F.col(f"c{i}"), F.col(f"c{categories + i}")
             expected = seen * (p / n)
-            scores.append(F.pow(hit - expected, 2) / (expected * (1 - p / n)))
+            more = F.greatest(hit - expected, F.lit(0.0))
+            scores.append(F.pow(more, 2) / (expected * (1 - p / n)))
     if not scores:
         return []
     best = F.greatest(*scores, F.lit(0.0)) if len(scores) > 1 else scores[0]
-    chosen = counted.select("feature", best.alias("score")).orderBy(F.desc("score"), "feature")
+    told = counted.select("feature", best.alias("score")).filter(F.col("score") > CHI_SQUARE)
+    chosen = told.orderBy(F.desc("score"), "feature")
     return [row.feature for row in chosen.limit(size).collect()]
 
 
