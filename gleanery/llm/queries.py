@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import chain, mixture, simhash, substring
+from gleanery.llm import chain, mixture, seeds, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -21,6 +21,13 @@ def op1_substring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the benchmark texts they overlap."""
+    documents = read_table(spark, folder, "documents")
+    benchmark = read_table(spark, folder, "benchmark")
+    return seeds.overlaps(documents, "doc_id", "text", benchmark, "item_id", "text")
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     return simhash.simhash_groups(documents, "doc_id", "text")
@@ -63,6 +70,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
+    "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
     "op10_toxicity": op10_toxicity,
