@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import chain, mixture, seeds, simhash, substring
+from gleanery.llm import chain, mixture, quotes, seeds, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -21,6 +21,53 @@ def op1_substring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """All turns, sent as mail that quotes the two before, linked again and freed of quotes."""
+    turns = read_table(spark, folder, "conversations")
+    mail = quotes.as_mail(turns, "conv_id", "turn", "text")
+    return quotes.reply_order(mail, "conv_id", "turn", "text").select(
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        F.col("reply_to.conv").alias("reply_conv_id"),
+        F.col("reply_to.turn").alias("reply_turn"),
+        F.col("thread.conv").alias("thread_conv_id"),
+        F.col("thread.turn").alias("thread_turn"),
+        "depth",
+        F.size("quoted").alias("quoted_passages"),
+    )
+
+
+# The same from the turns themselves: a turn quotes the two before it, and what
+# counts as said first is the earliest turn of the conversation with those words.
+OP2_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, role, text, regexp_replace(text, '^\s+|\s+$', '', 'g') AS own,
+         trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS even
+  FROM conversations),
+first_here AS (SELECT conv_id, even, min(turn) AS turn FROM said WHERE even <> '' GROUP BY ALL),
+linked AS (
+  SELECT s.conv_id, s.turn, s.role, s.own AS text, coalesce(f1.turn, f2.turn) AS up,
+         (p1.even <> '')::INT AS n1, (p2.even <> '')::INT AS n2
+  FROM said s
+  LEFT JOIN said p1 ON p1.conv_id = s.conv_id AND p1.turn = s.turn - 1
+  LEFT JOIN said p2 ON p2.conv_id = s.conv_id AND p2.turn = s.turn - 2
+  LEFT JOIN first_here f1 ON f1.conv_id = s.conv_id AND f1.even = p1.even
+  LEFT JOIN first_here f2 ON f2.conv_id = s.conv_id AND f2.even = p2.even),
+chain AS (
+  SELECT conv_id, turn, turn AS root, 0 AS depth FROM linked WHERE up IS NULL
+  UNION ALL
+  SELECT l.conv_id, l.turn, c.root, c.depth + 1
+  FROM linked l JOIN chain c ON c.conv_id = l.conv_id AND c.turn = l.up)
+SELECT l.conv_id, l.turn, l.role, l.text,
+       CASE WHEN l.up IS NOT NULL THEN l.conv_id END AS reply_conv_id, l.up AS reply_turn,
+       l.conv_id AS thread_conv_id, c.root AS thread_turn, c.depth,
+       CAST(coalesce(n1, 0) + coalesce(n2, 0) AS INTEGER) AS quoted_passages
+FROM linked l JOIN chain c USING (conv_id, turn)
+"""
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and the benchmark texts they overlap."""
     documents = read_table(spark, folder, "documents")
@@ -70,10 +117,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
+    "op2_quotes": op2_quotes,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
     "op10_toxicity": op10_toxicity,
 }
 
-CORPUS_SQL: dict[str, str] = {}
+CORPUS_SQL: dict[str, str] = {
+    "op2_quotes": OP2_SQL,
+}
