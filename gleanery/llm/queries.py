@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import chain, mixture, quotes, seeds, simhash, substring
+from gleanery.llm import chain, mixture, quotes, revisit, seeds, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -75,6 +75,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return seeds.overlaps(documents, "doc_id", "text", benchmark, "item_id", "text")
 
 
+def op5_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """The second captures of all pages, resolved to the first."""
+    records = revisit.capture_records(read_table(spark, folder, "pages"))
+    headers = F.array_sort(F.map_entries("headers"))
+    lines = F.transform(headers, lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return revisit.resolve_revisits(records).withColumn("headers", F.array_join(lines, "\n"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     return simhash.simhash_groups(documents, "doc_id", "text")
@@ -119,6 +127,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_quotes": op2_quotes,
     "op3_decontamination": op3_decontamination,
+    "op5_revisits": op5_revisits,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
     "op10_toxicity": op10_toxicity,
