@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import chain, mixture, quotes, revisit, seeds, simhash, substring
+from gleanery.llm import attribution, chain, mixture, pstable, quotes, revisit, seeds, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -75,6 +75,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return seeds.overlaps(documents, "doc_id", "text", benchmark, "item_id", "text")
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of the source, the language and every line of the text of all documents."""
+    documents = read_table(spark, folder, "documents")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return attribution.token_counts(documents, "doc_id", ["source", "lang", "text"], tokenizer)
+
+
 def op5_revisits(spark: SparkSession, folder: str) -> DataFrame:
     """The second captures of all pages, resolved to the first."""
     records = revisit.capture_records(read_table(spark, folder, "pages"))
@@ -88,6 +95,10 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents, "doc_id", "text")
 
 
+def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return pstable.vector_groups(read_table(spark, folder, "embeddings"), "vec_id", "embedding")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(read_table(spark, folder, "documents"))
 
@@ -127,8 +138,10 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_quotes": op2_quotes,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_revisits": op5_revisits,
     "op6_simhash": op6_simhash,
+    "op7_embeddings": op7_embeddings,
     "op8_packing": op8_packing,
     "op10_toxicity": op10_toxicity,
 }
