@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from gleanery.llm.common import boxed, unboxed
 from gleanery.scale import written
@@ -290,8 +290,8 @@ def fit(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([r[0] for r in read], pa.list_(pa.int32())),
-                    pa.array([r[1] for r in read], pa.list_(pa.float64())),
+                    pa.array([np.array(r[0], "<i4").tobytes() for r in read], pa.binary()),
+                    pa.array([np.array(r[1], "<f8").tobytes() for r in read], pa.binary()),
                     batch.column(2),
                 ],
                 ["fold", "ids", "shape", "targets"],
@@ -300,19 +300,19 @@ def fit(
     schema = StructType(
         [
             StructField("fold", IntegerType()),
-            StructField("ids", ArrayType(IntegerType())),
-            StructField("shape", ArrayType(DoubleType())),
+            StructField("ids", BinaryType()),
+            StructField("shape", BinaryType()),
             StructField("targets", ArrayType(DoubleType())),
         ]
     )
     found = sample.select("fold", "text", "targets").mapInArrow(run, schema).collect()
     found.sort(key=lambda r: (r.fold, r.ids, r.shape))
-    shapes = np.array([r.shape for r in found], float).reshape(len(found), SHAPES)
+    shapes = np.frombuffer(b"".join(r.shape for r in found), "<f8").reshape(len(found), SHAPES)
     values = np.array(
         [[np.nan if t is None else t for t in r.targets] for r in found], float
     ).reshape(len(found), len(categories))
     return fit_chain(
-        [r.ids for r in found],
+        [np.frombuffer(r.ids, "<i4") for r in found],
         shapes,
         {name: values[:, i] for i, name in enumerate(categories)},
         np.array([r.fold for r in found], int),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import attribution, chain, mixture, pstable, quotes, revisit, seeds, simhash, substring
+from gleanery.llm import attribution, chain, mixture, pseudo, pstable, quotes, revisit, seeds, simhash, substring
 from gleanery.sources.tables import read_table
 
 
@@ -119,6 +119,10 @@ def packed_pieces(documents: DataFrame) -> DataFrame:
     )
 
 
+def op9_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo.score_texts(read_table(spark, folder, "documents"), "doc_id", "text")
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the probability of each category and whether it is toxic."""
     documents = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -143,6 +147,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_embeddings": op7_embeddings,
     "op8_packing": op8_packing,
+    "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_toxicity": op10_toxicity,
 }
 
