@@ -42,7 +42,7 @@ EMBEDDING = 16
 HIDDEN = 32
 
 ROUNDS = 2
-STRIDE = 8
+STRIDE = 16
 BATCH = 2048
 RATE = 0.1
 
@@ -50,7 +50,7 @@ RATE = 0.1
 HELD = 200_000
 
 #: Positions scored at once.
-SCORED = 1 << 15
+SCORED = 1 << 13
 
 #: Values of the network in one row of the exchange.
 SLICE = 1 << 13
