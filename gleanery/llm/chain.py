@@ -40,7 +40,7 @@ MIN_TEXTS = 3
 CHI_SQUARE = 10.8
 
 #: Lengths of the beginnings of words.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
 FOLDS = 3
 

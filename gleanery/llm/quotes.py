@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import boxed, unboxed
 from gleanery.scale import computed_once, written
 
-_MARKS = r"^((?:[ \t]*>)+)"
+#: Quote marks at the beginning of a line, blanks between them; no group, so any number will do.
+_MARKS = r"^[> \t]*>"
 
 #: Chains of replies longer than 2 to this power do not occur in sound input.
 MAX_ROUNDS = 40
@@ -33,7 +34,7 @@ def passages(text: Column) -> Column:
     read = F.transform(
         lines,
         lambda line: F.struct(
-            F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 1), "[^>]", "")).alias("level"),
+            F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 0), "[^>]", "")).alias("level"),
             F.regexp_replace(line, _MARKS + r"[ \t]?", "").alias("body"),
         ),
     )
