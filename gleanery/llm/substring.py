@@ -35,7 +35,7 @@ TOGETHER = 3
 #: Copied chunks in a row are cut out from this many words on, if so many of them differ:
 #: one word said many times is no passage.
 MIN_WORDS = 25
-MIN_DISTINCT = 10
+MIN_DISTINCT = 15
 
 #: Stretches of so many bytes without a boundary are cut by length.
 LONGEST = 1 << 12
@@ -126,10 +126,14 @@ def shared_chunks(found: DataFrame) -> DataFrame:
 
 
 def copied_chunks(found: DataFrame, shared: DataFrame) -> DataFrame:
-    """`doc`, `body`, the `places` of its chunks that belong to others, and the `owners`."""
-    rows = found.select("doc", "body", F.posexplode("digests").alias("place", "digest"))
+    """`row`, the `places` of its chunks that belong to other documents, and the `owners`.
+
+    `found` has rows numbered in their order, which compress well in the
+    shuffle; hashes that identify them would not.
+    """
+    rows = found.select("row", "doc", F.posexplode("digests").alias("place", "digest"))
     copies = rows.join(shared, "digest").filter("doc > owner")
-    return copies.groupBy("doc", "body").agg(
+    return copies.groupBy("row").agg(
         F.collect_set("place").alias("places"), F.collect_set("owner").alias("owners")
     )
 
@@ -166,8 +170,12 @@ def without_copies(
     document, and a table without rows gives none.
     """
     rows = boxed(df, doc=F.col(key), body=F.xxhash64(text), text=F.col(text))
-    found = written(chunk_digests(rows.filter("doc is not null"), words_per_chunk), "chunks")
-    places = copied_chunks(found, shared_chunks(found))
+    chunked = chunk_digests(rows.filter("doc is not null"), words_per_chunk)
+    found = written(chunked.withColumn("row", F.monotonically_increasing_id()), "chunks")
+    # Written, so that the join below splits the chunks that very many documents share.
+    shared = written(shared_chunks(found), "shared")
+    copied = copied_chunks(found, shared).join(found.select("row", "doc", "body"), "row")
+    places = copied.select("doc", "body", "places", "owners").dropDuplicates(["doc", "body"])
     cut = _cutter(words_per_chunk, min_words)
     done = computed_once(
         rows.join(places, ["doc", "body"], "left"), "cut", cut("text", "places")
