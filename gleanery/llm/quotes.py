@@ -15,6 +15,8 @@ messages costs one row per conversation.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,17 +176,16 @@ def _chains(answers: DataFrame) -> DataFrame:
         .agg(F.min("reply_to").alias("thread"))
         .withColumn("depth", F.lit(1))
     )
-    step = written(step, "chains")
+    going, ended = written(step, "chains"), []
     for _ in range(MAX_ROUNDS):
-        further = step.select(
+        known = reduce(DataFrame.unionByName, ended, going)
+        further = known.select(
             F.col("conv").alias("_c"), F.col("turn").alias("_t"),
             F.col("thread").alias("_thread"), F.col("depth").alias("_depth"),
         )
-        joined = step.join(
-            further, (F.col("thread.conv") == F.col("_c")) & (F.col("thread.turn") == F.col("_t")), "left"
-        )
+        reached = (F.col("thread.conv") == F.col("_c")) & (F.col("thread.turn") == F.col("_t"))
         moved = written(
-            joined.select(
+            going.join(further, reached, "left").select(
                 "conv", "turn",
                 F.coalesce("_thread", "thread").alias("thread"),
                 (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
@@ -192,9 +193,11 @@ def _chains(answers: DataFrame) -> DataFrame:
             ),
             "chains",
         )
-        step = moved.drop("moved")
-        if not moved.filter("moved").limit(1).count():
-            return step
+        # A chain whose end answers nothing is at its first message and is not looked up again.
+        ended.append(moved.filter("not moved").drop("moved"))
+        going = moved.filter("moved").drop("moved")
+        if not going.limit(1).count():
+            return reduce(DataFrame.unionByName, ended)
     raise RuntimeError(f"chains of replies did not end after {MAX_ROUNDS} doublings")
 
 
