@@ -7,6 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StructType,
+    TimestampType,
+)
 
 from gleanery.functions.text import (
     col,
@@ -48,16 +58,40 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(is_missing(c)).alias(f"missing_{c}") for c in columns])
 
 
+def lossless(value: Column, kind: DataType) -> Column:
+    """A value as texts that are equal for equal values only; NULL stays NULL.
+
+    Times are counted in microseconds, the two zeros of floating point are one
+    value, as are all its NaNs, and maps are put in the order of their keys.
+    """
+    if isinstance(kind, StructType):
+        fields = [lossless(value.getField(f.name), f.dataType).alias(f"f{n}") for n, f in enumerate(kind)]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value.cast("string")
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: lossless(x, kind.elementType))
+    if isinstance(kind, MapType):
+        def entry(e: Column) -> Column:
+            return F.struct(
+                lossless(e["key"], kind.keyType).alias("k"),
+                lossless(e["value"], kind.valueType).alias("v"),
+            )
+
+        return F.array_sort(F.transform(F.map_entries(value), entry))
+    if isinstance(kind, BinaryType):
+        return F.hex(value)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, (DoubleType, FloatType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")
+    return value.cast("string")
+
+
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of all values; NULLs are equal to each other and to nothing else."""
-    def value(name: str) -> Column:
-        column = F.col(f"`{name}`")
-        # Adding zero makes the two zeros of floating point one.
-        floating = df.schema[name].dataType.typeName() in ("double", "float")
-        return (column + F.lit(0.0) if floating else column).alias(name)
-
-    row = F.to_json(F.struct(*[value(c) for c in columns]), {"ignoreNullFields": "false"})
-    return F.sha2(row, 256)
+    values = [
+        lossless(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"c{n}") for n, c in enumerate(columns)
+    ]
+    return F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
 
 
 def exact_duplicates(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

@@ -36,8 +36,14 @@ def updated_from(
 ) -> DataFrame:
     """Columns overwritten where `updates` has the key; other rows keep their values.
 
-    `updates` has one row per key. A matching NULL overwrites.
+    `updates` must have one row per key, which is checked; its rows with a NULL
+    key meet no row and may repeat. A matching NULL overwrites.
     """
+    known = updates.filter(F.col(key).isNotNull())
+    repeated = known.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if found := repeated.limit(3).collect():
+        named = ", ".join(str(row[0]) for row in found)
+        raise ValueError(f"several updates for the same {key}: {named}")
     new = updates.select(key, F.struct(*columns).alias("_new"))
     joined = lookup_join(df, new, key, "left", broadcast_bytes=broadcast_bytes)
     chosen = {

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.scale import BROADCAST_BYTES, written
-
-# Bytes allowed per row id when the ids of superseded rows are broadcast.
-ID_BYTES = 32
+from gleanery.scale import BROADCAST_BYTES, text_size, written
 
 
 def keep_latest(
@@ -44,22 +41,23 @@ def keep_latest_wide(
     """`keep_latest` for wide rows: the choice is made on the narrow columns alone.
 
     `row_id` must be unique and known, which is checked unless told not to; it
-    settles what the other columns leave open. When few rows are
-    superseded their ids are broadcast and the wide rows are filtered where
-    they lie, otherwise the wide rows are shuffled once, by `row_id`.
+    settles what the other columns leave open. When the ids of the
+    superseded rows, measured, are small enough, they are broadcast and the
+    wide rows are filtered where they lie, otherwise the wide rows are
+    shuffled once, by `row_id`.
     """
     narrow = df.select(*dict.fromkeys([*keys, newest, *tie_break, row_id]))
     latest = keep_latest(narrow, keys, newest, list(dict.fromkeys([*tie_break, row_id])))
     kept = written(latest.select(row_id), "latest")
-    counts = [F.count(F.lit(1)).alias("rows")]
     if check:
-        counts.append(F.countDistinct(row_id).alias("ids"))
-    found = narrow.agg(*counts).first()
-    if check and found.ids != found.rows:
-        raise ValueError(f"{row_id} does not identify the rows: {found.ids} of {found.rows}")
-    if (found.rows - kept.count()) * ID_BYTES > broadcast_bytes:
-        return df.join(kept, row_id, "left_semi").select(*df.columns)
+        found = narrow.agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct(row_id).alias("ids")
+        ).first()
+        if found.ids != found.rows:
+            raise ValueError(f"{row_id} does not identify the rows: {found.ids} of {found.rows}")
     superseded = written(narrow.select(row_id).join(kept, row_id, "left_anti"), "superseded")
+    if text_size(superseded) > broadcast_bytes:
+        return df.join(kept, row_id, "left_semi").select(*df.columns)
     return df.join(F.broadcast(superseded), row_id, "left_anti").select(*df.columns)
 
 

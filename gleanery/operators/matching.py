@@ -9,6 +9,7 @@ candidates that need it are then checked against the text.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,8 +79,9 @@ def attach_matches(
 
     A term occurs where it stands literally, case aside, with no `word`
     character before or after it; overlapping terms are all reported. Rows
-    outside `where` and rows without text get an empty array. `key`, unique and
-    known, ties the parts together when the vocabulary is too large for the plan.
+    outside `where` and rows without text get an empty array. `key` helps to tie
+    the parts together when the vocabulary is too large for the plan; repeated
+    and NULL keys do no harm, and the size of the vocabulary changes the plan only.
     """
     terms = search_terms(vocab, word)
     rows = _plan_rows(terms, max_terms)
@@ -100,7 +102,7 @@ def find_matches(
     max_terms: int = PLAN_TERMS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per record and term: key, source_name, standard_name."""
+    """One row per row of `df` and term found in it: key, source_name, standard_name."""
     terms = search_terms(vocab, word)
     rows = _plan_rows(terms, max_terms)
     lowered = F.lower(text) if where is None else F.when(where, F.lower(text))
@@ -123,7 +125,7 @@ def _match_in_rows(
         group = wordless if row.wordless else by_anchor.setdefault(row.anchor, [])
         group.append({name: row[name] for name in TERM_FIELDS})
     terms_of = _constant(by_anchor, f"map<string,{TERMS}>")
-    anchors = F.split(F.lit(" ".join(sorted(by_anchor))), " ")
+    anchors = _constant(sorted(by_anchor), "array<string>")
     others = _constant(wordless, TERMS)
 
     def found(low: Column) -> Column:
@@ -135,7 +137,8 @@ def _match_in_rows(
         return F.concat(with_words, holding(others)) if wordless else with_words
 
     matches = F.array_sort(_names(let(lowered, found)))
-    return computed_once(df, into, F.coalesce(matches, F.array().cast(MATCH)))
+    none = F.array().cast(MATCH)
+    return computed_once(df, into, F.when(lowered.isNull(), none).otherwise(matches))
 
 
 def _holds(lowered: Column, t: Column) -> Column:
@@ -147,24 +150,24 @@ def _names(found: Column) -> Column:
     return F.transform(found, lambda t: F.struct(t["source_name"], t["standard_name"]))
 
 
-def _require_key(df: DataFrame, key: str) -> None:
-    """Fails unless `key` is unique and known, as texts are brought back by it."""
-    found = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("keys")).first()
-    if found.rows != found.keys:
-        raise ValueError(f"{key} does not identify the texts: {found.keys} of {found.rows}")
+def _identified(df: DataFrame, key: str, lowered: Column) -> DataFrame:
+    """`df` with `_known`, which tells texts apart: the key and a hash of the text.
+
+    Rows that agree in both hold the same terms, so they need not be told apart.
+    """
+    return df.withColumn("_known", F.struct(F.col(key).alias("key"), F.xxhash64(lowered).alias("text")))
 
 
 def _candidates(
     df: DataFrame, lowered: Column, terms: DataFrame, key: str, word: str, broadcast_bytes: int
 ) -> tuple[DataFrame, bool]:
     """Records and the terms whose anchor is in their text, and whether that proves them all."""
-    _require_key(df, key)
     terms = written(terms, "terms")
     kinds = terms.agg(
         F.bool_or("wordless").alias("wordless"), F.bool_and("plain").alias("plain")
     ).first()
     unproven = ~F.col("plain")
-    rare = with_rarest(terms, word_runs("term", word), "anchor", broadcast_bytes).select(
+    rarest = with_rarest(terms, word_runs("term", word), "anchor", broadcast_bytes).select(
         "source_name",
         "standard_name",
         "anchor",
@@ -172,14 +175,16 @@ def _candidates(
         F.when(unproven, F.col("term")).alias("term"),
         F.when(unproven, F.col("pattern")).alias("pattern"),
     )
+    rare = written(rarest, "rare-anchors")
 
     def anchors(rows: DataFrame) -> DataFrame:
         found = _anchors_in(lowered, word, bool(kinds.wordless))
-        return exploded(rows, found, "anchor", key).filter("anchor != ''")
+        known = _identified(rows, key, lowered)
+        return exploded(known, found, "anchor", key, "_known").filter("anchor != ''")
 
     candidates = lookup_join(
         anchors(df), rare, "anchor", "inner", [key], broadcast_bytes,
-        profile=lambda: anchors(df.sample(PROFILE_SHARE, seed=1)),
+        profile=lambda: anchors(df.sample(PROFILE_SHARE, seed=1)), profile_share=PROFILE_SHARE,
     )
     return candidates, bool(kinds.plain)
 
@@ -188,12 +193,15 @@ def _check_candidates(
     df: DataFrame, lowered: Column, candidates: DataFrame, key: str, into: str
 ) -> DataFrame:
     """`df` with the candidates that hold; each text meets its own once."""
-    packed = candidates.groupBy(key).agg(
-        F.collect_list(F.struct(*TERM_FIELDS)).alias("_candidates")
+    packed = candidates.groupBy("_known").agg(
+        F.collect_set(F.struct(*TERM_FIELDS)).alias("_candidates")
     )
     found = let(lowered, lambda low: F.filter("_candidates", lambda t: _holds(low, t)))
     names = F.coalesce(F.array_sort(_names(found)), F.array().cast(MATCH))
-    joined = df.join(packed, key, "left")
+    rows = _identified(df, key, lowered)
+    # A NULL key is a value like any other inside a struct, but for the join.
+    same = rows["_known"].eqNullSafe(packed["_known"])
+    joined = rows.join(packed, same, "left")
     return computed_once(joined, into, names).select(*df.columns, into)
 
 
@@ -227,7 +235,7 @@ def probe_vocabulary(
     """Records that contain each source name anywhere, case aside; names never found are left out.
 
     `%` and `_` in a name are wildcards. A small vocabulary is tested in the
-    row; a larger one is joined to the texts by three characters in a row.
+    row; a larger one is joined to the texts by up to three characters in a row.
     """
     chosen = df if where is None else df.filter(where)
     terms = vocab.filter(F.length("source_name") >= min_length).select(
@@ -260,36 +268,73 @@ def _probe_in_rows(df: DataFrame, text: str, rows: list, key: str) -> DataFrame:
     return exploded(df, names, "source_name", key)
 
 
-def _grams(value: Column) -> Column:
-    """Every stretch of GRAM characters."""
-    return F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+def _grams(value: Column, size: int = GRAM) -> Column:
+    """Every stretch of `size` characters."""
+    return F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
 def _probe_by_join(
     df: DataFrame, text: str, terms: DataFrame, key: str, broadcast_bytes: int
 ) -> DataFrame:
-    _require_key(df, key)
-    # Three characters in a row, none of them a wildcard, are in every text a name is in.
+    """Joined by a stretch of the literal characters of each name, the longest there are up to GRAM.
+
+    A name of wildcards alone is in every text that is long enough.
+    """
     stretches = F.split("term", r"[%_\\]+")
-    pieces = F.flatten(F.transform(stretches, _grams))
-    whole = written(terms.withColumn("gram", F.lit("")), "names")
-    grams = with_rarest(whole, pieces, "gram", broadcast_bytes)
-    short = grams.filter(F.length("gram") < GRAM)
-    short_rows = _plan_rows(short, PLAN_TERMS)
-    if short_rows is None:
-        raise ValueError(f"over {PLAN_TERMS} names without {GRAM} literal characters in a row")
-    lowered = df.select(key, F.lower(text).alias("_lowered"))
+    longest = F.coalesce(F.array_max(F.transform(stretches, lambda part: F.length(part))), F.lit(0))
+    size = F.when(longest > 0, F.least(longest, F.lit(GRAM))).otherwise(
+        F.contains("term", F.lit("\\")).cast("int")
+    )
+    # What a backslash makes literal; one at the end does so for the wildcard put after the name.
+    escaped = F.regexp_extract("term", r"(?s)\\(.?)", 1)
+    literal = F.when(longest > 0, stretches).otherwise(
+        F.array(F.when(escaped == "", "%").otherwise(escaped))
+    )
+    sized = written(terms.select("*", size.alias("size"), literal.alias("literal")), "names")
+    sizes = [row.size for row in sized.select("size").distinct().collect()]
+    lowered = _identified(df, key, F.lower(text)).select(key, "_known", F.lower(text).alias("_lowered"))
+    hits = [
+        _probe_by_grams(lowered, sized.filter(F.col("size") == n), n, key, broadcast_bytes)
+        for n in sorted(sizes)
+        if n
+    ]
+    if 0 in sizes:
+        hits.append(_probe_by_length(lowered, sized.filter("size = 0"), key))
+    none = df.sparkSession.createDataFrame([], lowered.select(key).schema.add("source_name", "string"))
+    return reduce(DataFrame.unionByName, hits, none)
+
+
+def _probe_by_grams(
+    lowered: DataFrame, terms: DataFrame, size: int, key: str, broadcast_bytes: int
+) -> DataFrame:
+    pieces = F.flatten(F.transform("literal", lambda part: _grams(part, size)))
+    rarest = with_rarest(terms.withColumn("gram", F.lit("")), pieces, "gram", broadcast_bytes)
+    grams = written(rarest.select("source_name", "term", "wild", "gram"), "grams")
 
     def text_grams(rows: DataFrame) -> DataFrame:
-        return exploded(rows, F.array_distinct(_grams(F.col("_lowered"))), "gram", key)
+        every = F.array_distinct(_grams(F.col("_lowered"), size))
+        return exploded(rows, every, "gram", "_known")
 
     candidates = lookup_join(
-        text_grams(lowered), grams.filter(F.length("gram") == GRAM), "gram", "inner", [key],
-        broadcast_bytes, profile=lambda: text_grams(lowered.sample(PROFILE_SHARE, seed=1)),
+        text_grams(lowered), grams, "gram", "inner", ["_known"], broadcast_bytes,
+        profile=lambda: text_grams(lowered.sample(PROFILE_SHARE, seed=1)),
+        profile_share=PROFILE_SHARE,
+    )
+    packed = candidates.groupBy("_known").agg(
+        F.collect_set(F.struct("source_name", "term", "wild")).alias("_candidates")
     )
-    hits = (
-        candidates.join(lowered, key)
-        .filter(_occurs_anywhere(F.col("_lowered"), F.col("term"), F.col("wild")))
-        .select(key, "source_name")
+    joined = lowered.join(packed, lowered["_known"].eqNullSafe(packed["_known"]))
+    held = F.filter(
+        "_candidates", lambda t: _occurs_anywhere(F.col("_lowered"), t["term"], t["wild"])
     )
-    return hits.unionByName(_probe_in_rows(df, text, short_rows, key)) if short_rows else hits
+    return exploded(joined, F.transform(held, lambda t: t["source_name"]), "source_name", key)
+
+
+def _probe_by_length(lowered: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """Names of `_` and `%` alone, in every text of as many characters as there are `_`."""
+    least = F.length(F.regexp_replace("term", "%", ""))
+    bare = terms.select("source_name", least.alias("least"))
+    needed = sorted(row.least for row in bare.select("least").distinct().collect())
+    given = F.array(*[F.lit(n) for n in needed]).cast("array<int>")
+    enough = F.filter(given, lambda n: n <= F.length("_lowered"))
+    return exploded(lowered, enough, "least", key).join(bare, "least").select(key, "source_name")

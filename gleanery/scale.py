@@ -5,8 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
-from typing import Any
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,20 +13,20 @@ from pyspark.sql import functions as F
 # A side is broadcast only when its measured text size is below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# A key is hot when it holds at least this share of the rows, so there are
-# never more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.002
+# Rows of one key that a task of a join gets at most, as far as MAX_HOT_KEYS allows.
+TASK_ROWS = 1_000_000
 
-# The rows of a hot key are spread so that no task gets more than this share of all rows.
-TASK_SHARE = 0.0005
-
-# How many ways the rows without a key are spread, which need no partner.
-NULL_SALTS = 1024
+# Keys with salts of their own, of which there is a broadcast table: they hold at least one row
+# in so many.
+MAX_HOT_KEYS = 100_000
 
 # monotonically_increasing_id() keeps the row position in its lower 33 bits.
 POSITION_BITS = 33
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from `spark.checkpoint.dir`.
 
@@ -39,9 +38,10 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="gleanery-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="gleanery-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -67,32 +67,21 @@ def text_size(df: DataFrame) -> int:
     return row[0] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict[Any, float]:
-    """Values of `key` that hold at least `share` of the rows, with their shares.
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Values of `key` with more rows than a task should get, and the `_salts` they are spread over.
 
-    There are at most 1 / share of them. The counts are combined before the
-    shuffle, so a hot key costs no task more than one row per input partition.
+    The counts are combined before the shuffle, so a hot key costs no task
+    more than one row per input partition. There are at most MAX_HOT_KEYS of
+    them, whatever the size of `df`: beyond that the bound on the rows rises.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(
-        F.count(F.lit(1)).alias("n")
+    counts = written(
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")),
+        "key-counts",
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
-    hot = counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= share)
-    return {row.k: row.share for row in hot.orderBy(F.desc("n")).limit(int(1 / share)).collect()}
-
-
-def _salt_count(key: Column, hot: Mapping[Any, float]) -> Column:
-    """Number of salts of a key: 1, or a power of 4 that grows with the share of a hot key."""
-    classes: dict[int, list] = {}
-    for value, share in hot.items():
-        salts = 1
-        while share / salts > TASK_SHARE:
-            salts *= 4
-        classes.setdefault(salts, []).append(value)
-    count = F.lit(1)
-    for salts, values in classes.items():
-        count = F.when(key.isin(values), F.lit(salts)).otherwise(count)
-    return count
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    most = max(task_rows, total // MAX_HOT_KEYS)
+    salts = F.ceil(F.col("_rows") / F.lit(most)).cast("int")
+    return written(counts.filter(F.col("_rows") > most).select(key, salts.alias("_salts")), "hot-keys")
 
 
 def salted_join(
@@ -100,25 +89,35 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    hot: Mapping[Any, float],
+    hot: DataFrame,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join on `key` with the hot keys of `left` spread over many tasks.
 
-    Rows of `right` are repeated once per salt for hot keys only. NULL keys of
-    `left` match nothing and are spread as well. `how` is inner, left,
-    left_semi or left_anti. The salt comes from the input partition and
-    `spread_by`: copies of one row spread too, and a task that runs again puts
-    each row where it was.
+    `hot` is what `hot_keys` gives, or any table of keys and `_salts` small
+    enough to broadcast. Rows of `right` are repeated once per salt for hot
+    keys only. Rows of `left` with a NULL key match nothing; they do not take
+    part in the join but are added to its result where `how`, which is inner,
+    left, left_semi or left_anti, keeps them. The salt comes from the input
+    partition and `spread_by`: copies of one row spread too, and a task that
+    runs again puts each row where it was.
     """
-    count = _salt_count(F.col(key), hot)
+    hot = F.broadcast(hot)
+    salts = F.coalesce("_salts", F.lit(1))
     place = F.xxhash64(F.spark_partition_id(), *spread_by)
-    salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(count)
-    spread = left.withColumn("_salt", F.pmod(place, salts).cast("int"))
-    repeated = right.filter(F.col(key).isNotNull()).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), count - 1))
+    known = left.filter(F.col(key).isNotNull()).join(hot, key, "left")
+    spread = known.withColumn("_salt", F.pmod(place, salts).cast("int")).drop("_salts")
+    repeated = (
+        right.filter(F.col(key).isNotNull())
+        .join(hot, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("_salts")
     )
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    joined = spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    if how in ("inner", "left_semi"):
+        return joined
+    unknown = left.filter(F.col(key).isNull())
+    return joined.unionByName(unknown, allowMissingColumns=True)
 
 
 def lookup_join(
@@ -129,16 +128,21 @@ def lookup_join(
     spread_by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
     profile: Callable[[], DataFrame] | None = None,
+    profile_share: float = 1.0,
 ) -> DataFrame:
     """Equi-join of a large frame with a smaller one.
 
     `right` is broadcast when its measured size allows it: then `left` is not
     shuffled and skew does not matter. Beyond that the join is salted for the
-    hot keys found in `left`, or in `profile` where `left` is costly to make.
+    hot keys found in `left`, or in `profile`, a share of its rows, where
+    `left` is costly to make.
     """
     if text_size(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(profile() if profile else left, key)
+    if profile:
+        hot = hot_keys(profile(), key, max(1, int(TASK_ROWS * profile_share)))
+    else:
+        hot = hot_keys(left, key)
     return salted_join(left, right, key, how, hot, spread_by)
 
 

@@ -156,3 +156,47 @@ def test_update_leaves_other_rows(spark, broadcast_bytes):
     new = spark.createDataFrame([("a", 10), ("b", None), ("z", 30)], "k string, v int")
     got = clean.updated_from(df, new, "k", ["v"], broadcast_bytes)
     assert rows(got) == [("a", 10), ("b", None), ("c", 3), (None, 4)]
+
+
+def test_duplicates_are_exact_in_every_type(spark):
+    """Pairs of unlike values, and pairs of equal ones, of types whose short form would lose something."""
+    def groups(first, second):
+        df = spark.sql(f"SELECT {first} AS v UNION ALL SELECT {second}")
+        return audit.exact_duplicates(df).first().duplicate_groups
+
+    unlike = [
+        ("TIMESTAMP'2024-01-01 00:00:00.000001'", "TIMESTAMP'2024-01-01 00:00:00.000002'"),
+        ("TIMESTAMP_NTZ'2024-01-01 00:00:00.000001'", "TIMESTAMP_NTZ'2024-01-01 00:00:00.000002'"),
+        ("1.0000000000000002D", "1.0D"), ("X'00'", "X'0000'"), ("NULL", "''"), ("'a'", "'A'"),
+        ("array(TIMESTAMP'2024-01-01 00:00:00.000001')", "array(TIMESTAMP'2024-01-01 00:00:00.000002')"),
+        ("named_struct('a', 1.5D)", "named_struct('a', 1.25D)"), ("map('a', 1)", "map('a', 2)"),
+        ("array('a,b')", "array('a', 'b')"), ("CAST(1.10 AS DECIMAL(10,2))", "CAST(1.11 AS DECIMAL(10,2))"),
+        ("array(NULL, 'a')", "array('a', NULL)"),
+    ]
+    alike = [
+        ("0.0D", "-0.0D"), ("array(0.0D)", "array(-0.0D)"), ("CAST('NaN' AS DOUBLE)", "CAST('NaN' AS DOUBLE)"),
+        ("map('a', 1, 'b', 2)", "map('b', 2, 'a', 1)"), ("CAST(NULL AS STRING)", "NULL"),
+    ]
+    assert [groups(*pair) for pair in unlike] == [0] * len(unlike)
+    assert [groups(*pair) for pair in alike] == [1] * len(alike)
+
+
+def test_numbers_that_would_lose_digits_do_not_fit(spark):
+    texts = ["1.1234567890", "1.12345678901", "1.12345678900", "1e-10", "1e-11", "100e-12", "12.5e-9", "12.5e-10",
+             "-0.00000000001", "7", "1e3", " 1.5 ", "0.0", "NaN", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = {r.t: r.v for r in typing.typed_or_null(df.withColumn("t", F.col("v")), {"v": "numeric"}).collect()}
+    assert [t for t in texts if got[t] is None] == ["1.12345678901", "1e-11", "12.5e-10", "-0.00000000001", "NaN", "x"]
+    with pytest.raises(Exception, match="v is not numeric: 1.123456789012"):
+        typing.typed(spark.createDataFrame([("1.123456789012",)], "v string"), {"v": "numeric"}).collect()
+    short = typing.typed_or_null(spark.createDataFrame([("1.25",), ("1.2",)], "v string"), {"v": "decimal(10,1)"})
+    assert [r.cast_errors for r in short.collect()] == [["v"], []]
+
+
+def test_updates_with_repeated_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="several updates for the same k: 1"):
+        clean.updated_from(df, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), "k", ["v"])
+    updates = spark.createDataFrame([(1, "x"), (None, "y"), (None, "z")], "k int, v string")
+    got = clean.updated_from(df, updates, "k", ["v"]).collect()
+    assert sorted(r.v for r in got) == ["b", "c", "x"]

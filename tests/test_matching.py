@@ -92,14 +92,33 @@ def test_a_word_in_every_text(spark, way):
     assert rows(got) == by_regex(values, ["the", "c++", "top"])
 
 
-def test_repeated_keys_are_refused_where_texts_are_joined(spark):
-    df = spark.createDataFrame([(1, "a b"), (1, "c d")], "id long, text string")
-    v = vocab(spark, ["a", "c d", "abc"])
-    assert rows(matching.find_matches(df, "text", v, "id"), "source_name") == [("a",), ("c d",)]
-    with pytest.raises(ValueError, match="does not identify"):
-        matching.find_matches(df, "text", v, "id", max_terms=0)
-    with pytest.raises(ValueError, match="does not identify"):
-        matching.probe_vocabulary(df, "text", v, "id", max_terms=0)
+@pytest.mark.parametrize("way", WAYS)
+def test_repeated_and_unknown_keys_do_no_harm(spark, way):
+    df = spark.createDataFrame(
+        [(1, "a b"), (1, "c d"), (1, "a b"), (None, "a - b"), (None, None)], "id long, text string"
+    )
+    v = vocab(spark, ["a", "c d", "-"])
+    got = rows(matching.find_matches(df, "text", v, "id", **way), "id", "source_name")
+    assert got == sorted([(1, "a"), (1, "a"), (1, "c d"), (None, "a"), (None, "-")], key=repr)
+    attached = matching.attach_matches(df, "text", v, "id", **way)
+    assert sorted(len(r.matches) for r in attached.collect()) == [0, 1, 1, 1, 2]
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("word", ["a-z0-9", "a-z0-9_"])
+@pytest.mark.parametrize(
+    "names",
+    [["@", "***"], ["é", "@"], ["_"], [], ["a"], ["a b"], ["@", "a", "c++", "a b", "***", "é", "_x", "ñ o"]],
+)
+def test_any_vocabulary_either_way(spark, names, word, way):
+    made = random.Random(3)
+    parts = ["@", "***", "a", "b", "c++", " ", " ", "é", "_x", "ñ", "o", "-"]
+    values = ["@ foo", "foo @ bar", "*** x ***", "", "@", "é", "***"]
+    values += ["".join(made.choice(parts) for _ in range(made.randrange(1, 9))) for _ in range(60)]
+    got = matching.find_matches(
+        texts(spark, values), "text", vocab(spark, names), "id", word=word, **way
+    )
+    assert rows(got) == by_regex(values, names, word)
 
 
 def test_rows_are_matched_without_a_shuffle_and_once(spark):

@@ -50,18 +50,25 @@ def hot_frames(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_is_a_join(spark, how):
     left, right = hot_frames(spark)
-    hot = scale.hot_keys(left, "k", share=0.2)
-    assert hot == {"hot": pytest.approx(1 / 3)}
+    hot = scale.hot_keys(left, "k", task_rows=300)
+    assert rows(hot) == [("hot", 4)]
+    others = spark.createDataFrame([("hot", 7), ("k1", 3)], "k string, _salts int")
     want = rows(left.join(right, "k", how))
     assert rows(scale.salted_join(left, right, "k", how, hot, ["id"])) == want
-    assert rows(scale.salted_join(left, right, "k", how, {"hot": 0.3, "k1": 0.01})) == want
-    assert rows(scale.salted_join(left, right, "k", how, {})) == want
+    assert rows(scale.salted_join(left, right, "k", how, others)) == want
+    assert rows(scale.salted_join(left, right, "k", how, others.filter("false"))) == want
     assert rows(scale.lookup_join(left, right, "k", how, ["id"], broadcast_bytes=0)) == want
 
 
+def test_there_are_never_more_hot_keys_than_can_be_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scale, "MAX_HOT_KEYS", 10)
+    left, _ = hot_frames(spark)
+    assert scale.hot_keys(left, "k", task_rows=1).count() <= 10
+
+
 def test_salted_join_spreads_the_hot_key(spark):
     left, right = hot_frames(spark)
-    joined = scale.salted_join(left, right, "k", "inner", {"hot": 1 / 3}, ["id"])
+    joined = scale.salted_join(left, right, "k", "inner", scale.hot_keys(left, "k", 100), ["id"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
