@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gleanery.scale import written
+from gleanery.scale import computed_once, written
 
 # The columns of the observation feed, in file order.
 OBSERVATION_COLUMNS = (
@@ -44,38 +44,30 @@ OBSERVATION_COLUMNS = (
 # Text no file holds, so that an empty field reads as NULL and "" as empty text.
 UNUSED_NULL_TEXT = "\x01"
 
-# Files up to this size may be read by one task each.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
 
 def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(name, StringType()) for name in columns])
 
 
-def files_too_large(spark: SparkSession, path: str, limit: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Files under `path` above `limit` bytes; lists the files, reads none."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length").filter(F.col("length") > limit)
-
-
 def read_text_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] = OBSERVATION_COLUMNS,
     line_breaks_in_fields: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Comma-separated UTF-8 files with a header; columns go by position.
 
-    Doubled quotes stand for a quote, an empty field is NULL, "" is empty text.
-    A record with too few or too many fields fails the job; `mode="PERMISSIVE"`
-    fills or cuts it instead.
-    The CSV source reads a file whole if its fields may hold line breaks. That
-    is fine for files of moderate size; if any is larger, the records are
-    found with all tasks working on all files (`csv_records`). Pass
-    `line_breaks_in_fields=False` where no field has any: such files are split
-    freely.
+    Doubled quotes stand for a quote, an empty field is NULL, "" is empty text,
+    blank lines are no records. Lines end at `\\n`, `\\r\\n` or `\\r`; within
+    quotes these stay as they are. A record with too few or too many fields
+    fails the job; `mode="PERMISSIVE"` fills or cuts it instead. A quoted field
+    that never ends and a quote inside an unquoted field fail in any mode.
+
+    All tasks work on all files, however large (`csv_records`), and the size
+    of the files changes nothing. Pass `line_breaks_in_fields=False` where no
+    field has any: such files are read in one pass, a line a record, and a
+    quote inside an unquoted field stands for itself.
     """
     options = {
         "quote": '"',
@@ -84,15 +76,38 @@ def read_text_csv(
         "multiLine": str(line_breaks_in_fields).lower(),
         "mode": mode,
     }
-    schema = text_schema(columns)
-    if line_breaks_in_fields and files_too_large(spark, path, whole_file_bytes).limit(1).count():
+    if line_breaks_in_fields:
         ddl = ", ".join(f"`{c}` string" for c in columns)
         parsed = F.from_csv("record", ddl, options)
         return csv_records(spark, path).select(parsed.alias("r")).select(
             *[F.col("r").getField(c).alias(c) for c in columns]
         )
     return spark.read.options(**options).csv(
-        path, schema=schema, header=True, enforceSchema=True, encoding="UTF-8"
+        path, schema=text_schema(columns), header=True, enforceSchema=True, encoding="UTF-8"
+    )
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the files with what ended them, numbered in their order within each block."""
+    read = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.split("value", "\r").alias("parts"),
+    )
+    # What stands between the last \r and the \n is a line, unless it is nothing.
+    parts = F.col("parts")
+    closed = (F.size(parts) > 1) & (F.element_at(parts, -1) == "")
+    lines = F.when(closed, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    each = read.select("file", "block", closed.alias("closed"), F.size(lines).alias("n"),
+                       F.posexplode(lines).alias("at", "value"))
+    last = F.when(F.col("closed"), "\r\n").otherwise("\n")
+    return each.select(
+        "file",
+        "block",
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+        F.when(F.col("at") == F.col("n") - 1, last).otherwise("\r").alias("ender"),
+        (F.length("value") - F.length(F.translate("value", '"', ""))).alias("quotes"),
     )
 
 
@@ -105,18 +120,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     The lines are written first, so that every step sees the same blocks.
     """
     block = ["file", "block"]
-    lines = written(
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.col("value"),
-        )
-        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', ""))),
-        "csv-lines",
-    )
+    lines = written(_lines(spark, path), "csv-lines")
     earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -148,13 +152,24 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     records = (
         pieces.groupBy("file", "start")
         .agg(
-            F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"),
+            F.array_sort(F.collect_list(F.struct("block", "line", "value", "ender"))).alias("parts"),
             F.bool_or("header").alias("header"),
         )
         .filter("NOT header")
     )
-    record = F.regexp_replace(F.array_join("parts.value", "\n"), "\\r$", "")
-    return records.select(record.alias("record")).filter("record != ''")
+    parts = F.transform(
+        "parts",
+        lambda p, i: F.when(i < F.size("parts") - 1, F.concat(p["value"], p["ender"])).otherwise(
+            p["value"]
+        ),
+    )
+    record = computed_once(records.select("file", F.array_join(parts, "").alias("_text")), "record", F.col("_text"))
+    # Every quoted stretch becomes one quote; it must have a comma or an end on either side.
+    bare = F.regexp_replace("record", '"[^"]*"', '"')
+    stray = F.rlike(bare, F.lit('[^,"]"|"[^,"]'))
+    message = F.concat(F.lit("a quote inside an unquoted field in "), F.col("file"))
+    checked = F.when(stray, F.raise_error(message)).otherwise(F.col("record"))
+    return record.filter("record != ''").select(checked.alias("record"))
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

@@ -13,35 +13,54 @@ def write(path, text):
     return str(path)
 
 
-@pytest.mark.parametrize("whole", [1 << 30, 0])
-def test_csv_fields(spark, tmp_path, whole):
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("block", ["7", "128m"])
+def test_csv_fields(spark, tmp_path, end, block):
     path = write(
         tmp_path / "f.csv",
-        'other,"names ""here""\n",x\n1,"say ""hi"", then\nleave",z\n2,,""\n3,é,"a\r\nb"\n',
+        end.join(
+            ['\ufeffother,"names ""here""\n",x', '1,"say ""hi"", then\nleave",z', "", '2,,""',
+             '3,é,"a\r\nb"', '4,"\r","\n\r\r\n"', '"5",",",""""']
+        ),
     )
-    got = rows(csv_text.read_text_csv(spark, path, COLUMNS, whole_file_bytes=whole))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        got = rows(csv_text.read_text_csv(spark, path, COLUMNS))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [
         ("1", 'say "hi", then\nleave', "z"),
         ("2", None, ""),
         ("3", "é", "a\r\nb"),
+        ("4", "\r", "\n\r\r\n"),
+        ("5", ",", '"'),
     ]
 
 
-@pytest.mark.parametrize("whole", [1 << 30, 0])
-def test_ragged_records_fail(spark, tmp_path, whole):
+def test_ragged_records_fail(spark, tmp_path):
     path = write(tmp_path / "f.csv", "id,a,b\n1,x,y\n2,x\n")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
-        csv_text.read_text_csv(spark, path, COLUMNS, whole_file_bytes=whole).collect()
-    filled = csv_text.read_text_csv(
-        spark, path, COLUMNS, whole_file_bytes=whole, mode="PERMISSIVE"
-    )
+        csv_text.read_text_csv(spark, path, COLUMNS).collect()
+    filled = csv_text.read_text_csv(spark, path, COLUMNS, mode="PERMISSIVE")
     assert rows(filled) == [("1", "x", "y"), ("2", "x", None)]
 
 
-def test_a_field_that_never_ends_is_refused(spark, tmp_path):
-    path = write(tmp_path / "f.csv", 'id,a,b\n1,"x,y\n2,x,z\n')
-    with pytest.raises(ValueError, match="never ends"):
-        csv_text.read_text_csv(spark, path, COLUMNS, whole_file_bytes=0)
+@pytest.mark.parametrize("mode", ["FAILFAST", "PERMISSIVE"])
+@pytest.mark.parametrize(
+    ("text", "error"),
+    [
+        ('1,"x,y\n2,x,z\n', "never ends"),
+        ('1,5" pipe,y\n2,x,z\n', "never ends"),
+        ('1,5" pipe,y\n2,6" pipe,z\n', "inside an unquoted field"),
+        ('1,5" by 6",y\n', "inside an unquoted field"),
+        ('1,"x"y,z\n', "inside an unquoted field"),
+    ],
+)
+def test_quotes_out_of_place_fail_in_any_mode(spark, tmp_path, text, error, mode):
+    path = write(tmp_path / "f.csv", "id,a,b\n" + text)
+    with pytest.raises(Exception, match=error):
+        csv_text.read_text_csv(spark, path, COLUMNS, mode=mode).collect()
 
 
 def test_files_without_line_breaks_are_split(spark, tmp_path):
@@ -75,7 +94,7 @@ def test_records_across_many_blocks(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        got = csv_text.read_text_csv(spark, str(tmp_path), COLUMNS, whole_file_bytes=0)
+        got = csv_text.read_text_csv(spark, str(tmp_path), COLUMNS)
         assert rows(got) == sorted(want, key=repr)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
