@@ -18,6 +18,7 @@ from gleanery.session import local_session  # noqa: E402
 
 HEADLINE = (
     "csv_text_load",
+    "csv_text_load_split",
     "repeat_baseline",
     "exact_duplicates",
     "repeat_span",
@@ -27,12 +28,14 @@ HEADLINE = (
     "format_classes",
     "case_variants",
     "probe_vocabulary",
+    "probe_vocabulary_joined",
     "term_matches",
     "term_matches_joined",
     "large_vocabulary_matches",
     "recovered_rows",
     "dimension_of_words",
     "fact_rows",
+    "fact_rows_salted",
     "junction_rows",
     "constraint_report",
     "model_counts",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.functions.text import WORD, WORD_OR_UNDERSCORE
 from gleanery.operators.vocabulary import vocabulary
 from gleanery.plans.curation import Feed
 from gleanery.sources.tables import read_table, spread
@@ -140,23 +141,55 @@ VOCABULARY_SQL = (
 )
 
 
-def matches_sql(word: str = "a-z0-9", rows: str = "observations") -> str:
-    """CTE with every observation and term that match by regular expression."""
-    return f"""matched AS (
-  SELECT o.row_no, o.posting_id, o.title, v.source_name, v.standard_name
-  FROM {rows} o JOIN vocabulary v ON regexp_matches(lower(o.description),
-    '(^|[^{word}])' || regexp_replace(lower(v.source_name),
-      '([\\\\.^$|()\\[\\]{{}}*+?])', '\\\\\\1', 'g') || '([^{word}]|$)')
-  WHERE o.description_tokens = '[]')"""
+def matches_sql(word: str = WORD, rows: str = "observations") -> str:
+    """CTE with every observation with an empty list and the terms that stand in its text."""
+    return f"""{found_sql("searched", f"(SELECT * FROM {rows} WHERE description_tokens = '[]')",
+                           "row_no", "description", word)},
+matched AS (
+  SELECT o.row_no, o.posting_id, o.title, f.source_name, f.standard_name
+  FROM {rows} o JOIN searched f USING (row_no))"""
+
+
+def found_sql(name: str, rows: str, key: str, text: str, word: str = WORD) -> str:
+    """CTE `name` with `key` and the vocabulary rows whose term stands in the text.
+
+    Word characters are made `w` and all others kept in a copy of the text; an
+    occurrence counts if the copy has no `w` on either side of it. The copy has
+    the length of the text, so places in one are places in the other. Cutting
+    the text at the term leaves out occurrences that overlap the one before;
+    they are tried by shifting.
+    """
+    inside = "[a-z0-9_]" if word == WORD_OR_UNDERSCORE else "[a-z0-9]"
+    return f"""{name}_lines AS (
+  SELECT {key}, ' ' || lower({text}) || ' ' AS low,
+         regexp_replace(' ' || lower({text}) || ' ', '{inside}', 'w', 'g') AS shape FROM {rows}),
+{name}_places AS (
+  SELECT {key}, source_name, standard_name, low, shape, length(source_name) AS n,
+         string_split(low, lower(source_name)) AS pieces
+  FROM {name}_lines JOIN vocabulary ON contains(low, lower(source_name))),
+{name}_steps AS (
+  SELECT {key}, source_name, standard_name, low, shape, n, unnest(range(1, len(pieces))) AS step,
+         pieces FROM {name}_places),
+{name}_starts AS (
+  SELECT {key}, source_name, standard_name, low, shape, n, unnest(range(0, n)) AS shift,
+         CAST((step - 1) * n + 1 + list_sum(list_transform(
+           list_slice(pieces, 1, step), lambda x: length(x))) AS BIGINT) AS start
+  FROM {name}_steps),
+{name} AS (
+  SELECT DISTINCT {key}, source_name, standard_name FROM {name}_starts
+  WHERE shape[start + shift - 1] <> 'w' AND shape[start + shift + n] <> 'w'
+    AND (shift = 0 OR substring(low, start + shift, n) = lower(source_name)))"""
 
 
 RECOVERED_SQL = """filled AS (
-  SELECT row_no, '[' || string_agg('''' || source_name || '''', ', ' ORDER BY source_name) || ']'
-         AS filled_tokens
+  SELECT row_no, list_transform(list_sort(list(DISTINCT source_name)),
+         lambda x: concat('''', x, '''')) AS names
   FROM matched GROUP BY row_no),
 recovered AS (
-  SELECT o.* REPLACE (coalesce(f.filled_tokens, o.description_tokens) AS description_tokens)
-  FROM {rows} o LEFT JOIN filled f USING (row_no))"""
+  SELECT o.* REPLACE (CASE WHEN len(names) > 0
+    THEN concat('[', array_to_string(names, ', '), ']') ELSE description_tokens END
+    AS description_tokens)
+  FROM {rows} o LEFT JOIN filled USING (row_no))"""
 
 # Stored tokens of the packed lists of a table, with their standard names.
 JUNCTION_SQL = """tokens AS (

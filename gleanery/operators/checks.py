@@ -33,6 +33,20 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return _line(found, table, "NOT NULL", columns)
 
 
+def not_nulls(df: DataFrame, table: str, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """`not_null` for several groups of columns in one scan."""
+    counts = df.agg(*[F.count_if(_any_null(g)).alias(f"n{i}") for i, g in enumerate(groups)])
+    lines = F.array(
+        *[
+            F.struct(F.lit(", ".join(g)).alias("columns"), F.col(f"n{i}").alias("violations"))
+            for i, g in enumerate(groups)
+        ]
+    )
+    return counts.select(F.inline(lines)).select(
+        F.lit(table).alias("table_name"), F.lit("NOT NULL").alias("kind"), "columns", "violations"
+    )
+
+
 def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Groups of rows that share a value; rows with a NULL are exempt."""
     known = df.filter(~_any_null(columns))

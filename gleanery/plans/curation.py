@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators import checks, clean, dedup, model, recovery, typing
 from gleanery.operators.vocabulary import checked_vocabulary, unmapped_tokens
+from gleanery.scale import written
 from gleanery.sources.tables import read_table, save_table
 
 
@@ -120,10 +121,14 @@ def cleaned_records(observations: DataFrame, feed: Feed) -> DataFrame:
     return clean.case_folded(rows, feed.name)
 
 
-def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
+def curate(
+    raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str, strict: bool = True
+) -> Model:
     """Runs all stages, each written to `folder` and read back by the next.
 
-    A run that fails can start again: every table is overwritten whole.
+    With `strict` the run fails if the tables break a constraint of the model;
+    without, the report is there to be looked at. A run that fails can start
+    again: every table is overwritten whole.
     """
     vocab = checked_vocabulary(vocab)
     cleaned = cleaned_records(landed(raw, folder), feed)
@@ -140,6 +145,9 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
         folder,
         "job_skills",
     )
+    constraints = written(model_constraints(jobs, companies, job_skills, feed), "constraints")
+    if strict:
+        checks.require(constraints)
     return Model(
         records=records,
         companies=companies,
@@ -147,7 +155,7 @@ def curate(raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str) -> Model:
         job_skills=job_skills,
         unmapped=unmapped_tokens(records, feed.key, feed.packed, vocab),
         unmatched=model.unmatched_rows(linked, feed.name_id),
-        constraints=model_constraints(jobs, companies, job_skills, feed),
+        constraints=constraints,
     )
 
 
@@ -160,8 +168,7 @@ def model_constraints(
         checks.primary_key(jobs, "jobs", [feed.key]),
         checks.foreign_key(jobs, companies, "jobs", feed.name_id, feed.name_id),
         checks.primary_key(job_skills, "job_skills", [feed.junction_id]),
-        checks.not_null(job_skills, "job_skills", [feed.key]),
-        checks.not_null(job_skills, "job_skills", [feed.term]),
+        checks.not_nulls(job_skills, "job_skills", [[feed.key], [feed.term]]),
         checks.unique(job_skills, "job_skills", [feed.key, feed.term]),
         checks.foreign_key(job_skills, jobs, "job_skills", feed.key, feed.key),
     )
