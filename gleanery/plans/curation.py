@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators import checks, clean, dedup, model, recovery, typing
 from gleanery.operators.vocabulary import checked_vocabulary, unmapped_tokens
-from gleanery.scale import written
+from gleanery.scale import scratch_removed
 from gleanery.sources.tables import read_table, save_table
 
 
@@ -130,7 +130,13 @@ def curate(
     without, the report is there to be looked at. A run that fails can start
     again: every table is overwritten whole.
     """
-    vocab = checked_vocabulary(vocab)
+    with scratch_removed(raw.sparkSession):
+        return _curated(raw, checked_vocabulary(vocab), feed, folder, strict)
+
+
+def _curated(
+    raw: DataFrame, vocab: DataFrame, feed: Feed, folder: str, strict: bool
+) -> Model:
     cleaned = cleaned_records(landed(raw, folder), feed)
     records = save_table(
         recovery.recover(cleaned, feed.text, feed.packed, vocab, feed.key), folder, "records"
@@ -145,16 +151,19 @@ def curate(
         folder,
         "job_skills",
     )
-    constraints = written(model_constraints(jobs, companies, job_skills, feed), "constraints")
+    constraints = save_table(
+        model_constraints(jobs, companies, job_skills, feed), folder, "constraints"
+    )
     if strict:
         checks.require(constraints)
+    unmapped = unmapped_tokens(records, feed.key, feed.packed, vocab)
     return Model(
         records=records,
         companies=companies,
         jobs=jobs,
         job_skills=job_skills,
-        unmapped=unmapped_tokens(records, feed.key, feed.packed, vocab),
-        unmatched=model.unmatched_rows(linked, feed.name_id),
+        unmapped=save_table(unmapped, folder, "unmapped_tokens"),
+        unmatched=save_table(model.unmatched_rows(linked, feed.name_id), folder, "unmatched_rows"),
         constraints=constraints,
     )
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,8 +46,32 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/gleanery/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/gleanery/{label}-{uuid.uuid4().hex}"
+    if (made := _SCRATCH.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables that are written inside the block when it is left.
+
+    For work whose results do not read them: tables saved elsewhere.
+    """
+    made: list[str] = []
+    token = _SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -143,7 +145,13 @@ def test_whole_workflow_from_csv(spark, tmp_path):
     schema = ", ".join(f"`{c}` string" for c in OBSERVATION_COLUMNS)
     write_text_csv(spark.createDataFrame(POSTINGS, schema), str(tmp_path / "csv"))
     raw = read_text_csv(spark, str(tmp_path / "csv"))
-    built = curate(raw, vocabulary.vocabulary(spark), JOB_POSTINGS, str(tmp_path / "out"))
+    vocab = vocabulary.vocabulary(spark)
+    with pytest.raises(ValueError, match="job_skills FOREIGN KEY"):
+        curate(raw, vocab, JOB_POSTINGS, str(tmp_path / "out"))
+    scratch = os.path.join(scale.shared_folder(spark), "gleanery")
+    before = set(os.listdir(scratch))
+    built = curate(raw, vocab, JOB_POSTINGS, str(tmp_path / "out"), strict=False)
+    assert set(os.listdir(scratch)) == before
 
     assert rows(built.records, "job_id", "title", "location", "company_name", "description_tokens") == [
         ("j1", "new", "Anywhere", "acme", "['js', 'no-sql', 'node', 'node.js']"),
