@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.scale import written
@@ -15,6 +15,9 @@ from gleanery.scale import written
 # Rows of a bucket that one task compares with each other; larger buckets are cut into tiles.
 TILE_ROWS = 2048
 
+#: Parts in which the greatest rows are looked for before they are put together.
+TOP_PARTS = 16
+
 #: After so many rounds the links cannot be those of a sound input.
 MAX_ROUNDS = 60
 
@@ -203,6 +206,18 @@ def _small_star(links: DataFrame) -> DataFrame:
     return least.select("node", F.col("m").alias("lower")).unionByName(moved).distinct()
 
 
+def top_rows(df: DataFrame, score: str, name: str, n: int) -> DataFrame:
+    """The `n` rows with the greatest `score`, ties in the order of `name`, which is unique.
+
+    Every one of `TOP_PARTS` parts is cut down first, so that what reaches the
+    driver does not grow with the number of partitions.
+    """
+    part = F.pmod(F.xxhash64(name), F.lit(TOP_PARTS))
+    ranked = Window.partitionBy(part).orderBy(F.desc(score), name)
+    first = df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n)
+    return first.drop("_rank").orderBy(F.desc(score), name).limit(n)
+
+
 def boxed(df: DataFrame, **named: Column) -> DataFrame:
     """The rows of `df` as one column `_row` beside the named ones, so that no names clash."""
     return df.select(

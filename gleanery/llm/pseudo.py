@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.llm.common import top_rows
 from gleanery.scale import written
 
 #: Classes of symbols and symbols in a class.
@@ -50,7 +51,7 @@ RATE = 0.1
 HELD = 200_000
 
 #: Positions scored at once.
-SCORED = 1 << 13
+SCORED = 1 << 14
 
 #: Values of the network in one row of the exchange.
 SLICE = 1 << 13
@@ -108,8 +109,8 @@ def frequent_words(df: DataFrame, text: str) -> list[str]:
         yield rows()
 
     counted = df.select(text).mapInArrow(run, "word string, n long").groupBy("word")
-    ranked = counted.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS)
-    return [row.word for row in ranked.collect()]
+    totals = counted.agg(F.sum("n").alias("n"))
+    return [row.word for row in top_rows(totals, "n", "word", WORDS).collect()]
 
 
 def encoded(df: DataFrame, key: str, text: str, words: list[str]) -> DataFrame:
@@ -155,27 +156,26 @@ class Network:
         return np.concatenate([self.weights[n].ravel() for n in SHAPES])
 
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, hidden layer and log-probabilities of the classes."""
+        """Inputs, hidden layer and scores of the classes."""
         w = self.weights
         inputs = w["embed"][around].reshape(len(around), -1)
         hidden = np.tanh(inputs @ w["hidden"] + w["hidden_bias"])
-        return inputs, hidden, log_softmax(hidden @ w["classes"] + w["class_bias"])
+        return inputs, hidden, hidden @ w["classes"] + w["class_bias"]
 
     def by_class(self, hidden: np.ndarray, target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each class of the targets: its number, the rows, log-probabilities of its members."""
+        """For each class of the targets: its number, the rows, scores of its members."""
         group = target // MEMBERS
         order = np.argsort(group, kind="stable")
         bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(bounds)):
             rows = order[bounds[c] : bounds[c + 1]]
-            scores = hidden[rows] @ self.weights["members"][c] + self.weights["member_bias"][c]
-            yield int(c), rows, log_softmax(scores)
+            yield int(c), rows, hidden[rows] @ self.weights["members"][c] + self.weights["member_bias"][c]
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         _, hidden, classes = self.forward(around)
-        found = classes[np.arange(len(target)), target // MEMBERS].astype(np.float64)
+        found = log_probability(classes, target // MEMBERS).astype(np.float64)
         for _, rows, members in self.by_class(hidden, target):
-            found[rows] += members[np.arange(len(rows)), target[rows] % MEMBERS]
+            found[rows] += log_probability(members, target[rows] % MEMBERS)
         return found
 
     def learn(self, around: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray]) -> None:
@@ -183,12 +183,12 @@ class Network:
         w, n = self.weights, len(target)
         inputs, hidden, classes = self.forward(around)
         slope = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
-        gap = np.exp(classes)
+        gap = softmax(classes)
         gap[np.arange(n), target // MEMBERS] -= 1
         slope["classes"], slope["class_bias"] = hidden.T @ gap, gap.sum(axis=0)
         back = gap @ w["classes"].T
         for c, rows, members in self.by_class(hidden, target):
-            miss = np.exp(members)
+            miss = softmax(members)
             miss[np.arange(len(rows)), target[rows] % MEMBERS] -= 1
             slope["members"][c] = hidden[rows].T @ miss
             slope["member_bias"][c] = miss.sum(axis=0)
@@ -205,9 +205,18 @@ class Network:
             w[name] -= RATE * change / np.sqrt(sums[name] + 1e-8)
 
 
-def log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def softmax(scores: np.ndarray) -> np.ndarray:
+    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def log_probability(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one column of it."""
+    # One shift for all rows does where no row lies so far below it that its sum would vanish.
+    near = scores.max() - scores.min() < 60
+    shift = scores.max() if near else scores.max(axis=1, keepdims=True)
+    total = np.exp(scores - shift) @ np.ones(scores.shape[1], scores.dtype)
+    return scores[np.arange(len(at)), at] - np.ravel(shift) - np.log(total)
 
 
 def framed(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
