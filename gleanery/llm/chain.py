@@ -15,6 +15,7 @@ rows are scored, whole texts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from gleanery.llm.common import boxed, unboxed
+from gleanery.llm.common import boxed, top_rows, unboxed
 from gleanery.scale import written
 
 #: Labelled rows the chain is fitted on.
@@ -47,6 +48,9 @@ FOLDS = 3
 #: Words whose features a task remembers at a time.
 REMEMBERED = 200_000
 
+#: Features a task counts before it hands them on.
+COUNTED = 1_000_000
+
 SHAPES = 3
 
 _WORDS = re.compile(r"\w+")
@@ -220,21 +224,31 @@ def labelled_sample(
 def choose_features(sample: DataFrame, categories: int, size: int = FEATURES) -> list[str]:
     """The features most over-represented in any category by their chi-square, the best first."""
     width = 2 * categories
+    kind = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
+        # One counter for each combination of labels: positives, then known labels.
+        counts: dict[tuple[int, ...], Counter[str]] = {}
         for batch in batches:
             for text, targets in zip(*batch.columns, strict=True):
-                y = np.array([np.nan if t is None else t for t in targets.as_py()])
-                add = np.concatenate([np.nan_to_num(y), ~np.isnan(y)]).astype(np.int64)
-                for f in {f for w in set(words_of(text.as_py())) for f in features_of(w)}:
-                    counts[f] = counts[f] + add if f in counts else add
-        names = [None, *counts]
-        total = [np.zeros(width, np.int64), *counts.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([t.tolist() for t in total], pa.list_(pa.int64()))],
-            ["feature", "counts"],
-        )
+                y = targets.as_py()
+                label = (*(int(t or 0) for t in y), *(int(t is not None) for t in y))
+                found = {f for w in set(words_of(text.as_py())) for f in features_of(w)}
+                counts.setdefault(label, Counter()).update(found)
+            if sum(map(len, counts.values())) > COUNTED:
+                yield from rows(counts)
+                counts.clear()
+        yield from rows(counts)
+
+    def rows(counts: dict[tuple[int, ...], Counter[str]]) -> Iterator[pa.RecordBatch]:
+        for label, counter in counts.items():
+            n = np.array(list(counter.values()), np.int64)
+            values = pa.array(np.outer(n, np.array(label, np.int64)).ravel())
+            offsets = pa.array(np.arange(0, len(n) * width + 1, width, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(counter), pa.string()), pa.ListArray.from_arrays(offsets, values).cast(kind)],
+                ["feature", "counts"],
+            )
 
     known = F.transform("targets", lambda t: F.when(t.isNotNull(), 1).otherwise(0))
     sums = sample.agg(
@@ -244,7 +258,6 @@ def choose_features(sample: DataFrame, categories: int, size: int = FEATURES) ->
     counted = (
         sample.select("text", "targets")
         .mapInArrow(run, "feature string, counts array<long>")
-        .filter("feature is not null")
         .groupBy("feature")
         .agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(width)])
         .filter(F.col(f"c{categories}") >= MIN_TEXTS)
@@ -261,8 +274,7 @@ def choose_features(sample: DataFrame, categories: int, size: int = FEATURES) ->
         return []
     best = F.greatest(*scores, F.lit(0.0)) if len(scores) > 1 else scores[0]
     told = counted.select("feature", best.alias("score")).filter(F.col("score") > CHI_SQUARE)
-    chosen = told.orderBy(F.desc("score"), "feature")
-    return [row.feature for row in chosen.limit(size).collect()]
+    return [row.feature for row in top_rows(told, "score", "feature", size).collect()]
 
 
 def fit(
