@@ -46,10 +46,10 @@ BEGINNINGS = (3, 4, 5, 6, 7, 8)
 FOLDS = 3
 
 #: Words whose features a task remembers at a time.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 #: Features a task counts before it hands them on.
-COUNTED = 1_000_000
+COUNTED = 300_000
 
 SHAPES = 3
 
@@ -339,14 +339,15 @@ def scored(df: DataFrame, text: str, chain: Chain, into: str = "categories") ->
     named `into` is replaced.
     """
     names = [link.name for link in chain.links]
-    rows = boxed(df, text=F.col(text))
-    kind = rows.schema["_row"]
-    schema = StructType([kind, StructField("p", ArrayType(DoubleType()))])
+    rows = boxed(df)
+    schema = StructType([rows.schema["_row"], StructField("p", ArrayType(DoubleType()))])
+    place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(chain.features)
         for batch in batches:
-            found = [chain.probabilities(*reader.read(t.as_py())) for t in batch.column(1)]
+            texts = batch.column(0).field(place)
+            found = [chain.probabilities(*reader.read(t.as_py())) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["_row", "p"]
             )
