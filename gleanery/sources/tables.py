@@ -1,4 +1,4 @@
-"""Parquet tables and what can be asked of them without reading rows."""
+"""Parquet tables, literal tables, samples and reports on their columns."""
 
 from __future__ import annotations
 
