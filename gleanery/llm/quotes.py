@@ -113,6 +113,8 @@ def reply_order(
     anywhere = here.groupBy("digest").agg(
         F.min(F.struct(F.col("conv"), F.col("here").alias("turn"))).alias("first")
     )
+    # Written, so that the join below splits a passage that very many messages quote.
+    anywhere = written(anywhere, "first-spoken")
     quoted = keyed.select("conv", "turn", "body", F.posexplode("said").alias("place", "p")).filter(
         "p.level > 0"
     )
