@@ -6,10 +6,11 @@ one over the words of the class. The score of a document is the sum of the
 log-probabilities of all its words, each given its neighbours on both sides.
 
 Counts of words come from all texts. The network is trained in numpy on the
-whole corpus: every text gives one position in `STRIDE` per round. In a round
-every task trains its own copy on its part, and the copies are averaged,
-weighted by the positions they have seen; what is gathered grows with the
-parts of the corpus, while the network that reaches the driver keeps its size.
+whole corpus: every text gives one position in `STRIDE` per round, and the
+rounds together take every position once. In a round every task trains its own
+copy on its part, and the copies are averaged, weighted by the positions they
+have seen; what is gathered grows with the parts of the corpus, while the
+network that reaches the driver keeps its size.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ SIDE = 2
 EMBEDDING = 16
 HIDDEN = 32
 
+#: As many rounds as positions in a stride: every position is a target once.
 ROUNDS = 2
-STRIDE = 16
+STRIDE = 2
 BATCH = 2048
 RATE = 0.1
 
@@ -235,6 +237,11 @@ def neighbours(line: np.ndarray, place: np.ndarray) -> np.ndarray:
     return line[place[:, None] + steps]
 
 
+def _in_text(text: np.ndarray) -> np.ndarray:
+    """Number of every word in its text, given the texts of the words in their order."""
+    return np.arange(len(text)) - np.searchsorted(text, text)
+
+
 def train(texts: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
     """The network after `rounds` over the encoded `texts`; untrained if they hold no words."""
     network = Network.fresh()
@@ -248,14 +255,12 @@ def train(texts: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Netwo
 
 def _averaged(texts: DataFrame, start: np.ndarray, turn: int, stride: int) -> np.ndarray | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, seen, skipped = Network.of(start), 0, 0
+        network, seen = Network.of(start), 0
         sums = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
         draw = np.random.default_rng(turn)
         for batch in batches:
-            line, place, _ = framed([s.as_py() for s in batch.column(0)])
-            first = (turn * (stride // 2 + 1) - skipped) % stride
-            skipped += len(place)
-            place = place[first::stride]
+            line, place, text = framed([s.as_py() for s in batch.column(0)])
+            place = place[_in_text(text) % stride == turn % stride]
             draw.shuffle(place)
             for at in range(0, len(place), BATCH):
                 some = place[at : at + BATCH]

@@ -115,3 +115,13 @@ def test_odd_rows(spark):
     assert by[5].n_tokens == 70_000 and by[5].perplexity > 1
     assert pseudo.score_texts(df.filter("false"), "doc_id", "text").count() == 0
     assert pseudo.score_texts(df.filter("doc_id < 3"), "doc_id", "text").count() == 3
+
+
+def test_every_position_is_trained(spark):
+    lines = [list(range(0, 40 * pseudo.MEMBERS, pseudo.MEMBERS)), *([n * pseudo.MEMBERS] for n in range(40, 60))]
+    df = spark.createDataFrame(
+        [(n, np.array(s, "<u2").tobytes()) for n, s in enumerate(lines)], "key long, symbols binary"
+    )
+    # Members of a class are moved by targets of that class only, and each target has one of its own.
+    moved = pseudo.train(df).weights["member_bias"].any(axis=1)
+    assert moved[:60].all() and not moved[60:].any()
