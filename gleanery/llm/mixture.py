@@ -1,15 +1,17 @@
 """Packing of documents into sequences whose sources keep to target shares.
 
-Two passes. The first encodes every document once and writes blocks of about a
-million ids with the count of ids per source. From the counts alone follows
-what each source is owed at the start of every block, so deficits carry over
-from block to block and from partition to partition although all blocks are
-packed at the same time. The second pass fills the sequences of a block: every
+Three passes. The first encodes every document once and writes blocks of about
+a million ids with the count of ids per source. The counts alone give the
+schedule: how many ids of every source belong before each border between the
+blocks to be packed. The second pass cuts the documents at these borders and
+deals them out, so that every packed block gets its share of every source,
+however the input was ordered. The third fills the sequences of a block: every
 sequence credits each source with its share, and the source that is owed most
-is served next, a packet at a time, until the sequence is full.
+is served next, what it is owed and a packet at most, until the sequence is
+full. Where a source has run out, the others share what was its part.
 
-The ids left over at the end of a block fill sequences whose lengths are
-powers of two, so that no sequence needs padding.
+All packed blocks but the last hold whole sequences; what is left at the end
+fills sequences whose lengths are powers of two, so none needs padding.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from gleanery.scale import written
 
 WINDOW = 1024
 
-#: Ids served to a source at a time.
+#: Most ids served to a source at a time.
 PACKET = 256
 
 #: Ids of a block, give or take the last document.
@@ -182,16 +184,20 @@ def fill(
         waiting[place[queues[doc]]].append(doc)
     share = np.array([credit[name][0] for name in names])
     owed = np.array([credit[name][1] for name in names])
+    counts = np.zeros(len(names))
+    np.add.at(counts, [place[name] for name in queues], lengths)
+    part = _parts(share, counts)
     done = [0] * len(queues)
     pieces: list[tuple[int, int, int, int, int]] = []
     for sequence, size in enumerate(lengths_of(sum(lengths), window)):
-        owed += share * size
+        owed += part * size
         offset = 0
         while offset < size:
             at = int(owed.argmax())
             doc = waiting[at][-1]
             start = done[doc]
-            taken = min(packet, size - offset, lengths[doc] - start)
+            due = max(1, round(owed[at]))
+            taken = min(packet, due, size - offset, lengths[doc] - start)
             last = pieces[-1] if offset else None
             if last and last[0] == doc:
                 pieces[-1] = (doc, last[1], last[2] + taken, sequence, last[4])
@@ -203,10 +209,146 @@ def fill(
             if done[doc] == lengths[doc]:
                 waiting[at].pop()
                 if not waiting[at]:
+                    counts[at] = 0
+                    part = _parts(share, counts)
+                    left = owed[at]
                     owed[at] = -np.inf
+                    owed += part * left
     return pieces
 
 
+def _parts(share: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Shares of the sources that have ids left; by their counts where none of them has a share."""
+    part = np.where(counts > 0, share, 0.0)
+    part = part if part.any() else counts
+    return part / (part.sum() or 1)
+
+
+class Schedule:
+    """How many ids of every source lie before each border between the blocks to be packed."""
+
+    def __init__(self, totals: Mapping[str, int], targets: Mapping[str, float] | None, block: int):
+        self.names = sorted(totals)
+        self.totals = np.array([totals[n] for n in self.names], np.int64)
+        weights = self.totals if targets is None else [targets.get(n, 0.0) for n in self.names]
+        weights = np.array(weights, np.float64)
+        self.shares = dict(zip(self.names, (weights / (weights.sum() or 1)).tolist(), strict=True))
+        rest = self.totals.astype(np.float64)
+        times, done = [0.0], [np.zeros(len(rest))]
+        while rest.any():
+            part = _parts(weights, rest)
+            lasts = np.where(part > 0, rest / np.where(part > 0, part, 1), np.inf)
+            step = lasts.min()
+            out = lasts <= step * (1 + 1e-9)
+            rest = np.where(out, 0.0, np.maximum(rest - part * step, 0.0))
+            times.append(times[-1] + step)
+            done.append(self.totals - rest)
+            self.filler = int(np.argmax(np.where(out, self.totals, -1)))
+        self.times, self.done = np.array(times), np.array(done)
+        self.cuts = np.arange(0, self.totals.sum() + block, block).clip(max=self.totals.sum())
+        self._known: dict[str, np.ndarray] = {}
+
+    def _of(self, number: int) -> np.ndarray:
+        found = np.floor(np.interp(self.cuts, self.times, self.done[:, number])).astype(np.int64)
+        found[-1] = self.totals[number]
+        return found
+
+    def borders(self, name: str) -> np.ndarray:
+        """Ids of a source before each border.
+
+        The source that lasts longest takes what rounding leaves, so that the blocks are whole.
+        """
+        if name not in self._known:
+            number = self.names.index(name)
+            if number == self.filler:
+                others = sum(self._of(n) for n in range(len(self.names)) if n != number)
+                found = (self.cuts - others).clip(0, self.totals[number])
+            else:
+                found = self._of(number)
+            self._known[name] = np.maximum.accumulate(found)
+        return self._known[name]
+
+
+def own_starts(blocks: DataFrame) -> DataFrame:
+    """For every written block the ids of each of its sources in the blocks before it."""
+    counted = blocks.select(
+        "part", "block", F.inline(F.arrays_zip(F.col("sources").alias("queue"), F.col("counts").alias("n")))
+    )
+    unbounded = (Window.unboundedPreceding, -1)
+    # One row per input partition and source, so these windows stay small.
+    of_source = Window.partitionBy("queue").orderBy("part").rowsBetween(*unbounded)
+    in_part = Window.partitionBy("part", "queue").orderBy("block").rowsBetween(*unbounded)
+    before = counted.groupBy("part", "queue").agg(F.sum("n").alias("n")).select(
+        "part", "queue", F.coalesce(F.sum("n").over(of_source), F.lit(0)).alias("before")
+    )
+    own = F.col("before") + F.coalesce(F.sum("n").over(in_part), F.lit(0))
+    return (
+        counted.join(before, ["part", "queue"])
+        .withColumn("own", own)
+        .groupBy("part", "block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("queue", "own"))).alias("before"))
+    )
+
+
+def dealt(blocks: DataFrame, schedule: Schedule) -> DataFrame:
+    """`block`, the block to be packed, and its `slices`: runs of one source from a written block."""
+    kind = blocks.schema["docs"].dataType.elementType.simpleString()
+    rows = blocks.join(written(own_starts(blocks), "starts"), ["part", "block"]).select(
+        "docs", "queues", "lengths", "ids", F.map_entries("before").alias("before")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                docs, queues, lengths, ids, before = (column[at].as_py() for column in batch.columns)
+                found = list(cut(docs, queues, lengths, ids, before))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types(batch), strict=True)],
+                    ["block", "queue", "at", "docs", "starts", "lengths", "tokens", "ids"],
+                )
+
+    def types(batch: pa.RecordBatch) -> list[pa.DataType]:
+        many = pa.list_(pa.int64())
+        return [
+            pa.int64(), pa.string(), pa.int64(), pa.list_(batch.schema.field(0).type.value_type),
+            many, many, many, pa.binary(),
+        ]
+
+    def cut(docs, queues, lengths, ids, before) -> Iterator[tuple]:
+        size = np.array(lengths, np.int64)
+        every = np.frombuffer(ids, f"<u{len(ids) // size.sum()}")
+        begin = np.cumsum(size) - size
+        names = np.array(queues, object)
+        for entry in before:
+            mine = np.flatnonzero(names == entry["key"])
+            borders = schedule.borders(entry["key"])
+            stop = entry["value"] + np.cumsum(size[mine])
+            start = stop - size[mine]
+            first = int(np.searchsorted(borders, start[0], "right")) - 1
+            last = int(np.searchsorted(borders, stop[-1], "left"))
+            for block in range(first, last):
+                low, high = borders[block], borders[block + 1]
+                if low == high:
+                    continue
+                inside = slice(np.searchsorted(stop, low, "right"), np.searchsorted(start, high, "left"))
+                chosen, own = mine[inside], start[inside]
+                a = np.maximum(own, low) - own
+                b = np.minimum(stop[inside], high) - own
+                parts = [every[x + y : x + z] for x, y, z in zip(begin[chosen], a, b, strict=True)]
+                yield (
+                    block, entry["key"], int(own[0] + a[0]), [docs[n] for n in chosen], a.tolist(),
+                    (b - a).tolist(), size[chosen].tolist(), np.concatenate(parts).tobytes(),
+                )
+
+    slices = rows.mapInArrow(
+        run,
+        f"block long, queue string, at long, docs array<{kind}>, starts array<long>, "
+        "lengths array<long>, tokens array<long>, ids binary",
+    )
+    columns = [c for c in slices.columns if c != "block"]
+    return slices.groupBy("block").agg(F.collect_list(F.struct(*columns)).alias("slices"))
+
+
 def pack(
     df: DataFrame,
     key: str,
@@ -227,25 +369,28 @@ def pack(
     """
     kind = df.schema[key].dataType.simpleString()
     blocks = written(encoded_blocks(df, key, text, source, tokenizer, block_ids), "blocks")
-    owed = written(credits(blocks, targets), "credits")
-    rows = blocks.join(owed, ["part", "block"]).select(
-        "part", "block", "docs", "queues", "lengths", "ids", F.map_entries("credit").alias("credit")
-    )
+    counted = blocks.select(F.inline(F.arrays_zip(F.col("sources").alias("queue"), F.col("counts").alias("n"))))
+    totals = {r.queue: r.n for r in counted.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    named = None if targets is None else {f"={name}": weight for name, weight in targets.items()}
+    schedule = Schedule(totals, named, max(1, block_ids // window) * window)
+    credit = {name: (share, 0.0) for name, share in schedule.shares.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                part, block, docs, queues, lengths, ids, credit = (
-                    column[at].as_py() for column in batch.columns
-                )
-                shares = {e["key"]: (e["value"]["share"], e["value"]["owed"]) for e in credit}
-                yield packed(part, block, docs, queues, lengths, ids, shares)
+                slices = sorted(batch.column(1)[at].as_py(), key=lambda s: (s["queue"], s["at"]))
+                yield packed(batch.column(0)[at].as_py(), slices)
 
-    def packed(part, block, docs, queues, lengths, ids, shares) -> pa.RecordBatch:
+    def packed(block, slices) -> pa.RecordBatch:
+        docs, starts, lengths, tokens = (
+            [x for s in slices for x in s[name]] for name in ("docs", "starts", "lengths", "tokens")
+        )
+        queues = [s["queue"] for s in slices for _ in s["docs"]]
         total = sum(lengths)
+        ids = b"".join(s["ids"] for s in slices)
         every = np.frombuffer(ids, f"<u{len(ids) // total}").astype("<u4")
         begin = np.concatenate([[0], np.cumsum(lengths)])
-        pieces = fill(queues, lengths, shares, window, packet)
+        pieces = fill(queues, lengths, credit, window, packet)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         first = begin[doc] + start
         chosen = [every[a : a + n].tobytes() for a, n in zip(first, length, strict=True)]
@@ -254,11 +399,11 @@ def pack(
             [
                 pa.array([docs[d] for d in doc], key_type),
                 pa.array([queues[d][1:] if queues[d] else None for d in doc], pa.string()),
-                pa.array(start),
+                pa.array(np.array(starts, np.int64)[doc] + start),
                 pa.array(length),
                 pa.array(chosen, pa.binary()),
-                pa.array(np.array(lengths, np.int64)[doc]),
-                pa.array((np.int64(part) << 40) + (np.int64(block) << 20) + sequence),
+                pa.array(np.array(tokens, np.int64)[doc]),
+                pa.array((np.int64(block) << 20) + sequence),
                 pa.array(offset),
             ],
             [key, "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
@@ -267,4 +412,4 @@ def pack(
     def batch_type(docs: list) -> pa.DataType:
         return pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
 
-    return rows.mapInArrow(run, _PIECE.format(key_name=f"`{key}`", key=kind))
+    return dealt(blocks, schedule).mapInArrow(run, _PIECE.format(key_name=f"`{key}`", key=kind))

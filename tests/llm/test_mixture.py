@@ -118,3 +118,37 @@ def test_named_targets(spark):
     first = [p for p in pieces if p.sequence_id < 8]
     rare = sum(p.length for p in first if p.source == "rare")
     assert 0.4 < rare / sum(p.length for p in first) < 0.6
+
+
+def test_windows_keep_to_the_shares_where_sources_lie_apart(spark):
+    sizes = {"a": 600, "b": 300, "c": 100}
+    rows = [(f"{name}{n}", "some words of text here " * 20, name) for name in sizes for n in range(sizes[name])]
+    rows.append(("long", "words of text here some " * 4000, "d"))
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string").coalesce(1)
+    pieces = mixture.pack(df, "doc_id", "text", "source", PATH, window=512, block_ids=8192)
+    pieces = check(pieces, [r[:2] for r in rows], 512)
+    total, held = {}, {}
+    for p in pieces:
+        total[p.source] = total.get(p.source, 0) + p.length
+        of = held.setdefault(p.sequence_id, {})
+        of[p.source] = of.get(p.source, 0) + p.length
+    whole = [of for of in held.values() if sum(of.values()) == 512]
+    assert len(held) <= len(whole) + 9
+    every = sum(total.values())
+    for of in whole:
+        assert all(abs(of.get(n, 0) - 512 * total[n] / every) <= 8 for n in total)
+
+
+def test_the_others_share_what_a_source_that_ran_out_leaves(spark):
+    rows = [(n, "some words of text here " * 20, "abbbccccc"[n % 9]) for n in range(450)]
+    df = spark.createDataFrame(sorted(rows, key=lambda r: r[2]), "doc_id long, text string, source string")
+    targets = {"a": 5, "b": 3, "c": 2}
+    pieces = mixture.pack(df.coalesce(1), "doc_id", "text", "source", PATH, targets, 512, block_ids=4096)
+    pieces = check(pieces, [r[:2] for r in rows], 512)
+    held = {}
+    for p in pieces:
+        of = held.setdefault(p.sequence_id, dict.fromkeys("abc", 0))
+        of[p.source] += p.length
+    both = [of for _, of in sorted(held.items()) if of["a"] == 0 and of["b"] and sum(of.values()) == 512]
+    assert len(both) > 10
+    assert all(abs(of["b"] - 512 * 0.6) <= 8 for of in both[1:-1])
