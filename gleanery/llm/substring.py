@@ -3,10 +3,12 @@
 A gear hash rolls over the bytes of a text; where it falls below a bound at
 the end of a word, a chunk ends. The hash sees the last 16 bytes only, so the
 chunks of a passage are the same wherever it stands, whatever was inserted
-before it. Chunks are looked up with the two that follow them, as short chunks
+before it. In text without blanks, such as Chinese, a chunk may end at any
+character. Chunks are looked up with the two that follow them, as short chunks
 alone are shared by chance in a large corpus. They belong to the document with
 the least key that holds them; in all others they are copies. Copies that
-follow one another and make up at least `min_words` words are cut out.
+follow one another and make up at least `min_words` words are cut out, or as
+many characters without blanks as so many words have.
 """
 
 from __future__ import annotations
@@ -37,6 +39,11 @@ TOGETHER = 3
 MIN_WORDS = 25
 MIN_DISTINCT = 15
 
+#: Where the last so many bytes hold no blank, a chunk may end at any character. Such
+#: stretches count by their characters, so many of which make a word.
+NO_BLANK = 64
+WORD_CHARS = 6
+
 #: Stretches of so many bytes without a boundary are cut by length.
 LONGEST = 1 << 12
 
@@ -64,13 +71,30 @@ def boundaries(data: np.ndarray, words_per_chunk: int, gears: np.ndarray) -> np.
     word_ends = _SPACE[data]
     word_ends[:-1] &= ~_SPACE[data[1:]]
     ends = np.flatnonzero(word_ends & (rolled < bound)) + 1
-    ends = np.unique(np.append(ends, size))
+    ends = np.unique(np.concatenate([ends, *_without_blanks(data, rolled, bound // WORD_CHARS), [size]]))
     gaps = np.diff(ends, prepend=0)
     if gaps.max() > LONGEST:
         ends = np.unique(np.concatenate([ends, *_forced(data, ends, gaps)]))
     return ends
 
 
+def _without_blanks(data: np.ndarray, rolled: np.ndarray, bound: int) -> Iterator[np.ndarray]:
+    """Ends of characters in stretches without blanks where the hash falls below `bound`."""
+    blanks = np.concatenate([[-1], np.flatnonzero(_SPACE[data]), [len(data)]])
+    for n in np.flatnonzero(np.diff(blanks) > NO_BLANK + 1):
+        begin, stop = blanks[n] + NO_BLANK, blanks[n + 1] - 1
+        low = rolled[begin : stop + 1] < bound
+        # Not where it stays there: a character said many times is one chunk.
+        ends = np.flatnonzero(low[1:] & ~low[:-1]) + begin + 2
+        inside = ends < len(data)
+        inside[inside] = (data[ends[inside]] & 0xC0) == 0x80
+        while inside.any():
+            ends[inside] += 1
+            inside = ends < len(data)
+            inside[inside] = (data[ends[inside]] & 0xC0) == 0x80
+        yield ends
+
+
 def _forced(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray) -> Iterator[np.ndarray]:
     """Cuts of stretches that are too long, at the first byte of a character."""
     for end, gap in zip(ends[gaps > LONGEST], gaps[gaps > LONGEST], strict=True):
@@ -150,7 +174,10 @@ def spans(octets: bytes, ends: np.ndarray, places: np.ndarray, min_words: int) -
 
 
 def _passage(words: list[bytes], min_words: int) -> bool:
-    return len(words) >= min_words and len(set(words)) >= min(MIN_DISTINCT, min_words)
+    if len(words) >= min_words and len(set(words)) >= min(MIN_DISTINCT, min_words):
+        return True
+    unbroken = (len(w.decode("utf-8", "replace")) for w in words if len(w) > NO_BLANK)
+    return sum(unbroken) >= min_words * WORD_CHARS
 
 
 def without_copies(

@@ -101,3 +101,19 @@ def test_against_all_chunks_by_brute_force(spark):
     found = substring.without_copies(docs, "doc_id", "text").collect()
     assert {r.doc_id: [tuple(s) for s in r.removed] for r in found} == expected
     assert any(expected.values())
+
+
+@pytest.mark.parametrize("blank", ["", "\u3000", "\u00a0"])
+def test_passages_without_blanks_go(spark, blank):
+    def signs(seed, n):
+        rng = random.Random(seed)
+        return blank.join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+
+    passage = signs(90, 600)
+    rows = [(n, f"{signs(500 + n, 300 + 7 * n)}{blank}{passage}{blank}{signs(600 + n, 300)}", "-", n) for n in range(3)]
+    found = run(spark, rows)
+    assert found[0].removed == [] and found[0].text == rows[0][1]
+    for n in (1, 2):
+        octets = rows[n][1].encode()
+        gone = [octets[s.start : s.stop].decode() for s in found[n].removed]
+        assert len(gone) == 1 and gone[0] in passage and len(gone[0]) > 0.8 * len(passage)
