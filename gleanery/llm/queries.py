@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import attribution, chain, mixture, pseudo, pstable, quotes, revisit, seeds, simhash, substring
+from gleanery.llm import (
+    attribution,
+    chain,
+    mixture,
+    pseudo,
+    pstable,
+    quotes,
+    replay,
+    revisit,
+    seeds,
+    simhash,
+    substring,
+)
 from gleanery.sources.tables import read_table
 
 
@@ -138,6 +150,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again, with digests in place of ids and bytes."""
+    documents = read_table(spark, folder, "documents")
+    ranks = replay.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = replay.encoded(documents, "doc_id", "text", ranks, public_tokenizers.PATTERN)
+    return replay.decoded(ids, "doc_id", "ids", ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / replay.ID.itemsize).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("octets", 256).alias("decoded_sha256"),
+    )
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_quotes": op2_quotes,
@@ -149,6 +174,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_toxicity": op10_toxicity,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 CORPUS_SQL: dict[str, str] = {
