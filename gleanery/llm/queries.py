@@ -12,6 +12,7 @@ from gleanery.llm import (
     attribution,
     chain,
     mixture,
+    permuterm,
     pseudo,
     pstable,
     quotes,
@@ -163,6 +164,15 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_permuterm(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of five letters or more that occur three times or more, and the form each varies."""
+    documents = read_table(spark, folder, "documents")
+    counts = permuterm.word_counts(documents, "doc_id", "text", shortest=5)
+    return permuterm.variants(counts.filter("n >= 3")).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_quotes": op2_quotes,
@@ -175,6 +185,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_toxicity": op10_toxicity,
     "op11_byte_bpe": op11_byte_bpe,
+    "op13_permuterm": op13_permuterm,
 }
 
 CORPUS_SQL: dict[str, str] = {
