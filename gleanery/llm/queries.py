@@ -16,6 +16,7 @@ from gleanery.llm import (
     pseudo,
     pstable,
     quotes,
+    repair,
     replay,
     revisit,
     seeds,
@@ -164,6 +165,22 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired: their faults, edits and a digest of the result."""
+    turns = read_table(spark, folder, "conversations")
+    names = ["conv_id", "turn", "role", "text"]
+    edits = repair.edited(repair.damaged(turns, *names), "conv", "turn", "role", "text")
+    every = turns.select("conv_id").distinct()
+    found = repair.reports(edits)
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in repair.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_permuterm(spark: SparkSession, folder: str) -> DataFrame:
     """Words of five letters or more that occur three times or more, and the form each varies."""
     documents = read_table(spark, folder, "documents")
@@ -185,6 +202,7 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_toxicity": op10_toxicity,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_repair": op12_repair,
     "op13_permuterm": op13_permuterm,
 }
 
