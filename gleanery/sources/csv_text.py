@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gleanery.scale import computed_once, written
+from gleanery.sources.csv_blocks import LONGEST_RECORD, records
 
 # The columns of the observation feed, in file order.
 OBSERVATION_COLUMNS = (
@@ -55,6 +55,7 @@ def read_text_csv(
     columns: Sequence[str] = OBSERVATION_COLUMNS,
     line_breaks_in_fields: bool = True,
     mode: str = "FAILFAST",
+    longest_record: int = LONGEST_RECORD,
 ) -> DataFrame:
     """Comma-separated UTF-8 files with a header; columns go by position.
 
@@ -62,9 +63,10 @@ def read_text_csv(
     blank lines are no records. Lines end at `\\n`, `\\r\\n` or `\\r`; within
     quotes these stay as they are. A record with too few or too many fields
     fails the job; `mode="PERMISSIVE"` fills or cuts it instead. A quoted field
-    that never ends and a quote inside an unquoted field fail in any mode.
+    that never ends, a quote inside an unquoted field and a record of more than
+    `longest_record` bytes fail in any mode, by the name of the file.
 
-    All tasks work on all files, however large (`csv_records`), and the size
+    All tasks work on all files, however large (`csv_blocks`), and the size
     of the files changes nothing. Pass `line_breaks_in_fields=False` where no
     field has any: such files are read in one pass, a line a record, and a
     quote inside an unquoted field stands for itself.
@@ -79,7 +81,7 @@ def read_text_csv(
     if line_breaks_in_fields:
         ddl = ", ".join(f"`{c}` string" for c in columns)
         parsed = F.from_csv("record", ddl, options)
-        return csv_records(spark, path).select(parsed.alias("r")).select(
+        return records(spark, path, longest_record).select(parsed.alias("r")).select(
             *[F.col("r").getField(c).alias(c) for c in columns]
         )
     return spark.read.options(**options).csv(
@@ -87,91 +89,6 @@ def read_text_csv(
     )
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the files with what ended them, numbered in their order within each block."""
-    read = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.split("value", "\r").alias("parts"),
-    )
-    # What stands between the last \r and the \n is a line, unless it is nothing.
-    parts = F.col("parts")
-    closed = (F.size(parts) > 1) & (F.element_at(parts, -1) == "")
-    lines = F.when(closed, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    each = read.select("file", "block", closed.alias("closed"), F.size(lines).alias("n"),
-                       F.posexplode(lines).alias("at", "value"))
-    last = F.when(F.col("closed"), "\r\n").otherwise("\n")
-    return each.select(
-        "file",
-        "block",
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        F.when(F.col("at") == F.col("n") - 1, last).otherwise("\r").alias("ender"),
-        (F.length("value") - F.length(F.translate("value", '"', ""))).alias("quotes"),
-    )
-
-
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of CSV files, one row each, without the header record of each file.
-
-    A line starts a record if an even number of quotes stands before it in its
-    file. Every block of a file is counted on its own; the counts of the
-    blocks, one row per block, tell each block whether it starts inside a field.
-    The lines are written first, so that every step sees the same blocks.
-    """
-    block = ["file", "block"]
-    lines = written(_lines(spark, path), "csv-lines")
-    earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    open_files = lines.groupBy("file").agg(F.sum("quotes").alias("quotes")).filter("quotes % 2 = 1")
-    if broken := open_files.limit(3).collect():
-        raise ValueError("a quoted field never ends in " + ", ".join(row.file for row in broken))
-    in_order = Window.partitionBy(*block).orderBy("line")
-    earlier_lines = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    lines_so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = (
-        lines.groupBy(*block)
-        .agg(F.sum("quotes").alias("quotes"))
-        .select(*block, F.coalesce(F.sum("quotes").over(earlier_blocks), F.lit(0)).alias("before"))
-    )
-    quotes_before = F.col("before") + F.coalesce(F.sum("quotes").over(earlier_lines), F.lit(0))
-    started = (
-        lines.join(before, block)
-        .withColumn("header", (F.col("block") == 0) & (F.row_number().over(in_order) == 1))
-        .withColumn("start", F.when(quotes_before % 2 == 0, F.col("line")))
-        .withColumn("start", F.last("start", ignorenulls=True).over(lines_so_far))
-    )
-    # A record that runs into the next block keeps the start it has in its own.
-    open_before = (
-        started.groupBy(*block)
-        .agg(F.max("start").alias("start"))
-        .select(*block, F.last("start", ignorenulls=True).over(earlier_blocks).alias("open"))
-    )
-    pieces = started.join(open_before, block).withColumn("start", F.coalesce("start", "open"))
-    records = (
-        pieces.groupBy("file", "start")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("block", "line", "value", "ender"))).alias("parts"),
-            F.bool_or("header").alias("header"),
-        )
-        .filter("NOT header")
-    )
-    parts = F.transform(
-        "parts",
-        lambda p, i: F.when(i < F.size("parts") - 1, F.concat(p["value"], p["ender"])).otherwise(
-            p["value"]
-        ),
-    )
-    record = computed_once(records.select("file", F.array_join(parts, "").alias("_text")), "record", F.col("_text"))
-    # Every quoted stretch becomes one quote; it must have a comma or an end on either side.
-    bare = F.regexp_replace("record", '"[^"]*"', '"')
-    stray = F.rlike(bare, F.lit('[^,"]"|"[^,"]'))
-    message = F.concat(F.lit("a quote inside an unquoted field in "), F.col("file"))
-    checked = F.when(stray, F.raise_error(message)).otherwise(F.col("record"))
-    return record.filter("record != ''").select(checked.alias("record"))
-
-
 def write_text_csv(df: DataFrame, path: str) -> None:
     """Files that `read_text_csv` reads back to the same text."""
     df.write.csv(

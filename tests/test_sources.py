@@ -3,7 +3,7 @@ import random
 import pytest
 from conftest import rows
 
-from gleanery.sources import csv_text, tables
+from gleanery.sources import csv_blocks, csv_text, tables
 
 COLUMNS = ("id", "a", "b")
 
@@ -14,7 +14,7 @@ def write(path, text):
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
-@pytest.mark.parametrize("block", ["7", "128m"])
+@pytest.mark.parametrize("block", ["40", "128m"])
 def test_csv_fields(spark, tmp_path, end, block):
     path = write(
         tmp_path / "f.csv",
@@ -75,6 +75,75 @@ def test_files_without_line_breaks_are_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.fixture
+def parts_of(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, str(size))
+    spark.conf.set(name, old)
+
+
+def test_a_record_over_the_limit_fails_by_name(spark, tmp_path, parts_of):
+    text = "id,a,b\n1,x,y\n" + '2,"' + "word\n" * 100 + '",z\n3,x,y\n'
+    path = write(tmp_path / "long.csv", text)
+    for size in ("128m", 300):
+        parts_of(size)
+        with pytest.raises(Exception, match="more than 400 bytes in .*long.csv"):
+            csv_text.read_text_csv(spark, path, COLUMNS, longest_record=400).count()
+        assert csv_text.read_text_csv(spark, path, COLUMNS, longest_record=600).count() == 3
+
+
+def test_a_header_over_many_blocks(spark, tmp_path, parts_of):
+    path = write(tmp_path / "f.csv", 'id,"' + "a\n" * 200 + '",b\n1,"p\nq",r\n')
+    for size in (100, 500):
+        parts_of(size)
+        assert rows(csv_text.read_text_csv(spark, path, COLUMNS)) == [("1", "p\nq", "r")]
+
+
+def test_stray_quotes_far_apart(spark, tmp_path, parts_of):
+    lines = [f"{i},x,y" for i in range(500)]
+    lines[3], lines[400] = '3,5" pipe,y', '400,6" pipe,y'
+    path = write(tmp_path / "f.csv", "id,a,b\n" + "\n".join(lines))
+    for size in (200, 1000, "128m"):
+        parts_of(size)
+        with pytest.raises(ValueError, match="inside an unquoted field in .*f.csv"):
+            csv_text.read_text_csv(spark, path, COLUMNS)
+
+
+def test_blocks_cut_anew_are_refused(spark, tmp_path, parts_of):
+    path = write(tmp_path / "f.csv", "id,a,b\n" + "".join(f"{i},x,y\n" for i in range(900)))
+    parts_of(2000)
+    df = csv_text.read_text_csv(spark, path, COLUMNS)
+    assert df.count() == 900
+    again = csv_text.read_text_csv(spark, path, COLUMNS)
+    parts_of(700)
+    with pytest.raises(Exception, match="changed since they were counted"):
+        again.select("id").collect()
+
+
+def test_lines_stay_where_they_are(spark, tmp_path):
+    path = write(tmp_path / "f.csv", 'id,a,b\n1,"x\ny",z\n')
+    plan = csv_text.read_text_csv(spark, path, COLUMNS)._jdf.queryExecution().toString()
+    assert "value" in plan and "Sort [value" not in plan
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "value" in line]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_blocks_beyond_the_broadcast(spark, tmp_path, parts_of, broadcast_bytes):
+    want = sorted(f'{i},"a\n{"w" * (i % 90)}",b' for i in range(800))
+    path = write(tmp_path / "f.csv", "id,a,b\n" + "\n".join(want))
+    parts_of(1500)
+    got = csv_blocks.records(spark, path, broadcast_bytes=broadcast_bytes)
+    assert sorted(r.record for r in got.collect()) == want
+
+
+def test_odd_files(spark, tmp_path):
+    write(tmp_path / "empty.csv", "")
+    write(tmp_path / "header.csv", "id,a,b")
+    write(tmp_path / "blank.csv", "\n\n1,x,y\n\n\n")
+    assert rows(csv_text.read_text_csv(spark, str(tmp_path), COLUMNS)) == [("1", "x", "y")]
+
+
 def test_records_across_many_blocks(spark, tmp_path):
     made = random.Random(7)
 
