@@ -17,6 +17,23 @@ def extract_dimension(df: DataFrame, value: str, id_col: str) -> DataFrame:
     return contiguous_ids(df.select(value).distinct(), [value], id_col)
 
 
+def high_water(stored: DataFrame, id_col: str) -> int:
+    """The greatest id given so far, 0 in an empty table."""
+    return stored.agg(F.max(id_col)).first()[0] or 0
+
+
+def new_dimension_rows(stored: DataFrame, df: DataFrame, value: str, id_col: str) -> DataFrame:
+    """Values of `df` that a stored dimension lacks, NULL like any other, numbered on from it.
+
+    Ids that were given stay. The new values are compared with the stored ones
+    after duplicates are gone, and only they are sorted.
+    """
+    known = stored.select(F.col(value).alias("_known"))
+    values = df.select(value).distinct()
+    new = values.join(known, F.col(value).eqNullSafe(F.col("_known")), "left_anti")
+    return contiguous_ids(new, [value], id_col, high_water(stored, id_col))
+
+
 def attach_dimension(
     df: DataFrame,
     dimension: DataFrame,
@@ -41,6 +58,12 @@ def unmatched_rows(linked: DataFrame, id_col: str) -> DataFrame:
     return linked.agg(F.count_if(F.col(id_col).isNull()).alias("unmatched_rows"))
 
 
+def left_out(records: DataFrame, facts: DataFrame) -> DataFrame:
+    """The same from stored tables, whose sizes are known without linking the rows again."""
+    sizes = [_summary(table, rows=F.count(F.lit(1))).getField("rows") for table in (records, facts)]
+    return records.sparkSession.range(1).select((sizes[0] - sizes[1]).alias("unmatched_rows"))
+
+
 def junction_table(
     df: DataFrame,
     key: str,

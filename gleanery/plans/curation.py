@@ -163,7 +163,7 @@ def _curated(
         jobs=jobs,
         job_skills=job_skills,
         unmapped=save_table(unmapped, folder, "unmapped_tokens"),
-        unmatched=save_table(model.unmatched_rows(linked, feed.name_id), folder, "unmatched_rows"),
+        unmatched=save_table(model.left_out(records, jobs), folder, "unmatched_rows"),
         constraints=constraints,
     )
 

@@ -195,31 +195,48 @@ def exploded(df: DataFrame, values: Column, name: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
 
 
-def contiguous_ids(df: DataFrame, order_by: Sequence[str], id_col: str) -> DataFrame:
-    """`df` with ids 1..n in the order of `order_by` (NULLs last), without a one-task sort.
-
-    Rows are split into sorted ranges and written with their place in their
-    range; the ids are that place plus the sizes of the ranges before it.
-    `order_by` must be unique in `df`, which also keeps the ranges even.
+def contiguous_ids(
+    df: DataFrame, order_by: Sequence[str], id_col: str, after: int | Column = 0
+) -> DataFrame:
+    """`df` with the ids after + 1, after + 2, ... in the order of `order_by` (NULLs last).
+
+    Rows are shuffled into sorted ranges once and written nowhere: the sizes of
+    the ranges and the rows in them come from the same exchange, so an id is
+    the place of a row in its range plus the sizes of the ranges before it.
+    `order_by` must be unique in `df`, which also keeps the ranges even. Every
+    row is checked to lie between the ends its range has in the counts; a plan
+    that shuffled twice would fail by that and not give wrong ids.
     """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse").lower() != "true":
+        raise RuntimeError("numbering rows needs spark.sql.exchange.reuse")
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
+    # A number of partitions that is named is not changed on the way.
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+    # All columns take part, so that both uses of the exchange are of the same columns.
+    key = F.struct(*[part for c in order_by for part in (F.col(c).isNull(), F.col(c))])
+    place = F.struct(key, F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)))
+    sizes = (
+        ranged.select(F.spark_partition_id().alias("_range"), place.alias("_place"))
+        .groupBy("_range")
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_place").alias("_first"),
+            F.max("_place").alias("_last"),
+        )
     )
-    stored = written(ranged, "ranges")
-    range_no: Column = F.shiftright("_slot", POSITION_BITS)
-    position: Column = F.col("_slot").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     # One row per range, so the window below is over a few thousand rows at most.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        stored.groupBy(range_no.alias("_range"))
-        .agg((F.max(position) + 1).alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0)) + after
+    starts = sizes.select("_range", "_first", "_last", start.alias("_start"))
+    numbered = ranged.sortWithinPartitions(*order).withColumn(
+        "_slot", F.monotonically_increasing_id()
     )
-    return (
-        stored.withColumn("_range", range_no)
-        .join(F.broadcast(starts), "_range")
-        .select((F.col("_start") + position + 1).cast("long").alias(id_col), *df.columns)
+    range_no = F.shiftright("_slot", POSITION_BITS)
+    position = F.col("_slot").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    found = numbered.withColumn("_range", range_no.cast("int")).join(F.broadcast(starts), "_range", "left")
+    moved = F.raise_error(F.lit("the ranges were made twice and differ"))
+    number = F.when(place.between(F.col("_first"), F.col("_last")), F.col("_start") + position + 1)
+    return found.select(
+        number.otherwise(moved.cast("long")).cast("long").alias(id_col), *(F.col(f"`{c}`") for c in df.columns)
     )

@@ -8,6 +8,7 @@ from gleanery import scale
 from gleanery.operators import checks, model, vocabulary
 from gleanery.plans.curation import JOB_POSTINGS, curate, load_model
 from gleanery.sources.csv_text import OBSERVATION_COLUMNS, read_text_csv, write_text_csv
+from gleanery.sources.tables import append_rows, read_table, save_table
 
 
 def test_names_are_numbered_with_null_last(spark):
@@ -34,6 +35,51 @@ def test_ids_of_nothing(spark):
     assert rows(scale.contiguous_ids(spark.range(0).select("id"), ["id"], "no")) == []
 
 
+def test_ranges_are_shuffled_once_and_not_written(spark, monkeypatch):
+    monkeypatch.setattr(scale, "written", None)
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("name"), F.lit("x").alias("more"))
+    numbered = scale.contiguous_ids(df, ["name"], "no", after=70)
+    assert sorted(map(tuple, numbered.select("no", "name").collect())) == [(n + 71, n) for n in range(5000)]
+    numbered.collect()
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "_place" in plan
+    assert numbered.select("no").agg(F.sum("no")).first()[0] == sum(range(71, 5071))
+    assert numbered.filter("name = 17").count() == 1
+
+
+def test_ranges_made_twice_fail(spark):
+    df = spark.range(10).select("id")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(RuntimeError, match="exchange.reuse"):
+            scale.contiguous_ids(df, ["id"], "no")
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_ids_go_on(spark, tmp_path):
+    def names(*values):
+        return spark.createDataFrame([(v,) for v in values], "name string")
+
+    stored = save_table(model.extract_dimension(names("m", "c", "m"), "name", "id"), str(tmp_path), "names")
+    for delivery, ids in [
+        (("z", "c", None, "a", "a"), [("a", 3), ("z", 4), (None, 5)]),
+        ((None, "z"), []),
+        (("b",), [("b", 6)]),
+    ]:
+        new = model.new_dimension_rows(stored, names(*delivery), "name", "id")
+        assert rows(new, "name", "id") == sorted(ids, key=repr)
+        append_rows(new, str(tmp_path), "names")
+        stored = read_table(spark, str(tmp_path), "names")
+    assert rows(stored, "id", "name")[:2] == [(1, "c"), (2, "m")]
+    empty = spark.createDataFrame([], "id long, name string")
+    assert rows(model.new_dimension_rows(empty, names("q"), "name", "id"), "id", "name") == [(1, "q")]
+
+
+def test_rows_left_out(spark):
+    assert rows(model.left_out(spark.range(10), spark.range(7))) == [(3,)]
+
+
 def hot_frames(spark):
     """A third of the rows under one key, a tenth without one."""
     left = spark.range(3000).select(
