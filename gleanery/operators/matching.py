@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import WORD, boundary_class, col, contains_ignoring_case, word_class
+from gleanery.operators.bloom import bloom_filter
 from gleanery.operators.vocabulary import search_terms, with_rarest, word_runs
 from gleanery.scale import BROADCAST_BYTES, computed_once, exploded, let, lookup_join, written
 
@@ -176,9 +177,11 @@ def _candidates(
         F.when(unproven, F.col("pattern")).alias("pattern"),
     )
     rare = written(rarest, "rare-anchors")
+    # Only words that may be anchors become rows.
+    likely = bloom_filter(rare, "anchor")
 
     def anchors(rows: DataFrame) -> DataFrame:
-        found = _anchors_in(lowered, word, bool(kinds.wordless))
+        found = likely.passing(_anchors_in(lowered, word, bool(kinds.wordless)))
         known = _identified(rows, key, lowered)
         return exploded(known, found, "anchor", key, "_known").filter("anchor != ''")
 
@@ -291,43 +294,66 @@ def _probe_by_join(
         F.array(F.when(escaped == "", "%").otherwise(escaped))
     )
     sized = written(terms.select("*", size.alias("size"), literal.alias("literal")), "names")
-    sizes = [row.size for row in sized.select("size").distinct().collect()]
+    sizes = sorted(row.size for row in sized.select("size").distinct().collect())
     lowered = _identified(df, key, F.lower(text)).select(key, "_known", F.lower(text).alias("_lowered"))
-    hits = [
-        _probe_by_grams(lowered, sized.filter(F.col("size") == n), n, key, broadcast_bytes)
-        for n in sorted(sizes)
-        if n
-    ]
+    hits = []
+    if any(sizes):
+        by_gram = sized.filter("size > 0")
+        hits += _probe_by_grams(lowered, by_gram, [n for n in sizes if n], key, broadcast_bytes)
     if 0 in sizes:
         hits.append(_probe_by_length(lowered, sized.filter("size = 0"), key))
     none = df.sparkSession.createDataFrame([], lowered.select(key).schema.add("source_name", "string"))
     return reduce(DataFrame.unionByName, hits, none)
 
 
-def _probe_by_grams(
-    lowered: DataFrame, terms: DataFrame, size: int, key: str, broadcast_bytes: int
-) -> DataFrame:
-    pieces = F.flatten(F.transform("literal", lambda part: _grams(part, size)))
-    rarest = with_rarest(terms.withColumn("gram", F.lit("")), pieces, "gram", broadcast_bytes)
-    grams = written(rarest.select("source_name", "term", "wild", "gram"), "grams")
+def grams_of_names(sized: DataFrame, sizes: list[int], broadcast_bytes: int) -> DataFrame:
+    """Names with their rarest `gram`, and whether finding it `proves` the name."""
+
+    def pieces(n: int) -> Column:
+        return F.flatten(F.transform("literal", lambda part: _grams(part, n)))
 
-    def text_grams(rows: DataFrame) -> DataFrame:
-        every = F.array_distinct(_grams(F.col("_lowered"), size))
-        return exploded(rows, every, "gram", "_known")
+    own = F.coalesce(*[F.when(F.col("size") == n, pieces(n)) for n in sizes])
+    rarest = with_rarest(sized.withColumn("gram", F.lit("")), own, "gram", broadcast_bytes)
+    proves = ~F.col("wild") & (F.length("term") == F.col("size"))
+    return written(rarest.select("source_name", "term", "wild", "gram", proves.alias("proves")), "grams")
 
+
+def text_grams(lowered: DataFrame, grams: DataFrame, sizes: list[int], key: str) -> DataFrame:
+    """One row per text and stretch of it that may be one of `grams`."""
+    likely = bloom_filter(grams, "gram")
+    text = F.col("_lowered")
+    # A split may add an empty stretch, which is no gram.
+    every = F.concat(
+        *[F.array_distinct(_grams(text, n) if n > 1 else F.split(text, "")) for n in sizes]
+    )
+    return exploded(lowered, likely.passing(every), "gram", key, "_known")
+
+
+def _probe_by_grams(
+    lowered: DataFrame, sized: DataFrame, sizes: list[int], key: str, broadcast_bytes: int
+) -> list[DataFrame]:
+    """Texts and names, in two parts: those the stretch proves, and those looked up in the text."""
+    grams = grams_of_names(sized, sizes, broadcast_bytes)
     candidates = lookup_join(
-        text_grams(lowered), grams, "gram", "inner", ["_known"], broadcast_bytes,
-        profile=lambda: text_grams(lowered.sample(PROFILE_SHARE, seed=1)),
+        text_grams(lowered, grams, sizes, key), grams, "gram", "inner", ["_known"], broadcast_bytes,
+        profile=lambda: text_grams(lowered.sample(PROFILE_SHARE, seed=1), grams, sizes, key),
         profile_share=PROFILE_SHARE,
     )
-    packed = candidates.groupBy("_known").agg(
+    kinds = grams.agg(F.bool_or("proves").alias("proven"), F.bool_and("proves").alias("all")).first()
+    if not kinds.all:
+        # Both parts read them, and the texts are shuffled to the smaller part.
+        candidates = written(candidates, "candidates")
+    hits = [candidates.filter("proves").select(key, "source_name")] if kinds.proven else []
+    if kinds.all:
+        return hits
+    packed = candidates.filter("NOT proves").groupBy("_known").agg(
         F.collect_set(F.struct("source_name", "term", "wild")).alias("_candidates")
     )
     joined = lowered.join(packed, lowered["_known"].eqNullSafe(packed["_known"]))
     held = F.filter(
         "_candidates", lambda t: _occurs_anywhere(F.col("_lowered"), t["term"], t["wild"])
     )
-    return exploded(joined, F.transform(held, lambda t: t["source_name"]), "source_name", key)
+    return [*hits, exploded(joined, F.transform(held, lambda t: t["source_name"]), "source_name", key)]
 
 
 def _probe_by_length(lowered: DataFrame, terms: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import WORD, WORD_OR_UNDERSCORE
-from gleanery.operators import matching, recovery, vocabulary
+from gleanery.operators import bloom, matching, recovery, vocabulary
 
 NAMES = ["node", "node.js", "js", "r", "c", "c++", "go", "sql", "sql server", ".net", "no-sql", "nosql"]
 
@@ -233,3 +233,32 @@ def test_tokens_of_lists(spark, broadcast_bytes):
     assert rows(vocabulary.inspect_vocabulary(df, "tokens")) == [
         ("SQL",), ("javascript",), ("js",), ("r",), ("sql",), ("zz",),
     ]
+
+
+@pytest.mark.parametrize("most_bits", [64, 1 << 20])
+def test_bloom_filter_passes_all_it_holds(spark, most_bits):
+    held = spark.createDataFrame([(f"w{n}",) for n in range(300)] + [(None,)], "word string")
+    likely = bloom.bloom_filter(held, "word", most_bits)
+    asked = F.array(*[F.lit(f"w{n}") for n in range(3000)])
+    passed = spark.range(1).select(likely.passing(asked).alias("p")).first().p
+    assert {f"w{n}" for n in range(300)} <= set(passed)
+    assert most_bits == 64 or len(passed) < 300 + 2700 * 0.04
+    nothing = bloom.bloom_filter(held.limit(0), "word")
+    assert spark.range(1).select(nothing.passing(asked).alias("p")).first().p == []
+
+
+def test_few_stretches_become_rows(spark):
+    made = random.Random(2)
+    texts = [(n, "".join(made.choices("abcdefghijklmnop ", k=300))) for n in range(200)]
+    lowered = spark.createDataFrame(texts, "id int, _lowered string").withColumn("_known", F.col("id"))
+    names = [(f"x{a}{b}", f"x{a}{b}", False, 3, [f"x{a}{b}"]) for a in "abcdef" for b in "abcdef"]
+    names.append(("pa", "pa", False, 2, ["pa"]))
+    sized = spark.createDataFrame(
+        names, "source_name string, term string, wild boolean, size int, literal array<string>"
+    )
+    grams = matching.grams_of_names(sized, [2, 3], 1 << 20)
+    rows_made = matching.text_grams(lowered, grams, [2, 3], "id").count()
+    every = sum(len({t[i : i + n] for n in (2, 3) for i in range(len(t) - n + 1)}) for _, t in texts)
+    able = sum("pa" in t for _, t in texts)
+    # All that can hit, and a few in a hundred of what cannot.
+    assert able <= rows_made <= able + 0.04 * every
