@@ -41,6 +41,35 @@ def repeat_baseline(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Size of a sketch as a power of two, and what its estimate may be off by (three standard errors).
+SKETCH_BITS = 14
+SKETCH_ERROR = 3 * 0.83 / 2 ** (SKETCH_BITS / 2)
+
+
+def key_sketches(df: DataFrame, key: str, part: str) -> DataFrame:
+    """Per part of a table its rows and a sketch of its distinct keys, to be stored and united.
+
+    A sketch is a few kilobytes whatever the number of keys, so distinct counts
+    of new parts cost a scan of those parts only.
+    """
+    return df.groupBy(part).agg(
+        row_count().alias("rows"), F.hll_sketch_agg(key, SKETCH_BITS).alias("sketch")
+    )
+
+
+def united_sketch(sketches: DataFrame) -> DataFrame:
+    """Rows and sketch of all parts together: the sketch that one of all rows would be."""
+    return sketches.agg(F.sum("rows").alias("total_rows"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def repeat_estimate(sketches: DataFrame) -> DataFrame:
+    """`repeat_baseline` from sketches, its keys off by SKETCH_ERROR at most in 997 of 1000 cases."""
+    keys = F.hll_sketch_estimate("sketch")
+    return united_sketch(sketches).select(
+        "total_rows", keys.alias("unique_keys"), (F.col("total_rows") - keys).alias("surplus_rows")
+    )
+
+
 def uniqueness(df: DataFrame, **columns: str) -> DataFrame:
     """Row count and one distinct count per `name=column`, in one pass."""
     return df.agg(
