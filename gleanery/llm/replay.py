@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text whose words make one replay; a longer text is taken in parts of so many.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 #: Encoded words a task keeps for its next slices.
 KEPT_WORDS = 300_000
