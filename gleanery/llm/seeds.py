@@ -26,6 +26,9 @@ MASKS = ("1110011", "101111")
 WINDOW = 20
 SIMILARITY = 0.8
 
+#: Places of a document whose candidates are cut from its words together.
+STRETCH = 1024
+
 
 def word_codes(text: str | Column) -> Column:
     """Hashes of the words of a text, runs of letters and digits in lower case."""
@@ -54,12 +57,15 @@ def _seeds(codes: str, masks: Sequence[str]) -> Column:
     return F.concat(*[under(number, mask) for number, mask in enumerate(masks)])
 
 
-def _with_codes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """`doc`, `body` (a hash of the text) and `codes` of the rows that have a key and a text."""
-    rows = df.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
+def _known(df: DataFrame, key: str, text: str) -> DataFrame:
+    """`doc`, `body` (a hash of the text) and `text` of the rows that have a key and a text."""
+    return df.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).alias("doc"), F.xxhash64(text).alias("body"), F.col(text).alias("text")
     )
-    return computed_once(rows, "codes", word_codes("text")).drop("text")
+
+
+def _with_codes(known: DataFrame) -> DataFrame:
+    return computed_once(known, "codes", word_codes("text")).drop("text")
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -94,7 +100,8 @@ def overlaps(
     no rows. Repeated rows give one.
     """
     items = written(_items(benchmark, item, item_text), "benchmark")
-    docs = _with_codes(df, key, text)
+    known = _known(df, key, text)
+    docs = _with_codes(known)
     sought = items.select("item", F.inline(_seeds("item_codes", masks))).withColumnRenamed(
         "at", "item_at"
     )
@@ -107,7 +114,7 @@ def overlaps(
         "candidates",
     )
     met = (
-        candidates.join(docs, ["doc", "body"])
+        _stretches(known, candidates.join(items.select("item", F.size("item_codes").alias("n")), "item"))
         .join(items, "item")
         .withColumn("words", F.least(F.size("item_codes"), F.lit(window)))
     )
@@ -131,6 +138,34 @@ def overlaps(
     )
 
 
+def _stretches(known: DataFrame, candidates: DataFrame) -> DataFrame:
+    """`candidates` with `codes`, the words of the document that the item lies over at `shift`.
+
+    Only documents with candidates are cut into words again. All candidates of
+    a stretch of a document are one row when they meet its words, so the words
+    are there once for them and not once for each, however often a word repeats.
+    """
+    places = F.floor(F.col("shift") / STRETCH)
+    grouped = candidates.groupBy("doc", "body", places.alias("_place")).agg(
+        F.collect_list(F.struct("item", "shift", "hits", "n")).alias("_met")
+    )
+    able = known.join(candidates.select("doc", "body").distinct(), ["doc", "body"], "left_semi")
+    first = F.lit(0)
+    cut = F.transform(
+        "_met",
+        lambda c: F.struct(
+            c["item"].alias("item"),
+            c["shift"].alias("shift"),
+            c["hits"].alias("hits"),
+            F.slice(
+                F.col("codes"), F.greatest(c["shift"], first) + 1, c["n"] + F.least(c["shift"], first)
+            ).alias("codes"),
+        ),
+    )
+    met = _with_codes(able).join(grouped, ["doc", "body"])
+    return met.select("doc", F.inline(cut))
+
+
 def _windows(span: int) -> Column:
     """(equal, begin) of every window of the item that holds a hit, compared at `shift`."""
     last = F.size("item_codes") - F.col("words")
@@ -144,7 +179,8 @@ def _windows(span: int) -> Column:
     )
 
     def same(place: Column) -> Column:
-        equal = F.get("item_codes", place) == F.get("codes", place + F.col("shift"))
+        # The words of the document begin where the item does, or the document itself.
+        equal = F.get("item_codes", place) == F.get("codes", place + F.least("shift", F.lit(0)))
         return F.when(equal, 1).otherwise(0)
 
     def equal(begin: Column) -> Column:

@@ -104,3 +104,17 @@ def test_empty_tables(spark, empty):
     b = spark.createDataFrame([] if empty == "benchmark" else [(1, "a b c d e f g h")], "item_id long, text string")
     assert seeds.overlaps(d, "doc_id", "text", b, "item_id", "text").count() == 0
     assert seeds.without_overlaps(d, "doc_id", "text", b, "item_id", "text").count() == d.count()
+
+
+def test_repeated_words(spark):
+    d = spark.createDataFrame(
+        [(1, "same " * 20_000), (2, "one two " * 5_000), (3, "same " * 29 + "other " + "more " * 300)],
+        "doc_id long, text string",
+    )
+    b = spark.createDataFrame(
+        [(8, "same " * 30), (9, "two one " * 15), (7, "same " * 9)], "item_id long, text string"
+    )
+    found = seeds.overlaps(d, "doc_id", "text", b, "item_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id, r.equal, r.words) for r in found) == [
+        (1, 7, 9, 9), (1, 8, 20, 20), (2, 9, 20, 20), (3, 7, 9, 9), (3, 8, 20, 20),
+    ]
