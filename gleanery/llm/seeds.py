@@ -113,8 +113,9 @@ def overlaps(
         ),
         "candidates",
     )
+    lengths = items.select("item", F.size("item_codes").alias("n"))
     met = (
-        _stretches(known, candidates.join(items.select("item", F.size("item_codes").alias("n")), "item"))
+        _stretches(known, candidates.join(lengths, "item"), broadcast_bytes)
         .join(items, "item")
         .withColumn("words", F.least(F.size("item_codes"), F.lit(window)))
     )
@@ -138,7 +139,7 @@ def overlaps(
     )
 
 
-def _stretches(known: DataFrame, candidates: DataFrame) -> DataFrame:
+def _stretches(known: DataFrame, candidates: DataFrame, broadcast_bytes: int) -> DataFrame:
     """`candidates` with `codes`, the words of the document that the item lies over at `shift`.
 
     Only documents with candidates are cut into words again. All candidates of
@@ -149,7 +150,9 @@ def _stretches(known: DataFrame, candidates: DataFrame) -> DataFrame:
     grouped = candidates.groupBy("doc", "body", places.alias("_place")).agg(
         F.collect_list(F.struct("item", "shift", "hits", "n")).alias("_met")
     )
-    able = known.join(candidates.select("doc", "body").distinct(), ["doc", "body"], "left_semi")
+    able = lookup_join(
+        known, candidates.select("doc").distinct(), "doc", "left_semi", ["body"], broadcast_bytes
+    )
     first = F.lit(0)
     cut = F.transform(
         "_met",
