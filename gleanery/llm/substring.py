@@ -1,49 +1,60 @@
 """Passages that several documents share, found by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; where it falls below a bound at
-the end of a word, a chunk ends. The hash sees the last 16 bytes only, so the
-chunks of a passage are the same wherever it stands, whatever was inserted
-before it. In text without blanks, such as Chinese, a chunk may end at any
-character. Chunks are looked up with the two that follow them, as short chunks
-alone are shared by chance in a large corpus. They belong to the document with
-the least key that holds them; in all others they are copies. Copies that
-follow one another and make up at least `min_words` words are cut out, or as
-many characters without blanks as so many words have.
+A gear hash rolls over the bytes of a text; of every few word ends in a row the
+one with the least hash ends a chunk. The hash sees the last 16 bytes only, so
+the chunks of a passage are the same wherever it stands, whatever was inserted
+before it, and no chunk has more than a few words. In text without blanks, such
+as Chinese, a chunk may end at any character. Chunks are looked up together with
+those that follow them, up to the first end after `DIGEST_WORDS` words, as short
+chunks alone are shared by chance in a large corpus. They belong to the document
+with the least key that holds them; in all others they are copies.
+
+Copies that follow one another as they do in their owner are a run. A run is
+compared with the owner's text word by word to either side, and it is cut out if
+it then has `min_words` words, or as many characters without blanks as so many
+words have.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from gleanery.llm.common import boxed, unboxed
-from gleanery.scale import computed_once, written
+from gleanery.operators.bloom import bloom_filter
+from gleanery.scale import computed_once, let, written
 
 #: Bytes the rolling hash looks back on; it has as many bits.
 LOOKBACK = 16
 
-#: One word end in so many closes a chunk.
-WORDS_PER_CHUNK = 4
+#: Of so many word ends in a row one closes a chunk.
+WINDOW = 6
 
-#: Chunks in a row that make up one digest.
-TOGETHER = 3
+#: A digest covers so many words, and goes on to the end of the chunk.
+DIGEST_WORDS = 8
 
-#: Copied chunks in a row are cut out from this many words on, if so many of them differ:
-#: one word said many times is no passage.
+#: Runs of copies are cut out from this many words on.
 MIN_WORDS = 25
-MIN_DISTINCT = 15
 
 #: Where the last so many bytes hold no blank, a chunk may end at any character. Such
 #: stretches count by their characters, so many of which make a word.
 NO_BLANK = 64
 WORD_CHARS = 6
 
+#: Characters without blanks that a chunk has on average, and bytes after which a digest may end.
+CHARS_PER_CHUNK = 24
+DIGEST_BYTES = 3 * DIGEST_WORDS * WORD_CHARS
+
+#: Bytes per word in which the words beside a run are looked for.
+WORD_BYTES = 32
+
 #: Stretches of so many bytes without a boundary are cut by length.
 LONGEST = 1 << 12
 
@@ -56,7 +67,7 @@ def _gears() -> np.ndarray:
     return np.random.default_rng(20).integers(0, 1 << LOOKBACK, 256, dtype=np.uint16)
 
 
-def boundaries(data: np.ndarray, words_per_chunk: int, gears: np.ndarray) -> np.ndarray:
+def boundaries(data: np.ndarray, window: int, gears: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text given as bytes; the last is its length."""
     size = len(data)
     if not size:
@@ -67,11 +78,13 @@ def boundaries(data: np.ndarray, words_per_chunk: int, gears: np.ndarray) -> np.
     while step < LOOKBACK:
         rolled[step:] += rolled[:-step] << np.uint16(step)
         step *= 2
-    bound = (1 << LOOKBACK) // words_per_chunk
-    word_ends = _SPACE[data]
-    word_ends[:-1] &= ~_SPACE[data[1:]]
-    ends = np.flatnonzero(word_ends & (rolled < bound)) + 1
-    ends = np.unique(np.concatenate([ends, *_without_blanks(data, rolled, bound // WORD_CHARS), [size]]))
+    word_ends = np.flatnonzero(_SPACE[data[:-1]] & ~_SPACE[data[1:]])
+    ends = np.zeros(0, np.int64)
+    if len(word_ends) >= window:
+        least = np.lib.stride_tricks.sliding_window_view(rolled[word_ends], window).argmin(axis=1)
+        ends = word_ends[np.unique(least + np.arange(len(least)))] + 1
+    bound = (1 << LOOKBACK) // CHARS_PER_CHUNK
+    ends = np.unique(np.concatenate([ends, *_without_blanks(data, rolled, bound), [size]]))
     gaps = np.diff(ends, prepend=0)
     if gaps.max() > LONGEST:
         ends = np.unique(np.concatenate([ends, *_forced(data, ends, gaps)]))
@@ -104,29 +117,41 @@ def _forced(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray) -> Iterator[np
         yield cuts
 
 
-def chunks(text: str | None, words_per_chunk: int, gears: np.ndarray) -> tuple[bytes, np.ndarray]:
+def chunks(text: str | None, window: int, gears: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The text as bytes and the ends of its chunks."""
     octets = (text or "").encode("utf-8", "surrogatepass")
-    return octets, boundaries(np.frombuffer(octets, np.uint8), words_per_chunk, gears)
+    return octets, boundaries(np.frombuffer(octets, np.uint8), window, gears)
 
 
-def digests(octets: bytes, ends: np.ndarray) -> np.ndarray:
-    """One per chunk and its followers; a text of fewer chunks has one digest, an empty one none."""
+def reaches(octets: bytes, ends: np.ndarray) -> np.ndarray:
+    """Where the digest of each chunk ends. Chunks with too little behind them have none, but
+    a text too short for any has one digest of its whole."""
     if not len(ends):
         return np.zeros(0, np.int64)
-    stops = ends[min(TOGETHER, len(ends)) - 1 :].tolist()
+    blank = _SPACE[np.frombuffer(octets, np.uint8)]
+    words = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    begins = np.concatenate([[0], ends[:-1]])
+    enough = np.searchsorted(np.searchsorted(words, ends), np.searchsorted(words, begins) + DIGEST_WORDS)
+    last = np.minimum(enough, np.searchsorted(ends, begins + DIGEST_BYTES))
+    stops = ends[last[last < len(ends)]]
+    return stops if len(stops) else ends[-1:]
+
+
+def digests(octets: bytes, ends: np.ndarray) -> np.ndarray:
+    """One per chunk that has a digest, in their order."""
     digest = xxhash.xxh3_64_intdigest
+    stops = reaches(octets, ends).tolist()
     found = [digest(octets[a:b]) for a, b in zip([0, *ends.tolist()], stops, strict=False)]
     return np.array(found, np.uint64).view(np.int64)
 
 
-def chunk_digests(rows: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK) -> DataFrame:
+def chunk_digests(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """`doc`, `body` and the `digests` of its chunks in their order, of rows `doc`, `body`, `text`."""
     gears = _gears()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [digests(*chunks(t.as_py(), words_per_chunk, gears)) for t in batch.column(2)]
+            lists = [digests(*chunks(t.as_py(), window, gears)) for t in batch.column(2)]
             offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
             values = np.concatenate(lists) if lists else np.zeros(0, np.int64)
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -149,97 +174,233 @@ def shared_chunks(found: DataFrame) -> DataFrame:
     )
 
 
-def copied_chunks(found: DataFrame, shared: DataFrame) -> DataFrame:
-    """`row`, the `places` of its chunks that belong to other documents, and the `owners`.
+def shared_places(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """Where the shared chunks stand: `row`, `doc`, `place`, with `digest` and `owner`.
 
     `found` has rows numbered in their order, which compress well in the
     shuffle; hashes that identify them would not.
     """
-    rows = found.select("row", "doc", F.posexplode("digests").alias("place", "digest"))
-    copies = rows.join(shared, "digest").filter("doc > owner")
-    return copies.groupBy("row").agg(
-        F.collect_set("place").alias("places"), F.collect_set("owner").alias("owners")
+    return found.select("row", "doc", F.posexplode("digests").alias("place", "digest")).join(shared, "digest")
+
+
+def copied_runs(places: DataFrame) -> DataFrame:
+    """`row` and its `runs` of copies: `first` and `last` place in the row, `head` and `tail` in
+    `owner_row`, a row of `owner`. The places of a run follow one another in both."""
+    own = places.filter("doc = owner").groupBy("digest").agg(F.min(F.struct("row", "place")).alias("at"))
+    # Written, so that the join splits the chunks that very many documents share.
+    own = written(own.select("digest", F.col("at.row").alias("owner_row"), F.col("at.place").alias("at")), "own")
+    copies = places.filter("doc > owner").join(own, "digest")
+    placed = copies.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("place", "at", "owner_row", "owner"))).alias("copied")
     )
 
+    def follows(a: Column, b: Column) -> Column:
+        return F.coalesce(
+            (b["place"] == a["place"] + 1) & (b["at"] == a["at"] + 1) & (b["owner_row"] == a["owner_row"]),
+            F.lit(False),
+        )
+
+    copied = F.col("copied")
+    begins = F.filter(copied, lambda c, i: ~follows(F.get(copied, i - 1), c))
+    stops = F.filter(copied, lambda c, i: ~follows(c, F.get(copied, i + 1)))
+    run = F.zip_with(
+        begins,
+        stops,
+        lambda a, b: F.struct(
+            a["place"].alias("first"), b["place"].alias("last"), a["at"].alias("head"),
+            b["at"].alias("tail"), a["owner_row"].alias("owner_row"), a["owner"].alias("owner"),
+        ),
+    )
+    return placed.select("row", run.alias("runs"))
+
+
+def _named(rows: DataFrame, keys: DataFrame, there: bool = True) -> DataFrame:
+    """The rows that may be among `keys` by `doc` and `body`, told without a shuffle, or the others."""
+    likely = bloom_filter(keys.select(F.xxhash64("doc", "body").alias("id")), "id")
+    held = let(likely.column(), lambda words: likely.may_hold(F.xxhash64("doc", "body"), words))
+    return rows.filter(held if there else ~held)
+
+
+def _beside(octets: bytes, begin: int, stop: int, most: int) -> tuple[bytes, bytes]:
+    """Up to `most` words before `begin` and as many from `stop` on, where these part words."""
+    reach = most * WORD_BYTES
+    before = after = b""
+    if begin and _SPACE[octets[begin - 1]]:
+        low = max(0, begin - reach)
+        words = octets[low:begin].split()
+        cut = low and not _SPACE[octets[low]] and not _SPACE[octets[low - 1]]
+        before = b" ".join(words[1 if cut else 0 :][-most:])
+    if stop < len(octets) and _SPACE[octets[stop - 1]]:
+        high = stop + reach
+        words = octets[stop:high].split()
+        cut = high < len(octets) and not _SPACE[octets[high]] and not _SPACE[octets[high - 1]]
+        after = b" ".join(words[: len(words) - 1 if cut else len(words)][:most])
+    return before, after
+
+
+def surroundings(rows: DataFrame, asked: DataFrame, window: int, min_words: int) -> DataFrame:
+    """The words `before` and `after` the digests at the `places` that are `asked` of a row.
 
-def spans(octets: bytes, ends: np.ndarray, places: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of copied chunks in a row that make up a passage."""
-    copied = np.zeros(len(ends) + 2, bool)
-    for step in range(min(TOGETHER, len(ends))):
-        copied[np.asarray(places, np.int64) + 1 + step] = True
-    turns = np.flatnonzero(copied[1:] != copied[:-1])
-    begins = np.concatenate([[0], ends])
-    found = [(int(begins[a]), int(begins[b])) for a, b in zip(turns[::2], turns[1::2], strict=True)]
-    return [(a, b) for a, b in found if _passage(octets[a:b].split(), min_words)]
+    `asked` has `doc`, `body`, `owner_row` and `places`; gives one row per `owner_row` and `place`.
+    """
+    gears = _gears()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                octets, ends = chunks(text, window, gears)
+                begins, stops = np.concatenate([[0], ends]), reaches(octets, ends)
+                found += [(row, p, *_beside(octets, int(begins[p]), int(stops[p]), min_words)) for p in places]
+            columns = zip(*found, strict=True) if found else [[]] * 4
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                ["owner_row", "place", "before", "after"],
+            )
+
+    texts = _named(rows, asked).join(asked, ["doc", "body"]).select("owner_row", "text", "places")
+    beside = texts.mapInArrow(run, "owner_row long, place int, before binary, after binary")
+    # The rows of a document that are alike give the same words.
+    return beside.groupBy("owner_row", "place").agg(F.min("before").alias("before"), F.min("after").alias("after"))
+
+
+_WORD = re.compile(rb"\S+")
+
+
+def extended(octets: bytes, begin: int, stop: int, before: bytes, after: bytes) -> tuple[int, int]:
+    """The span with the words to its left and right that are the owner's as well."""
+    if before and begin and _SPACE[octets[begin - 1]]:
+        low = max(0, begin - 2 * len(before) - WORD_BYTES)
+        mine = list(_WORD.finditer(octets, low, begin))
+        if low and mine and mine[0].start() == low and not _SPACE[octets[low - 1]]:
+            del mine[0]
+        for own, word in zip(reversed(mine), reversed(before.split()), strict=False):
+            if own.group() != word:
+                break
+            begin = own.start()
+    if after and stop < len(octets) and _SPACE[octets[stop - 1]]:
+        for word in after.split():
+            own = _WORD.match(octets, stop)
+            if not own or own.group() != word:
+                break
+            stop = own.end()
+            while stop < len(octets) and _SPACE[octets[stop]]:
+                stop += 1
+    return begin, stop
 
 
 def _passage(words: list[bytes], min_words: int) -> bool:
-    if len(words) >= min_words and len(set(words)) >= min(MIN_DISTINCT, min_words):
-        return True
     unbroken = (len(w.decode("utf-8", "replace")) for w in words if len(w) > NO_BLANK)
-    return sum(unbroken) >= min_words * WORD_CHARS
+    return len(words) >= min_words or sum(unbroken) >= min_words * WORD_CHARS
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch as one, in their order."""
+    found: list[tuple[int, int]] = []
+    for begin, stop in sorted(spans):
+        if found and begin <= found[-1][1]:
+            found[-1] = (found[-1][0], max(found[-1][1], stop))
+        else:
+            found.append((begin, stop))
+    return found
 
 
 def without_copies(
     df: DataFrame,
     key: str,
     text: str,
-    words_per_chunk: int = WORDS_PER_CHUNK,
+    window: int = WINDOW,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """`df` with shared passages cut out of `text` everywhere but in the least document.
 
     Sets `removed`, the byte spans cut out of the text, and `owners`, the
-    documents that the copied chunks of the row belong to; both are empty
-    where nothing was cut, and replace columns of these names. Repeats within
-    one document stay, as do copies of fewer words. NULL texts stay NULL, rows
-    with a NULL key are not touched, rows that share a key count as one
-    document, and a table without rows gives none.
+    documents that these were compared with; both are empty where nothing was
+    cut, and replace columns of these names. All that is cut out stands in an
+    earlier document, whole words, `min_words` at least, however few of them
+    differ. A few words may stay where a passage goes over into one of another
+    owner, or where it repeats itself without end. Repeats within one document
+    stay, as do copies of fewer words. NULL texts stay NULL, rows with a NULL key
+    are not touched, rows that share a key count as one document, and a table
+    without rows gives none.
     """
     rows = boxed(df, doc=F.col(key), body=F.xxhash64(text), text=F.col(text))
-    chunked = chunk_digests(rows.filter("doc is not null"), words_per_chunk)
+    chunked = chunk_digests(rows.filter("doc is not null"), window)
     found = written(chunked.withColumn("row", F.monotonically_increasing_id()), "chunks")
     # Written, so that the join below splits the chunks that very many documents share.
     shared = written(shared_chunks(found), "shared")
-    copied = copied_chunks(found, shared).join(found.select("row", "doc", "body"), "row")
-    places = copied.select("doc", "body", "places", "owners").dropDuplicates(["doc", "body"])
-    cut = _cutter(words_per_chunk, min_words)
+    runs = written(copied_runs(written(shared_places(found, shared), "places")), "runs")
+    known = found.select("row", "doc", "body")
+    edge = F.explode(
+        F.flatten(
+            F.transform(
+                "runs",
+                lambda r: F.array(
+                    F.struct(r["owner_row"].alias("owner_row"), r["head"].alias("place")),
+                    F.struct(r["owner_row"].alias("owner_row"), r["tail"].alias("place")),
+                ),
+            )
+        )
+    )
+    edges = written(runs.select("row", edge.alias("edge")).select("row", "edge.*").distinct(), "edges")
+    asked = edges.groupBy("owner_row").agg(F.collect_set("place").alias("places"))
+    asked = written(asked.join(known.withColumnRenamed("row", "owner_row"), "owner_row"), "asked")
+    beside = written(surroundings(rows, asked, window, min_words), "beside")
+    met = edges.join(beside, ["owner_row", "place"]).groupBy("row").agg(
+        F.collect_list(F.struct("owner_row", "place", "before", "after")).alias("beside")
+    )
+    copied = runs.join(met, "row").join(known, "row").drop("row").dropDuplicates(["doc", "body"])
+    copied = written(copied, "copied")
+    cut = _cutter(window, min_words)
     done = computed_once(
-        rows.join(places, ["doc", "body"], "left"), "cut", cut("text", "places")
+        _named(rows, copied).join(copied, ["doc", "body"], "left"), "cut", cut("text", "runs", "beside")
     )
-    some = F.size("cut.removed") > 0
-    no_owner = F.array().cast(f"array<{df.schema[key].dataType.simpleString()}>")
-    return done.select(
-        *unboxed(
-            df.columns,
-            **{
-                text: F.when(some, F.col("cut.kept")).otherwise(F.col("text")),
-                "removed": F.col("cut.removed"),
-                "owners": F.when(some, F.array_sort("owners")).otherwise(no_owner),
-            },
-        )
+    owners = F.array_sort(F.array_distinct(F.transform("cut.used", lambda n: F.get("runs", n)["owner"])))
+    list_of_keys = f"array<{df.schema[key].dataType.simpleString()}>"
+    no_owner = F.array().cast(list_of_keys)
+    cleared = done.select("_row", "cut.kept", "cut.removed", F.coalesce(owners, no_owner).alias("owners"))
+    nothing = F.array().cast(cleared.schema["removed"].dataType)
+    others = _named(rows, copied, there=False).select(
+        "_row", F.col("text").alias("kept"), nothing.alias("removed"), no_owner.alias("owners")
     )
+    changed = {text: F.col("kept"), "removed": F.col("removed"), "owners": F.col("owners")}
+    return cleared.unionByName(others).select(*unboxed(df.columns, **changed))
 
 
-def _cutter(words_per_chunk: int, min_words: int):
+def _cutter(window: int, min_words: int):
     gears = _gears()
 
-    @F.pandas_udf("struct<kept:string,removed:array<struct<start:int,stop:int>>>")
-    def cut(texts, places):
+    def spans(octets: bytes, ends: np.ndarray, runs, beside) -> tuple[list[tuple[int, int]], list[int]]:
+        begins, stops = np.concatenate([[0], ends]), reaches(octets, ends)
+        words = {(b["owner_row"], b["place"]): b for b in beside}
+        gone, used = [], {}
+        for n, run in enumerate(runs):
+            before = words[run["owner_row"], run["head"]]["before"]
+            after = words[run["owner_row"], run["tail"]]["after"]
+            begin, stop = extended(octets, int(begins[run["first"]]), int(stops[run["last"]]), before, after)
+            if _passage(octets[begin:stop].split(), min_words):
+                gone.append((begin, stop))
+                used.setdefault(run["owner_row"], n)
+        return united(gone), list(used.values())
+
+    @F.pandas_udf("struct<kept:string,removed:array<struct<start:int,stop:int>>,used:array<int>>")
+    def cut(texts, runs, beside):
         import pandas as pd
 
-        kept, removed = [], []
-        for body, copied in zip(texts, places, strict=True):
-            if body is None or copied is None:
-                kept.append(body)
-                removed.append([])
-                continue
-            octets, ends = chunks(body, words_per_chunk, gears)
-            gone = spans(octets, ends, copied, min_words)
-            edges = [0, *(e for span in gone for e in span), len(octets)]
-            parts = (octets[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            kept.append(b"".join(parts).decode("utf-8", "surrogatepass"))
+        kept, removed, owners = [], [], []
+        for body, copied, words in zip(texts, runs, beside, strict=True):
+            gone, used = [], []
+            if body is not None and copied is not None:
+                octets, ends = chunks(body, window, gears)
+                gone, used = spans(octets, ends, copied, words)
+            if gone:
+                edges = [0, *(e for span in gone for e in span), len(octets)]
+                parts = (octets[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                body = b"".join(parts).decode("utf-8", "surrogatepass")
+            kept.append(body)
             removed.append([{"start": a, "stop": b} for a, b in gone])
-        return pd.DataFrame({"kept": kept, "removed": removed})
+            owners.append(used)
+        return pd.DataFrame({"kept": kept, "removed": removed, "used": owners})
 
     return cut

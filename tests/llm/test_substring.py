@@ -52,7 +52,7 @@ def test_passages_go_from_all_but_the_first(spark):
     for n in range(1, 5):
         octets = original[n].encode()
         gone = b"".join(octets[s.start : s.stop] for s in found[n].removed).decode()
-        assert gone.strip() in passage and len(gone.split()) >= 60
+        assert gone.strip() == passage
         assert found[n].owners == [0]
         kept, at = b"", 0
         for s in found[n].removed:
@@ -60,12 +60,52 @@ def test_passages_go_from_all_but_the_first(spark):
         assert found[n].text.encode() == kept + octets[at:]
 
 
-def test_short_and_monotonous_repeats_stay(spark):
-    line = prose(60, 12)
-    rows = [(n, f"{prose(400 + n, 50)} {line} {'the ' * 80}", "-", n) for n in range(4)]
+def test_short_repeats_stay(spark):
+    line = prose(60, 24)
+    rows = [(n, f"{prose(400 + n, 50)} {line} {prose(450 + n, 50)}", "-", n) for n in range(4)]
     assert all(r.removed == [] for r in run(spark, rows).values())
 
 
+def test_every_passage_of_enough_words_goes_as_a_whole(spark):
+    rows = []
+    for n in range(300):
+        passage = prose(10_000 + n, (25, 26, 30, 40, 60)[n % 5])
+        for doc in (2 * n, 2 * n + 1):
+            rows.append((doc, f"{prose(77_000 + doc, 40)} {passage}\t{prose(88_000 + doc, 40)}", "-", doc))
+    found, texts = run(spark, rows), {r[0]: r[1] for r in rows}
+    expected = word_runs(texts, 25)
+    assert all(len(expected[2 * n + 1]) >= 25 for n in range(300))
+    assert {doc: removed_words(text, found[doc].removed) for doc, text in texts.items()} == expected
+    assert all(found[2 * n + 1].owners == [2 * n] for n in range(300))
+
+
+def test_passages_of_few_different_words_go(spark):
+    rng = random.Random(5)
+    few = prose(61, 14).split()
+    passages = [" ".join(rng.choice(few) for _ in range(400)), " ".join(["the"] * 80)]
+    texts = {
+        100 * k + n: f"{prose(500 + 10 * k + n, 50)} {passage} {prose(600 + 10 * k + n, 50)}"
+        for k, passage in enumerate(passages)
+        for n in range(3)
+    }
+    found = run(spark, [(doc, text, "-", doc) for doc, text in texts.items()])
+    expected = word_runs(texts, 25)
+    for doc, text in texts.items():
+        got = removed_words(text, found[doc].removed)
+        assert got <= expected[doc]
+        # One word said over and over may keep its ends: it has no places of its own.
+        assert len(got) >= len(expected[doc]) - (2 * substring.WINDOW if doc > 99 else 0)
+
+
+def test_a_passage_whose_middle_is_older_goes_as_a_whole(spark):
+    head, middle, tail = prose(62, 16), prose(63, 14), prose(64, 16)
+    rows = [(1, f"{prose(700, 40)} {middle} {prose(701, 40)}", "-", 1)]
+    rows += [(n, f"{prose(702 + n, 40)} {head} {middle} {tail} {prose(802 + n, 40)}", "-", n) for n in (2, 3)]
+    found = run(spark, rows)
+    assert found[1].removed == [] and found[2].removed == []
+    assert found[3].text == f"{prose(705, 40)} {prose(805, 40)}" and found[3].owners == [2]
+
+
 def test_repeats_within_a_document_stay(spark):
     passage = prose(70, 60)
     assert run(spark, [(1, f"{passage} {passage}", "-", 1)])[1].removed == []
@@ -86,21 +126,42 @@ def test_empty_table(spark):
     assert run(spark, []) == {}
 
 
-def test_against_all_chunks_by_brute_force(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    gears = substring._gears()
-    cut = {r.doc_id: substring.chunks(r.text, 4, gears) for r in docs.collect()}
-    owner = {}
-    for doc in sorted(cut):
-        for d in substring.digests(*cut[doc]).tolist():
-            owner.setdefault(d, doc)
-    expected = {}
-    for doc, (octets, ends) in cut.items():
-        places = [i for i, d in enumerate(substring.digests(octets, ends).tolist()) if owner[d] != doc]
-        expected[doc] = substring.spans(octets, ends, np.array(places, np.int64), substring.MIN_WORDS)
+def word_runs(texts, least):
+    """Places of the words that stand in runs of `least` words of an earlier document."""
+    first = {}
+    for doc in sorted(texts):
+        words = texts[doc].split()
+        for n in range(len(words) - least + 1):
+            first.setdefault(tuple(words[n : n + least]), doc)
+    found = {}
+    for doc, text in texts.items():
+        words = text.split()
+        runs = [n for n in range(len(words) - least + 1) if first[tuple(words[n : n + least])] < doc]
+        found[doc] = {n + k for n in runs for k in range(least)}
+    return found
+
+
+def removed_words(text, spans):
+    octets = text.encode()
+    found = set()
+    for s in spans:
+        begin = len(octets[: s.start].split())
+        found |= set(range(begin, begin + len(octets[s.start : s.stop].split())))
+    return found
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_against_all_runs_of_words(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    expected = word_runs(texts, substring.MIN_WORDS)
     found = substring.without_copies(docs, "doc_id", "text").collect()
-    assert {r.doc_id: [tuple(s) for s in r.removed] for r in found} == expected
-    assert any(expected.values())
+    got = {r.doc_id: removed_words(texts[r.doc_id], r.removed) for r in found}
+    total = sum(map(len, expected.values()))
+    assert total > 1000
+    assert all(got[doc] <= expected[doc] for doc in texts)
+    # Where a passage of one owner goes over into one of another a few words may stay.
+    assert sum(map(len, got.values())) >= 0.999 * total
 
 
 @pytest.mark.parametrize("blank", ["", "\u3000", "\u00a0"])
