@@ -94,12 +94,16 @@ class Chain:
     links: list[Link] = field(default_factory=list)
 
     def probabilities(self, ids: Sequence[int], shape: Sequence[float]) -> list[float]:
-        earlier: list[float] = []
+        """Of one text."""
+        return self.batch([ids], np.array([shape])).ravel().tolist()
+
+    def batch(self, ids: list[Sequence[int]], shapes: np.ndarray) -> np.ndarray:
+        """One row per text, one column per category."""
+        rows = Rows(ids, np.asarray(shapes, float).reshape(len(ids), SHAPES), len(self.features))
         for link in self.links:
-            score = link.bias + float(link.weights[list(ids)].sum()) + float(link.shape @ np.asarray(shape))
-            score += float(link.earlier @ np.array(earlier)) if earlier else 0.0
-            earlier.append(float(sigmoid(np.float64(score))))
-        return earlier
+            score = rows.scores(link.weights, np.concatenate([link.shape, link.earlier]), link.bias)
+            rows.dense = np.hstack([rows.dense, sigmoid(score)[:, None]])
+        return rows.dense[:, SHAPES:]
 
 
 class Reader:
@@ -202,19 +206,27 @@ def labelled_sample(
 ) -> DataFrame:
     """About `rows` labelled texts: `fold`, `text` and the `targets`, written once.
 
-    The chosen labels are broadcast; there are never many more than `rows`.
-    `categories` are conditions over the columns of both tables.
+    The chosen labels are broadcast; there are never many more than `rows`, as
+    of labels that share a key only the first as JSON is taken. `categories` are
+    conditions over the columns of both tables; where both have a name the
+    column of `labels` is meant, but `text` is always the documents'.
     """
     place = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30))
     labels = labels.filter(F.col(key).isNotNull())
     count = labels.count()
     chosen = labels.filter(place < F.lit(int((1 << 30) * min(1.0, rows / max(count, 1)))))
+    values = F.struct(*[F.col(f"`{c}`") for c in labels.columns])
+    # The least is found before the shuffle, so a key with very many labels is one row there.
+    first = chosen.groupBy(key).agg(F.min_by(values, F.to_json(values)).alias("_label")).select("_label.*")
+    whole = "_text"
+    while whole in {*documents.columns, *labels.columns}:
+        whole = f"_{whole}"
     extra = [c for c in labels.columns if c != key and c in documents.columns]
-    joined = documents.drop(*extra).join(F.broadcast(chosen), key)
+    joined = documents.withColumn(whole, F.col(text)).drop(*extra).join(F.broadcast(first), key)
     return written(
         joined.select(
             F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"),
-            F.col(text).alias("text"),
+            F.col(whole).alias("text"),
             F.array(*[c.cast("double") for c in categories.values()]).alias("targets"),
         ),
         "labelled",
@@ -346,11 +358,11 @@ def scored(df: DataFrame, text: str, chain: Chain, into: str = "categories") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(chain.features)
         for batch in batches:
-            texts = batch.column(0).field(place)
-            found = [chain.probabilities(*reader.read(t.as_py())) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["_row", "p"]
-            )
+            read = [reader.read(t.as_py()) for t in batch.column(0).field(place)]
+            found = chain.batch([r[0] for r in read], np.array([r[1] for r in read]))
+            offsets = pa.array(np.arange(len(read) + 1, dtype=np.int32) * len(names))
+            column = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["_row", "p"])
 
     done = rows.mapInArrow(run, schema)
     values = F.struct(*[F.col("p")[i].alias(name) for i, name in enumerate(names)])

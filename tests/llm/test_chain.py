@@ -100,3 +100,37 @@ def test_odd_rows(spark):
     guess = [r.categories.toxic > 0.5 for r in found.collect()]
     assert guess == [False, False, True, True, True, False]
     assert chain.scored(odd.filter("false"), "text", model).count() == 0
+
+
+def test_clashing_columns_and_repeated_labels(spark):
+    words = [(n, "bad words here" if n % 2 else "nice words here", n % 2) for n in range(60)]
+    docs = spark.createDataFrame([(n, t, 5, "x") for n, t, _ in words], "doc_id long, text string, toxic int, _text string")
+    plain = spark.createDataFrame([(n, y) for n, _, y in words], "doc_id long, toxic int")
+    clash = spark.createDataFrame(
+        [(n, y, "label", {"a": 1}) for n, _, y in words] + [(7, 1, "label", {"a": 2})] * 500,
+        "doc_id long, toxic int, text string, more map<string, int>",
+    )
+    toxic = {"toxic": F.col("toxic") == 1}
+    samples = [chain.labelled_sample(docs, given, "doc_id", "text", toxic).collect() for given in (plain, clash)]
+    assert sorted(samples[0]) == sorted(samples[1]) and len(samples[0]) == 60
+    model = chain.fit(docs, clash, "doc_id", "text", toxic)
+    found = chain.scored(docs, "text", model).select("doc_id", "categories.toxic").collect()
+    assert all((r.toxic > 0.5) == (r.doc_id % 2 == 1) for r in found)
+
+
+def test_a_batch_is_scored_as_its_rows_by_hand():
+    rng = np.random.default_rng(3)
+    model = chain.Chain(list("abcdefgh"))
+    for n in range(3):
+        model.links.append(chain.Link(str(n), rng.random(8), rng.normal(size=3), rng.normal(size=n), float(rng.normal())))
+    ids = [sorted(rng.choice(8, rng.integers(0, 8), replace=False).tolist()) for _ in range(50)]
+    shapes = rng.random((50, 3))
+    found = model.batch(ids, shapes)
+    for row, (some, shape) in enumerate(zip(ids, shapes, strict=True)):
+        earlier = []
+        for link in model.links:
+            score = link.bias + sum(link.weights[i] for i in some) + sum(link.shape * shape)
+            score += sum(w * p for w, p in zip(link.earlier, earlier, strict=True))
+            earlier.append(1 / (1 + np.exp(-score)))
+        assert np.allclose(found[row], earlier)
+    assert model.batch([], np.zeros((0, 3))).shape == (0, 3)
