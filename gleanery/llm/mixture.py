@@ -10,6 +10,13 @@ sequence credits each source with its share, and the source that is owed most
 is served next, what it is owed and a packet at most, until the sequence is
 full. Where a source has run out, the others share what was its part.
 
+No piece is shorter than the least packet, unless its document or sequence has
+no more, so a sequence may hold more or less of a source than its share. What
+a source is owed then, or has had too much, is carried to the next sequence.
+Blocks are dealt whole least packets of every source but one, and begin with
+what the schedule owes their sources there, so deficits cross blocks, and with
+them partitions, though every block is packed alone.
+
 All packed blocks but the last hold whole sequences; what is left at the end
 fills sequences whose lengths are powers of two, so none needs padding.
 """
@@ -35,6 +42,9 @@ PACKET = 256
 #: Ids of a block, give or take the last document.
 BLOCK_IDS = 1 << 20
 
+#: Blocks are dealt smaller packets where sources are so many that this many of each fill a block.
+BLOCK_PACKETS = 16
+
 #: Id that ends every document.
 END = 0
 
@@ -42,10 +52,10 @@ _BLOCK = (
     "part long, block long, docs array<{key}>, queues array<string>, lengths array<long>, "
     "sources array<string>, counts array<long>, ids binary"
 )
-_PIECE = (
-    "{key_name} {key}, source string, start long, length long, ids binary, doc_tokens long, "
-    "sequence_id long, offset long"
-)
+_PIECE = {
+    "source": "string", "start": "long", "length": "long", "ids": "binary", "doc_tokens": "long",
+    "sequence_id": "long", "offset": "long",
+}
 
 
 def encoded_blocks(
@@ -105,62 +115,6 @@ def encoded_blocks(
     return rows.mapInArrow(run, _BLOCK.format(key=kind))
 
 
-def credits(blocks: DataFrame, targets: Mapping[str, float] | None = None) -> DataFrame:
-    """For every block the share of each of its sources and what it is owed at the start.
-
-    Owed is the share of all ids packed before the block less the ids of the
-    source among them. Without `targets` the shares are those of the corpus,
-    so that all sources last to the end.
-    """
-    counted = blocks.select(
-        "part", "block", F.inline(F.arrays_zip(F.col("sources").alias("queue"), F.col("counts").alias("n")))
-    )
-    # One row per input partition and source, so these windows stay small.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = counted.groupBy("part").agg(F.sum("n").alias("n"))
-    all_before = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("all_before"))
-    of_source = Window.partitionBy("queue").orderBy("part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    own_before = counted.groupBy("part", "queue").agg(F.sum("n").alias("n")).select(
-        "part", "queue", F.coalesce(F.sum("n").over(of_source), F.lit(0)).alias("own_before")
-    )
-    in_part = Window.partitionBy("part").orderBy("block").rangeBetween(
-        Window.unboundedPreceding, -1
-    )
-    own_in_part = Window.partitionBy("part", "queue").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    if targets is None:
-        totals = counted.groupBy("queue").agg(F.sum("n").alias("own"))
-        whole = counted.agg(F.sum("n")).first()[0] or 1
-        shares = totals.select("queue", (F.col("own") / whole).alias("share"))
-    else:
-        whole = sum(targets.values())
-        shares = blocks.sparkSession.createDataFrame(
-            [(f"={name}", weight / whole) for name, weight in targets.items()],
-            "queue string, share double",
-        )
-    owed = (
-        counted.withColumn("_all", F.coalesce(F.sum("n").over(in_part), F.lit(0)))
-        .withColumn("_own", F.coalesce(F.sum("n").over(own_in_part), F.lit(0)))
-        .join(all_before, "part")
-        .join(own_before, ["part", "queue"])
-        .join(shares, "queue", "left")
-        .withColumn("share", F.coalesce("share", F.lit(0.0)))
-        .withColumn(
-            "owed",
-            F.col("share") * (F.col("all_before") + F.col("_all"))
-            - (F.col("own_before") + F.col("_own")),
-        )
-    )
-    return owed.groupBy("part", "block").agg(
-        F.map_from_entries(F.collect_list(F.struct("queue", F.struct("share", "owed")))).alias(
-            "credit"
-        )
-    )
-
-
 def lengths_of(total: int, window: int = WINDOW) -> list[int]:
     """Lengths of the sequences that `total` ids fill: whole windows, then powers of two."""
     rest = total % window
@@ -175,8 +129,13 @@ def fill(
     credit: Mapping[str, tuple[float, float]],
     window: int = WINDOW,
     packet: int = PACKET,
+    least: int = 1,
 ) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset) of one block, every id in one of them."""
+    """Pieces (document, start, length, sequence, offset) of one block, every id in one of them.
+
+    `credit` holds the share of every source and what it is owed at the start.
+    """
+    least = min(least, packet)
     names = list(dict.fromkeys(queues))
     place = {name: n for n, name in enumerate(names)}
     waiting: list[list[int]] = [[] for _ in names]
@@ -196,8 +155,11 @@ def fill(
             at = int(owed.argmax())
             doc = waiting[at][-1]
             start = done[doc]
-            due = max(1, round(owed[at]))
-            taken = min(packet, due, size - offset, lengths[doc] - start)
+            space = min(size - offset, lengths[doc] - start)
+            taken = min(packet, max(least, round(owed[at])), space)
+            # Nothing shorter than the least packet is left of the document or of the sequence.
+            if lengths[doc] - start - taken < least or size - offset - taken < least:
+                taken = space
             last = pieces[-1] if offset else None
             if last and last[0] == doc:
                 pieces[-1] = (doc, last[1], last[2] + taken, sequence, last[4])
@@ -225,9 +187,21 @@ def _parts(share: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Schedule:
-    """How many ids of every source lie before each border between the blocks to be packed."""
+    """How many ids of every source lie before each border between the blocks to be packed.
+
+    Every source but one gets whole units; what it is owed beyond them at a border it is owed still
+    at the start of the next block.
+    """
 
-    def __init__(self, totals: Mapping[str, int], targets: Mapping[str, float] | None, block: int):
+    def __init__(
+        self,
+        totals: Mapping[str, int],
+        targets: Mapping[str, float] | None,
+        block: int,
+        unit: int = 1,
+    ):
+        self.block = block
+        self.unit = max(1, min(unit, block // (BLOCK_PACKETS * max(1, len(totals)))))
         self.names = sorted(totals)
         self.totals = np.array([totals[n] for n in self.names], np.int64)
         weights = self.totals if targets is None else [targets.get(n, 0.0) for n in self.names]
@@ -245,28 +219,39 @@ class Schedule:
             done.append(self.totals - rest)
             self.filler = int(np.argmax(np.where(out, self.totals, -1)))
         self.times, self.done = np.array(times), np.array(done)
-        self.cuts = np.arange(0, self.totals.sum() + block, block).clip(max=self.totals.sum())
-        self._known: dict[str, np.ndarray] = {}
+        self._last: tuple[str, np.ndarray] | None = None
+
+    def due(self, name: str, block: int) -> float:
+        """Ids of a source that belong before a block by its share, fractions included."""
+        at = min(block * self.block, self.totals.sum())
+        return float(np.interp(at, self.times, self.done[:, self.names.index(name)]))
 
-    def _of(self, number: int) -> np.ndarray:
-        found = np.floor(np.interp(self.cuts, self.times, self.done[:, number])).astype(np.int64)
-        found[-1] = self.totals[number]
-        return found
+    def _of(self, number: int, cuts: np.ndarray) -> np.ndarray:
+        found = np.interp(cuts, self.times, self.done[:, number])
+        total = self.totals[number]
+        # A source that has run out has no later block to be given the rest of a unit in.
+        return np.where(found > total - 0.5, total, found // self.unit * self.unit).astype(np.int64)
 
     def borders(self, name: str) -> np.ndarray:
         """Ids of a source before each border.
 
         The source that lasts longest takes what rounding leaves, so that the blocks are whole.
+        Only the borders of one source are held, and none travel with the job.
         """
-        if name not in self._known:
-            number = self.names.index(name)
+        if self._last is None or self._last[0] != name:
+            number, every = self.names.index(name), self.totals.sum()
+            cuts = np.arange(0, every + self.block, self.block).clip(max=every)
             if number == self.filler:
-                others = sum(self._of(n) for n in range(len(self.names)) if n != number)
-                found = (self.cuts - others).clip(0, self.totals[number])
+                found = cuts.copy()
+                for other in range(len(self.names)):
+                    if other != number:
+                        found -= self._of(other, cuts)
+                found = found.clip(0, self.totals[number])
             else:
-                found = self._of(number)
-            self._known[name] = np.maximum.accumulate(found)
-        return self._known[name]
+                found = self._of(number, cuts)
+            found[-1] = self.totals[number]
+            self._last = (name, np.maximum.accumulate(found))
+        return self._last[1]
 
 
 def own_starts(blocks: DataFrame) -> DataFrame:
@@ -359,29 +344,38 @@ def pack(
     window: int = WINDOW,
     packet: int = PACKET,
     block_ids: int = BLOCK_IDS,
+    least: int = 1,
 ) -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, and its ids.
 
     `ids` holds the ids as little-endian unsigned 32-bit numbers. A document
     is the ids of its text and a final 0; NULL and empty texts are that 0
     alone. Rows with equal or NULL keys are documents of their own; a NULL
-    source is a queue of its own. A table without rows gives none.
+    source is a queue of its own. A table without rows gives none. The key may
+    be of any type that Arrow takes; where it is named like a column of the
+    pieces, that column is called `piece_` and its name. No other column of
+    `df` is kept, whatever its name.
+
+    With `least` 1 every sequence holds the share of each source to an id or
+    so; a greater number makes fewer and longer pieces, and deficits of up to
+    a packet are carried from sequence to sequence.
     """
     kind = df.schema[key].dataType.simpleString()
+    names = {f"piece_{c}" if c.lower() == key.lower() else c: t for c, t in _PIECE.items()}
     blocks = written(encoded_blocks(df, key, text, source, tokenizer, block_ids), "blocks")
     counted = blocks.select(F.inline(F.arrays_zip(F.col("sources").alias("queue"), F.col("counts").alias("n"))))
     totals = {r.queue: r.n for r in counted.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     named = None if targets is None else {f"={name}": weight for name, weight in targets.items()}
-    schedule = Schedule(totals, named, max(1, block_ids // window) * window)
-    credit = {name: (share, 0.0) for name, share in schedule.shares.items()}
+    schedule = Schedule(totals, named, max(1, block_ids // window) * window, min(least, packet))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 slices = sorted(batch.column(1)[at].as_py(), key=lambda s: (s["queue"], s["at"]))
-                yield packed(batch.column(0)[at].as_py(), slices)
+                key_type = batch.schema.field(1).type.value_type.field("docs").type.value_type
+                yield packed(batch.column(0)[at].as_py(), slices, key_type)
 
-    def packed(block, slices) -> pa.RecordBatch:
+    def packed(block, slices, key_type: pa.DataType) -> pa.RecordBatch:
         docs, starts, lengths, tokens = (
             [x for s in slices for x in s[name]] for name in ("docs", "starts", "lengths", "tokens")
         )
@@ -390,11 +384,16 @@ def pack(
         ids = b"".join(s["ids"] for s in slices)
         every = np.frombuffer(ids, f"<u{len(ids) // total}").astype("<u4")
         begin = np.concatenate([[0], np.cumsum(lengths)])
-        pieces = fill(queues, lengths, credit, window, packet)
+        # The first slice of a source begins at its border, so this is what the border left owing.
+        firsts = {s["queue"]: s["at"] for s in reversed(slices)}
+        credit = {
+            name: (schedule.shares[name], schedule.due(name, block) - first)
+            for name, first in firsts.items()
+        }
+        pieces = fill(queues, lengths, credit, window, packet, least)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         first = begin[doc] + start
         chosen = [every[a : a + n].tobytes() for a, n in zip(first, length, strict=True)]
-        key_type = batch_type(docs)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([docs[d] for d in doc], key_type),
@@ -406,10 +405,9 @@ def pack(
                 pa.array((np.int64(block) << 20) + sequence),
                 pa.array(offset),
             ],
-            [key, "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+            [key, *names],
         )
 
-    def batch_type(docs: list) -> pa.DataType:
-        return pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
-
-    return dealt(blocks, schedule).mapInArrow(run, _PIECE.format(key_name=f"`{key}`", key=kind))
+    quoted = key.replace("`", "``")
+    columns = ", ".join([f"`{quoted}` {kind}", *(f"{c} {t}" for c, t in names.items())])
+    return dealt(blocks, schedule).mapInArrow(run, columns)

@@ -113,6 +113,10 @@ def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.vector_groups(read_table(spark, folder, "embeddings"), "vec_id", "embedding")
 
 
+#: Shortest piece that the queries cut from a longer document, in ids.
+LEAST_PACKET = 128
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(read_table(spark, folder, "documents"))
 
@@ -120,7 +124,9 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 def packed_pieces(documents: DataFrame) -> DataFrame:
     """Pieces of the packed documents with the checksum of their ids in place of the ids."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = mixture.pack(documents, "doc_id", "text", "source", tokenizer)
+    pieces = mixture.pack(
+        documents, "doc_id", "text", "source", tokenizer, least=LEAST_PACKET
+    )
     return pieces.select(
         "doc_id",
         "start",

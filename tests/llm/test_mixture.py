@@ -92,21 +92,80 @@ def test_sequences_keep_to_the_shares():
     assert served == total
 
 
-def test_what_is_owed_is_carried_over(spark):
-    blocks = spark.createDataFrame(
-        [(0, 0, ["a", "b"], [30, 10]), (0, 1, ["a"], [40]), (2, 0, ["b", "c"], [10, 30])],
-        "part long, block long, sources array<string>, counts array<long>",
-    )
-    found = {
-        (r.part, r.block): {k: (round(v.share, 6), round(v.owed, 6)) for k, v in r.credit.items()}
-        for r in mixture.credits(blocks).collect()
-    }
-    a, b, c = 70 / 120, 20 / 120, 30 / 120
-    assert found == {
-        (0, 0): {"a": (round(a, 6), 0.0), "b": (round(b, 6), 0.0)},
-        (0, 1): {"a": (round(a, 6), round(a * 40 - 30, 6))},
-        (2, 0): {"b": (round(b, 6), round(b * 80 - 10, 6)), "c": (round(c, 6), round(c * 80, 6))},
-    }
+def test_what_is_owed_is_carried_over_sequences():
+    names = [f"s{n}" for n in range(20)]
+    queues = names * 40
+    lengths = [700] * len(queues)
+    owed = {name: n * 6.0 - 57 for n, name in enumerate(names)}
+    credit = {name: (1 / 20, owed[name]) for name in names}
+    pieces = mixture.fill(queues, lengths, credit, least=128)
+    assert sum(n for _, _, n, _, _ in pieces) == sum(lengths)
+    assert np.median([n for _, _, n, _, _ in pieces]) >= 128
+    served = dict.fromkeys(names, 0)
+    sequences = len(mixture.lengths_of(sum(lengths)))
+    for at in range(sequences - 20):
+        for doc, _, n, sequence, _ in pieces:
+            if sequence == at:
+                served[queues[doc]] += n
+        # Whatever was served, what is owed by now stays within two packets of what was at first.
+        done = sum(served.values())
+        assert all(abs(done / 20 + owed[n] - served[n]) <= 2 * mixture.PACKET for n in names)
+    # A source that began with more owed has had more by the middle.
+    first = dict.fromkeys(names, 0)
+    for doc, _, n, sequence, _ in pieces:
+        first[queues[doc]] += n if sequence < 8 else 0
+    assert sum(first[n] for n in names[10:]) > sum(first[n] for n in names[:10])
+
+
+def test_what_is_owed_is_carried_over_blocks():
+    totals = {f"s{n}": 10_007 * (n + 1) for n in range(7)}
+    schedule = mixture.Schedule(totals, None, 8 * 1024, 32)
+    borders = {name: schedule.borders(name) for name in totals}
+    every = sum(totals.values())
+    assert all(b[0] == 0 and b[-1] == totals[n] and (np.diff(b) >= 0).all() for n, b in borders.items())
+    filler = schedule.names[schedule.filler]
+    largest = 0
+    for block in range(len(borders["s0"]) - 1):
+        cut = block * 8 * 1024
+        assert sum(b[block] for b in borders.values()) == cut
+        owed = {n: schedule.due(n, block) - b[block] for n, b in borders.items()}
+        assert all(abs(schedule.due(n, block) - totals[n] * cut / every) < 1e-3 for n in totals)
+        assert all(-1e-6 <= v < 32 for n, v in owed.items() if n != filler)
+        largest = max(largest, *owed.values())
+    assert largest > 16
+
+
+@pytest.mark.parametrize("sources", [20, 200])
+def test_pieces_are_not_scraps(spark, sources):
+    rows = [(n, "some words of text here " * 300, f"s{n % sources}") for n in range(2 * sources)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = mixture.pack(df, "doc_id", "text", "source", PATH, block_ids=1 << 16, least=128)
+    pieces = check(pieces, [r[:2] for r in rows])
+    sizes = [p.length for p in pieces]
+    assert np.median(sizes) >= 128
+    plain = mixture.pack(df, "doc_id", "text", "source", PATH, block_ids=1 << 16)
+    assert len(sizes) < plain.count() / 2
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(12,2)", "string", "int", "date"])
+def test_keys_of_other_types(spark, kind):
+    value = "date_add(date'2020-01-01', cast(id as int))" if kind == "date" else "id"
+    df = spark.range(30).selectExpr(f"cast({value} as {kind}) as doc_id", "'some words' as text", "'s' as source")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    check(mixture.pack(df, "doc_id", "text", "source", PATH, window=64), rows, 64)
+
+
+@pytest.mark.parametrize(
+    "name", ["source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "block", "text"]
+)
+def test_keys_named_like_other_columns(spark, name):
+    rows = [(n, "some words of text", "s", 5, "x") for n in range(9)]
+    others = [c for c in ("start", "block", "ids", "piece_start") if c != name][:2]
+    df = spark.createDataFrame(rows, ["k", "said", "origin", *others]).withColumnRenamed("k", name)
+    found = mixture.pack(df, name, "said", "origin", PATH)
+    added = ["source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    assert found.columns == [name, *(f"piece_{c}" if c == name else c for c in added)]
+    assert sorted(r[0] for r in found.collect()) == list(range(9))
 
 
 def test_named_targets(spark):
