@@ -53,21 +53,48 @@ def op2_quotes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# The same from the turns themselves: a turn quotes the two before it, and what
-# counts as said first is the earliest turn of the conversation with those words.
+# The same from the turns themselves: a turn quotes the one before it, cut by thirds, and the
+# one before that. What counts as said first is the earliest turn of the conversation with
+# those words as its text, a paragraph or a line; a cut quote counts by its longest line.
 OP2_SQL = r"""
 WITH RECURSIVE said AS (
   SELECT conv_id, turn, role, text, regexp_replace(text, '^\s+|\s+$', '', 'g') AS own,
-         trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS even
+         trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS even,
+         string_split(text, chr(10)) AS lines
   FROM conversations),
-first_here AS (SELECT conv_id, even, min(turn) AS turn FROM said WHERE even <> '' GROUP BY ALL),
+units AS (
+  SELECT conv_id, turn, text AS unit FROM said
+  UNION ALL SELECT conv_id, turn, unnest(regexp_split_to_array(text, '\n\s*\n')) FROM said
+  UNION ALL SELECT conv_id, turn, unnest(lines) FROM said),
+first_here AS (
+  SELECT conv_id, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) AS even, min(turn) AS turn
+  FROM units GROUP BY ALL HAVING even <> ''),
+kept AS (
+  SELECT s.conv_id, s.turn,
+         CASE WHEN s.turn % 3 = 2 THEN p.lines[1]
+              WHEN s.turn % 3 = 1 AND len(p.lines) > 2 THEN p.lines[1] || chr(10) || p.lines[-1]
+              ELSE p.text END AS quote
+  FROM said s JOIN said p ON p.conv_id = s.conv_id AND p.turn = s.turn - 1),
+tries AS (
+  SELECT conv_id, turn, 0 AS part, quote AS piece FROM kept
+  UNION ALL
+  SELECT conv_id, turn, unnest(range(1, len(string_split(quote, chr(10))) + 1)),
+         unnest(string_split(quote, chr(10)))
+  FROM kept),
+ranked AS (
+  SELECT t.conv_id, t.turn, f.turn AS up,
+         row_number() OVER (PARTITION BY t.conv_id, t.turn
+                            ORDER BY t.part > 0, length(f.even) DESC, t.part) AS best
+  FROM tries t
+  JOIN first_here f ON f.conv_id = t.conv_id AND f.turn < t.turn
+   AND f.even = trim(regexp_replace(lower(t.piece), '\s+', ' ', 'g'))),
 linked AS (
-  SELECT s.conv_id, s.turn, s.role, s.own AS text, coalesce(f1.turn, f2.turn) AS up,
-         (p1.even <> '')::INT AS n1, (p2.even <> '')::INT AS n2
+  SELECT s.conv_id, s.turn, s.role, s.own AS text, coalesce(f1.up, f2.turn) AS up,
+         (trim(regexp_replace(k.quote, '\s+', ' ', 'g')) <> '')::INT AS n1, (p2.even <> '')::INT AS n2
   FROM said s
-  LEFT JOIN said p1 ON p1.conv_id = s.conv_id AND p1.turn = s.turn - 1
+  LEFT JOIN kept k ON k.conv_id = s.conv_id AND k.turn = s.turn
+  LEFT JOIN ranked f1 ON f1.conv_id = s.conv_id AND f1.turn = s.turn AND f1.best = 1
   LEFT JOIN said p2 ON p2.conv_id = s.conv_id AND p2.turn = s.turn - 2
-  LEFT JOIN first_here f1 ON f1.conv_id = s.conv_id AND f1.even = p1.even
   LEFT JOIN first_here f2 ON f2.conv_id = s.conv_id AND f2.even = p2.even),
 chain AS (
   SELECT conv_id, turn, turn AS root, 0 AS depth FROM linked WHERE up IS NULL

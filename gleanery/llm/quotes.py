@@ -8,6 +8,12 @@ anywhere that comes before it in the order of conversation and turn. Links
 therefore never run in a circle. The message a reply answers is the latest one
 of those that its passages of the lowest level lead to.
 
+Messages are known by their passages, and by the paragraphs and lines of these.
+So a quote of some paragraphs or lines is found as it is, and one from which
+something in the middle was cut by the longest of its paragraphs and lines that
+is found. Such a part leads to another conversation only if it is long enough
+not to be a common phrase.
+
 Only DataFrame functions are used. Who said a passage first is found by
 minimum before anything is joined, so a passage that stands in a third of all
 messages costs one row per conversation.
@@ -21,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import boxed, unboxed
-from gleanery.scale import computed_once, written
+from gleanery.scale import computed_once, exploded, let, written
 
 #: Quote marks at the beginning of a line, blanks between them; no group, so any number will do.
 _MARKS = r"^[> \t]*>"
@@ -29,6 +35,11 @@ _MARKS = r"^[> \t]*>"
 #: Chains of replies longer than 2 to this power do not occur in sound input.
 MAX_ROUNDS = 40
 
+#: Words of a paragraph or line that is looked for in other conversations too.
+AWAY_WORDS = 8
+
+_WHOLE = -(1 << 31)
+
 
 def passages(text: Column) -> Column:
     """Array of (level, body): the runs of lines with the same number of quote marks."""
@@ -73,6 +84,37 @@ def _digest(body: Column) -> Column:
     return F.when(even != "", F.md5(even.cast("binary")))
 
 
+def _parts(body: Column) -> Column:
+    """The paragraphs and the lines of a passage, evened."""
+    parts = F.concat(F.split(body, r"\n\s*\n"), F.split(body, r"\n"))
+    return F.transform(parts, evened)
+
+
+def _known_far(even: Column) -> Column:
+    return F.size(F.split(even, " ")) >= AWAY_WORDS
+
+
+def _tries(body: Column) -> Column:
+    """Digests a quoted passage is looked up by, the best first: itself, then the longest parts."""
+    def with_parts(passage: Column) -> Column:
+        whole = F.struct(
+            F.lit(_WHOLE).alias("size"), F.lit(0).alias("part"), passage.alias("digest"),
+            F.lit(True).alias("far"), passage.alias("passage"),
+        )
+        parts = F.transform(
+            _parts(body),
+            lambda even, n: F.struct(
+                (-F.length(even)).alias("size"), n.alias("part"),
+                F.md5(even.cast("binary")).alias("digest"), _known_far(even).alias("far"),
+                passage.alias("passage"),
+            ),
+        )
+        further = F.filter(parts, lambda p: (p["size"] < 0) & (p["digest"] != passage))
+        return F.concat(F.array(whole), further)
+
+    return let(_digest(body), with_parts)
+
+
 def own_text(said: Column) -> Column:
     """What is left of a message without its quotes, white space at the ends removed."""
     own = F.transform(F.filter(said, lambda p: p["level"] == 0), lambda p: p["body"])
@@ -87,8 +129,8 @@ def reply_order(
     Adds `reply_to` (conversation, turn) of the message answered, NULL where
     none is found, `thread`, the first message of the chain, `depth`, the
     number of replies before it, and `quoted`, every quoted passage with its
-    level, digest and the message that said it first; they replace columns of
-    these names. Rows come in the order of thread, depth, conversation and
+    level, digest and the message that said it, or the longest part of it that
+    is found, first; they replace columns of these names. Rows come in the order of thread, depth, conversation and
     turn, replies after what they answer, unless `in_order` is false.
 
     NULL texts stay NULL and neither quote nor are quoted, as do rows with a
@@ -107,11 +149,15 @@ def reply_order(
         "messages",
     )
     keyed = rows.filter("conv is not null and turn is not null and said is not null")
-    spoken = keyed.select("conv", "turn", F.explode(_own_digests()).alias("digest"))
-    here = spoken.groupBy("digest", "conv").agg(F.min("turn").alias("here"))
-    here = written(here.filter("digest is not null"), "spoken")
-    anywhere = here.groupBy("digest").agg(
-        F.min(F.struct(F.col("conv"), F.col("here").alias("turn"))).alias("first")
+    spoken = keyed.select("conv", "turn", F.explode(_own_digests()).alias("own"))
+    here = (
+        spoken.filter("own.digest is not null")
+        .groupBy(F.col("own.digest").alias("digest"), "conv")
+        .agg(F.min("turn").alias("here"), F.min(F.when(F.col("own.far"), F.col("turn"))).alias("_far"))
+    )
+    here = written(here, "spoken")
+    anywhere = here.filter("_far is not null").groupBy("digest").agg(
+        F.min(F.struct(F.col("conv"), F.col("_far").alias("turn"))).alias("first")
     )
     # Written, so that the join below splits a passage that very many messages quote.
     anywhere = written(anywhere, "first-spoken")
@@ -120,17 +166,27 @@ def reply_order(
     )
     quoted = quoted.select(
         "conv", "turn", "body", "place", F.col("p.level").alias("level"),
-        _digest(F.col("p.body")).alias("digest"),
-    ).filter("digest is not null")
+        F.col("p.body").alias("quote"),
+    )
+    # Rows with the array beside them would grow with the square of the lines, so nothing but the
+    # try is kept of it.
+    quoted = exploded(
+        quoted, _tries(F.col("quote")), "try", "conv", "turn", "body", "place", "level"
+    ).select("*", F.col("try.digest").alias("digest")).filter("try.passage is not null")
     message = F.struct(F.col("conv"), F.col("turn"))
     source = F.when(
         F.col("here") < F.col("turn"), F.struct(F.col("conv"), F.col("here").alias("turn"))
-    ).when(F.col("first") < message, F.col("first"))
+    ).when(F.col("try.far") & (F.col("first") < message), F.col("first"))
     linked = (
         quoted.join(here, ["digest", "conv"], "left")
         .join(anywhere, "digest", "left")
-        .select("conv", "turn", "body", "place", "level", "digest", source.alias("source"))
-        .distinct()
+        .withColumn("source", source)
+        .groupBy("conv", "turn", "body", "place", "level", F.col("try.passage").alias("digest"))
+        .agg(
+            F.min_by(
+                "source", F.when(F.col("source").isNotNull(), F.struct("try.size", "try.part"))
+            ).alias("source")
+        )
     )
     answers = linked.groupBy("conv", "turn", "body").agg(
         F.min_by("source", F.when(F.col("source").isNotNull(), F.struct(
@@ -160,10 +216,22 @@ def reply_order(
 
 
 def _own_digests() -> Column:
-    """Digests of the unquoted passages of a message and of all of them together."""
-    own = F.filter("said", lambda p: p["level"] == 0)
-    whole = _digest(F.array_join(F.transform(own, lambda p: p["body"]), "\n"))
-    return F.array_distinct(F.concat(F.transform(own, lambda p: _digest(p["body"])), F.array(whole)))
+    """Digests of the unquoted passages of a message, of all of them together, and of their parts.
+
+    `far` tells which of them other conversations may be linked to by.
+    """
+    own = F.transform(F.filter("said", lambda p: p["level"] == 0), lambda p: p["body"])
+    whole = F.transform(
+        F.concat(own, F.array(F.array_join(own, "\n"))),
+        lambda body: F.struct(_digest(body).alias("digest"), F.lit(True).alias("far")),
+    )
+    parts = F.transform(
+        F.filter(F.flatten(F.transform(own, _parts)), lambda even: even != ""),
+        lambda even: F.struct(
+            F.md5(even.cast("binary")).alias("digest"), _known_far(even).alias("far")
+        ),
+    )
+    return F.concat(whole, parts)
 
 
 def _chains(answers: DataFrame) -> DataFrame:
@@ -204,7 +272,11 @@ def _chains(answers: DataFrame) -> DataFrame:
 
 
 def as_mail(df: DataFrame, conversation: str, turn: str, text: str) -> DataFrame:
-    """Turns as a mail program would send them: the two turns before quoted above the own text."""
+    """Turns as a mail program would send them: the two turns before quoted above the own text.
+
+    As people do, some cut what they quote of the turn just before: every third
+    turn keeps its first line only, every third its first and its last.
+    """
     def before(back: int, name: str) -> DataFrame:
         return (
             df.groupBy(F.col(conversation).alias("_c"), (F.col(turn) + back).alias("_t"))
@@ -216,10 +288,17 @@ def as_mail(df: DataFrame, conversation: str, turn: str, text: str) -> DataFrame
         same = (F.col(conversation) == F.col("_c")) & (F.col(turn) == F.col("_t"))
         return left.join(right, same, "left").drop("_c", "_t")
 
-    def marked(name: str, marks: str) -> Column:
-        return F.concat(F.regexp_replace(name, r"(?m)^", marks), F.lit("\n"))
+    def marked(quote: Column, marks: str) -> Column:
+        return F.concat(F.regexp_replace(quote, r"(?m)^", marks), F.lit("\n"))
 
     rows = joined(joined(df, 1), 2)
     none = F.lit("")
-    body = F.concat(F.coalesce(marked("_2", ">> "), none), F.coalesce(marked("_1", "> "), none), F.col(text))
+    first, last = F.substring_index("_1", "\n", 1), F.substring_index("_1", "\n", -1)
+    ends = F.when(F.size(F.split("_1", "\n")) > 2, F.concat(first, F.lit("\n"), last)).otherwise(F.col("_1"))
+    kept = F.when(F.pmod(F.col(turn), F.lit(3)) == 2, first).when(
+        F.pmod(F.col(turn), F.lit(3)) == 1, ends
+    ).otherwise(F.col("_1"))
+    body = F.concat(
+        F.coalesce(marked(F.col("_2"), ">> "), none), F.coalesce(marked(kept, "> "), none), F.col(text)
+    )
     return rows.withColumn(text, body).select(*df.columns)

@@ -40,6 +40,44 @@ def test_links_and_order(spark):
     assert keys == sorted(keys)
 
 
+def test_trimmed_quotes(spark):
+    first = "Hi,\nwe meet on Monday at nine\nin the small room\n\nBring the papers along with you please\n\nAnna"
+    rows = [
+        (1, 0, first),
+        # One paragraph of two, in other case and spacing, and one line of a paragraph.
+        (1, 1, "> bring  the papers along with you PLEASE\nI will"),
+        (1, 2, "> in the small room\nnot the large one"),
+        # Two paragraphs with a blank line between them that is not marked.
+        (1, 3, "> we meet on Monday at nine\n> in the small room\n\n> Bring the papers along with you please\nboth fine"),
+        # Something in the middle cut: the longest line decides, though a shorter one was said elsewhere.
+        (1, 4, "I will\nand more of it"),
+        (1, 5, "> I will\n> ...\n> we meet on Monday at nine\nsure"),
+        (1, 6, "> ...\n> never said at all\nwhat"),
+        # Away from their conversation short parts lead nowhere, long ones do.
+        (2, 0, "> in the small room\nx"),
+        (2, 1, "a line of eight words that stand together\nsecond line"),
+        (3, 0, "> A line of eight words that stand together\ny"),
+        (3, 1, "> Hi,\n> something that nobody ever said before here\nz"),
+    ]
+    _, by = run(spark, rows)
+    reply = {k: tuple(r.reply_to) if r.reply_to else None for k, r in by.items() if ">" in dict(((a, b), t) for a, b, t in rows)[k]}
+    assert reply == {
+        (1, 1): (1, 0), (1, 2): (1, 0), (1, 3): (1, 0), (1, 5): (1, 0), (1, 6): None,
+        (2, 0): None, (3, 0): (2, 1), (3, 1): None,
+    }
+    assert [tuple(q.source) for q in by[1, 3].quoted] == [(1, 0), (1, 0)]
+    assert by[1, 3].text == "both fine"
+
+
+def test_a_very_long_quote(spark):
+    lines = [f"line number {n} of many" for n in range(20000)]
+    text = "\n".join(lines)
+    cut = "\n".join(f"> {x}" for x in lines[5:] if x != lines[900])
+    _, by = run(spark, [(1, 0, text), (1, 1, cut + "\nI read it"), (1, 2, "> I read it\ngood")])
+    assert tuple(by[1, 1].reply_to) == (1, 0) and by[1, 1].text == "I read it"
+    assert by[1, 2].depth == 2
+
+
 def test_levels(spark):
     text = "own\n> one\n>one more\n> > two\n>\n\t> tabbed\n>>> three\nlast"
     said = spark.range(1).select(quotes.passages(F.lit(text)).alias("s")).first().s
