@@ -154,6 +154,33 @@ def test_probe_agrees_with_brute_force(spark, way):
     assert dict(rows(got)) == want
 
 
+@pytest.mark.parametrize("group_rows", [2, 100])
+def test_names_in_many_texts_are_not_written_or_shuffled(spark, monkeypatch, group_rows):
+    made = random.Random(6)
+    letters = "abcdefghij"
+    texts = [(n % 40 if n % 9 else None, "".join(made.choices(letters, k=200))) for n in range(160)]
+    texts += [(41, f"{a}x{b}") for a in letters for b in letters] + [(41, None), (42, "")]
+    names = [a + w + b for a in letters for b in letters for w in ("_", "__", "%")] + ["___", "%%%%"]
+    made_tables = {}
+
+    def counting(df, label):
+        table = write(df, label)
+        made_tables[label] = made_tables.get(label, 0) + table.count()
+        return table
+
+    write = matching.written
+    monkeypatch.setattr(matching, "written", counting)
+    monkeypatch.setattr(matching, "GROUP_ROWS", group_rows, raising=False)
+    df = spark.createDataFrame(texts, "id int, text string").repartition(7)
+    got = matching.probe_vocabulary(df, "text", vocab(spark, names), "id", max_terms=0)
+    found = dict(rows(got))
+    assert sum(made_tables.values()) <= 3 * len(names)
+    for name in names:
+        pattern = re.compile(f"{name}".replace("_", ".").replace("%", ".*"), re.S)
+        keys = {k for k, t in texts if k is not None and t is not None and pattern.search(t)}
+        assert found.get(name, 0) == len(keys), name
+
+
 def test_probe_constants_in_one_scan(spark):
     df = texts(spark, ["Python and SQL", "excellent", None])
     got = matching.probe_constants(df, "text", ["python", "sql", "excel", "tableau"])
