@@ -5,8 +5,11 @@ of the corpus is encoded once. An inverted index leads from the token a pair wou
 become to all places of that pair, in whatever word. Merges are taken from it in the
 order of their ranks and applied to all their places; only the two pairs around a
 place change, and enter the index where they can merge too. Different pairs that
-become the same token have one rank and so one entry. Words do not influence each
-other: the ids are the same whatever the slices are, so nothing is shuffled.
+become the same token have one rank and so one entry. Short words, which are nearly
+all, take their merges in the same order side by side: an array holds the rank of
+the pair at every place, and in a round each word makes its least merge. Words do
+not influence each other: the ids are the same whatever the slices are, so nothing
+is shuffled.
 """
 
 from __future__ import annotations
@@ -32,6 +35,12 @@ KEPT_WORDS = 300_000
 # Left and right token of a pair in one number; there are fewer tokens than this.
 SHIFT = 20
 
+#: Bytes of the longest word that takes part in rounds; there is a round for each merge of a word.
+SHORT = 32
+
+# Rank of a pair that cannot merge, greater than any that can.
+NEVER = 1 << SHIFT
+
 #: How ids are stored: unsigned, little-endian, 32 bits.
 ID = np.dtype("<u4")
 
@@ -57,6 +66,18 @@ class Merges:
             if len(token) == 2:
                 first[token[0], token[1]] = number
         self.first = first
+        pairs = np.fromiter(self.becomes, np.int64, len(self.becomes))
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.pair_ranks = np.fromiter(self.becomes.values(), np.int64, len(pairs))[order]
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, `NEVER` for those that cannot merge."""
+        wanted = left << SHIFT | right
+        if not len(self.pairs):
+            return np.full(len(wanted), NEVER)
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], NEVER)
 
 
 def replayed(words: list[bytes], merges: Merges) -> list[bytes]:
@@ -65,11 +86,65 @@ def replayed(words: list[bytes], merges: Merges) -> list[bytes]:
     A word that is a token as a whole is that token, whether or not merges lead there.
     """
     open_words = [w for w in words if w not in merges.ids]
-    found = dict(zip(open_words, _merged(open_words, merges), strict=True))
+    short = [w for w in open_words if len(w) <= SHORT]
+    long = [w for w in open_words if len(w) > SHORT]
+    found = dict(zip(short, _merged_in_rounds(short, merges), strict=True))
+    found.update(zip(long, _merged(long, merges), strict=True))
     whole = {w: np.array([merges.ids[w]], ID).tobytes() for w in words if w in merges.ids}
     return [found[w] if w in found else whole[w] for w in words]
 
 
+def _merged_in_rounds(words: list[bytes], merges: Merges) -> list[bytes]:
+    """All words at once; in a round each makes its merge of least rank, the leftmost of equals."""
+    if not words:
+        return []
+    octets = np.frombuffer(b"".join(words), np.uint8)
+    sizes = np.array([len(w) for w in words])
+    begin = np.cumsum(sizes) - sizes
+    token, word = merges.of_byte[octets], np.repeat(np.arange(len(words)), sizes)
+    can = np.full(len(octets), NEVER)
+    first = merges.first[octets[:-1], octets[1:]]
+    can[:-1] = np.where(first >= 0, first, NEVER)
+    can[begin + sizes - 1] = NEVER
+
+    tokens, owners = [], []
+    while len(begin):
+        least = np.minimum.reduceat(can, begin)
+        able = least < NEVER
+        if not able.all():
+            more = np.repeat(able, sizes)
+            tokens.append(token[~more])
+            owners.append(word[~more])
+            token, word, can = token[more], word[more], can[more]
+            least, sizes = least[able], sizes[able]
+            begin = np.cumsum(sizes) - sizes
+            if not len(begin):
+                break
+        equal = np.flatnonzero(can == np.repeat(least, sizes))
+        owner = word[equal]
+        place = equal[np.concatenate([[True], owner[1:] != owner[:-1]])]
+        token[place] = least
+        followed = place + 2 < begin + sizes
+        can[place] = NEVER
+        here = place[followed]
+        can[here] = merges.ranks_of(least[followed], token[here + 2])
+        preceded = place > begin
+        back = place[preceded] - 1
+        can[back] = merges.ranks_of(token[back], least[preceded])
+        stay = np.ones(len(token), bool)
+        stay[place + 1] = False
+        token, word, can = token[stay], word[stay], can[stay]
+        sizes = sizes - 1
+        begin = begin - np.arange(len(begin))
+
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    stored = np.concatenate(tokens)[order].astype(ID).tobytes()
+    stops = np.cumsum(np.bincount(owner, minlength=len(words))) * ID.itemsize
+    cuts = [0, *stops.tolist()]
+    return [stored[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _merged(words: list[bytes], merges: Merges) -> list[bytes]:
     if not words:
         return []

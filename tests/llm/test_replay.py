@@ -91,6 +91,25 @@ def test_merges_that_allow_earlier_ones():
         assert [ids(stored) for stored in replay.replayed(words, merges)] == expected
 
 
+def test_short_words_need_no_index(merges, library, monkeypatch):
+    def fail(waiting):
+        raise AssertionError("a merge was taken by itself")
+
+    monkeypatch.setattr(replay, "heappop", fail)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeinorstéü1-", k=rng.randrange(1, 17))) for _ in range(3000)]
+    text = " ".join(words)
+    assert ids(replay.Encoder(merges, PATTERN).encode([text])[0]) == library.encode_ordinary(text)
+
+
+def test_words_around_the_longest_short_one(merges, library):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abnt", k=n)) for n in range(1, 70) for _ in range(5)]
+    words += ["a" * n for n in range(1, 70)]
+    found = replay.replayed([w.encode() for w in words], merges)
+    assert [ids(stored) for stored in found] == [library.encode_ordinary(w) for w in words]
+
+
 def test_texts_beyond_a_slice(spark, library):
     text = "Some words, 12 of them. " * 400
     df = spark.createDataFrame([(1, text), (2, "a"), (3, text[:50])], "k int, t string")
