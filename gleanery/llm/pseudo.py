@@ -53,7 +53,7 @@ RATE = 0.1
 HELD = 200_000
 
 #: Positions scored at once.
-SCORED = 1 << 14
+SCORED = 1 << 12
 
 #: Values of the network in one row of the exchange.
 SLICE = 1 << 13
@@ -158,67 +158,130 @@ class Network:
         return np.concatenate([self.weights[n].ravel() for n in SHAPES])
 
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, hidden layer and scores of the classes."""
+        """Inputs, hidden layer with a column of ones for the biases, and scores of the classes."""
         w = self.weights
         inputs = w["embed"][around].reshape(len(around), -1)
-        hidden = np.tanh(inputs @ w["hidden"] + w["hidden_bias"])
-        return inputs, hidden, hidden @ w["classes"] + w["class_bias"]
-
-    def by_class(self, hidden: np.ndarray, target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each class of the targets: its number, the rows, scores of its members."""
-        group = target // MEMBERS
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            rows = order[bounds[c] : bounds[c + 1]]
-            yield int(c), rows, hidden[rows] @ self.weights["members"][c] + self.weights["member_bias"][c]
+        summed = inputs @ w["hidden"]
+        summed += w["hidden_bias"]
+        hidden = np.ones((len(around), HIDDEN + 1), summed.dtype)
+        np.tanh(summed, out=hidden[:, :HIDDEN])
+        return inputs, hidden, hidden @ np.vstack([w["classes"], w["class_bias"]])
+
+    def members(self, hidden: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Scores of the members of the class of each row, the rows being in the order of classes."""
+        w = self.weights
+        weights = np.concatenate([w["members"], w["member_bias"][:, None]], axis=1)
+        found = np.empty((len(hidden), MEMBERS), hidden.dtype)
+        for c, rows in parts_of(bounds):
+            np.matmul(hidden[rows], weights[c], out=found[rows])
+        return found
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        _, hidden, classes = self.forward(around)
-        found = log_probability(classes, target // MEMBERS).astype(np.float64)
-        for _, rows, members in self.by_class(hidden, target):
-            found[rows] += log_probability(members, target[rows] % MEMBERS)
+        order, bounds = in_classes(target)
+        target = target[order]
+        _, hidden, classes = self.forward(around[order])
+        members = self.members(hidden, bounds)
+        found = np.empty(len(target))
+        found[order] = log_probability(classes, target // MEMBERS).astype(np.float64)
+        found[order] += log_probability(members, target % MEMBERS)
         return found
 
     def learn(self, around: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray]) -> None:
         """One step of Adagrad on a batch of positions."""
         w, n = self.weights, len(target)
+        order, bounds = in_classes(target)
+        around, target = around[order], target[order]
         inputs, hidden, classes = self.forward(around)
-        slope = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
         gap = softmax(classes)
         gap[np.arange(n), target // MEMBERS] -= 1
-        slope["classes"], slope["class_bias"] = hidden.T @ gap, gap.sum(axis=0)
-        back = gap @ w["classes"].T
-        for c, rows, members in self.by_class(hidden, target):
-            miss = softmax(members)
-            miss[np.arange(len(rows)), target[rows] % MEMBERS] -= 1
-            slope["members"][c] = hidden[rows].T @ miss
-            slope["member_bias"][c] = miss.sum(axis=0)
-            back[rows] += miss @ w["members"][c].T
-        back *= 1 - hidden**2
-        slope["hidden"], slope["hidden_bias"] = inputs.T @ back, back.sum(axis=0)
-        into = (back @ w["hidden"].T).reshape(-1, EMBEDDING)
-        places = around.ravel()
-        for d in range(EMBEDDING):
-            slope["embed"][:, d] = np.bincount(places, into[:, d], SYMBOLS)
+        miss = softmax(self.members(hidden, bounds))
+        miss[np.arange(n), target % MEMBERS] -= 1
+        held = np.flatnonzero(np.diff(bounds))
+        members = np.empty((len(held), HIDDEN + 1, MEMBERS), miss.dtype)
+        back = np.empty((n, HIDDEN), miss.dtype)
+        for i, (c, rows) in enumerate(parts_of(bounds)):
+            part = miss[rows]
+            np.matmul(hidden[rows].T, part, out=members[i])
+            np.matmul(part, w["members"][c].T, out=back[rows])
+        back += gap @ w["classes"].T
+        active = hidden[:, :HIDDEN]
+        back *= 1 - active * active
+        into = (back @ w["hidden"].T).ravel()
+        cells = (around.reshape(-1, 1) * EMBEDDING + np.arange(EMBEDDING)).ravel()
+        embed = np.bincount(cells, into, SYMBOLS * EMBEDDING).reshape(SYMBOLS, EMBEDDING)
+        both = hidden.T @ gap
+        slope = {
+            "embed": embed.astype(into.dtype),
+            "hidden": inputs.T @ back,
+            "hidden_bias": np.ones(n, back.dtype) @ back,
+            "classes": both[:HIDDEN],
+            "class_bias": both[HIDDEN],
+        }
         for name, change in slope.items():
-            change /= n
-            sums[name] += change**2
-            w[name] -= RATE * change / np.sqrt(sums[name] + 1e-8)
+            _step(w[name], sums[name], change, n)
+        # Classes without a target have no slope, and stay as they are.
+        for name, change in (("members", members[:, :HIDDEN]), ("member_bias", members[:, HIDDEN])):
+            if len(held) == CLASSES:
+                _step(w[name], sums[name], change, n)
+            else:
+                part, seen = w[name][held], sums[name][held]
+                _step(part, seen, change, n)
+                w[name][held], sums[name][held] = part, seen
+
+
+def parts_of(bounds: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each class that has rows, and which they are."""
+    ends = bounds.tolist()
+    return ((c, slice(a, b)) for c, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b)
+
+
+def in_classes(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of the classes of their targets, and where each class begins."""
+    group = (target // MEMBERS).astype(np.uint8)
+    counts = np.bincount(group, minlength=CLASSES)
+    return np.argsort(group, kind="stable"), np.concatenate([[0], np.cumsum(counts)])
+
+
+def _step(weights: np.ndarray, sums: np.ndarray, change: np.ndarray, n: int) -> None:
+    """Adagrad in place; `change`, the slope summed over `n` positions, is used up."""
+    change /= n
+    spread = change * change
+    sums += spread
+    np.add(sums, 1e-8, out=spread)
+    np.sqrt(spread, out=spread)
+    change /= spread
+    change *= RATE
+    weights -= change
+
+
+def raised(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """Exponentials of the scores, in their place, less what was taken from them first.
+
+    Nothing is where none is far from 0; one shift for all rows does where no row lies
+    so far below it that its sum would vanish.
+    """
+    most, least = scores.max(), scores.min()
+    if most < 30 and least > -30:
+        shift = scores.dtype.type(0)
+    else:
+        shift = most if most - least < 60 else scores.max(axis=1, keepdims=True)
+        scores -= shift
+    return np.exp(scores, out=scores), shift
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
-    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
-    return raised / raised.sum(axis=1, keepdims=True)
+    """Of each row; `scores` are used up."""
+    found, _ = raised(scores)
+    found /= (found @ np.ones(scores.shape[1], scores.dtype))[:, None]
+    return found
 
 
 def log_probability(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at one column of it."""
-    # One shift for all rows does where no row lies so far below it that its sum would vanish.
-    near = scores.max() - scores.min() < 60
-    shift = scores.max() if near else scores.max(axis=1, keepdims=True)
-    total = np.exp(scores - shift) @ np.ones(scores.shape[1], scores.dtype)
-    return scores[np.arange(len(at)), at] - np.ravel(shift) - np.log(total)
+    """Logarithm of the softmax of each row at one column of it; `scores` are used up."""
+    chosen = scores[np.arange(len(at)), at]
+    found, shift = raised(scores)
+    total = found @ np.ones(scores.shape[1], scores.dtype)
+    return chosen - np.ravel(shift) - np.log(total)
 
 
 def framed(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

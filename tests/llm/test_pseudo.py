@@ -41,6 +41,29 @@ def test_slopes_agree_with_differences():
         assert sums[name][at] == pytest.approx(slope**2, rel=2e-2, abs=1e-9)
 
 
+@pytest.mark.parametrize("spread", [1, 20, 50, 300])
+def test_softmax_of_near_and_distant_scores(spread):
+    scores = (np.random.default_rng(4).standard_normal((50, 64)) * spread).astype(np.float32)
+    at = np.arange(50) % 64
+    exact = scores.astype(np.float64) - scores.max(axis=1, keepdims=True)
+    exact = exact - np.log(np.exp(exact).sum(axis=1, keepdims=True))
+    assert np.allclose(pseudo.softmax(scores.copy()), np.exp(exact), atol=1e-5)
+    found = pseudo.log_probability(scores.copy(), at)
+    assert np.allclose(found, exact[np.arange(50), at], rtol=1e-4, atol=1e-4)
+
+
+def test_classes_without_a_target_stay_as_they_are():
+    rng = np.random.default_rng(5)
+    network = pseudo.Network.fresh()
+    before = {k: v.copy() for k, v in network.weights.items()}
+    sums = {k: np.zeros(s, np.float32) for k, s in pseudo.SHAPES.items()}
+    target = rng.integers(0, 3 * pseudo.MEMBERS, 500)
+    network.learn(rng.integers(0, 900, (500, 4)), target, sums)
+    moved = (network.weights["members"] != before["members"]).any(axis=(1, 2))
+    assert moved.tolist() == [c < 3 for c in range(pseudo.CLASSES)]
+    assert sums["member_bias"][:3].all() and not sums["member_bias"][3:].any()
+
+
 def slow_score(symbols, network):
     w = network.weights
     line = [pseudo.EDGE] * 2 + symbols + [pseudo.EDGE] * 2
