@@ -16,10 +16,11 @@ network that reaches the driver keeps its size.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ STRIDE = 2
 BATCH = 2048
 RATE = 0.1
 
-#: Words counted, or symbols remembered, by a task before it starts anew.
+#: Symbols remembered by a task before it starts anew.
 HELD = 200_000
 
 #: Positions scored at once.
@@ -58,7 +59,8 @@ SCORED = 1 << 12
 #: Values of the network in one row of the exchange.
 SLICE = 1 << 13
 
-_TOKENS = re.compile(r"\w+|[^\w\s]")
+#: Characters cut into words at once; a longer text is cut alone.
+CUT = 1 << 19
 
 SHAPES = {
     "embed": (SYMBOLS, EMBEDDING),
@@ -71,8 +73,58 @@ SHAPES = {
 }
 
 
+@cache
+def kinds() -> np.ndarray:
+    """Of each code point: 0 for space, 1 for a part of a word, 2 for a mark, a word by itself."""
+    points = "".join(map(chr, range(sys.maxunicode + 1)))
+    found = np.full(len(points), 2, np.uint8)
+    for kind, pattern in enumerate((r"\s+", r"\w+")):
+        for run in re.finditer(pattern, points):
+            found[slice(*run.span())] = kind
+    return found
+
+
+def cut(texts: list[str | None]) -> Iterator[list[str]]:
+    """The lower-cased texts in runs of about `CUT` characters, the last one empty or not."""
+    run, size = [], 0
+    for text in texts:
+        run.append((text or "").lower())
+        size += len(run[-1])
+        if size >= CUT:
+            yield run
+            run, size = [], 0
+    yield run
+
+
+def words_in(lowered: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """Words of the texts, one after the other, and how many each text has."""
+    # The space after each text ends its last word.
+    points = np.frombuffer(" ".join([*lowered, ""]).encode("utf-32-le"), "<u4")
+    kind = kinds().take(points)
+    first, inside = kind == 2, kind == 1
+    first[:1] |= inside[:1]
+    first[1:] |= inside[1:] & ~inside[:-1]
+    starts = np.flatnonzero(first)
+    ends = np.cumsum([len(t) + 1 for t in lowered])
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+    real = kind > 0
+    letters, at = points[real], np.flatnonzero(first[real])
+    width = np.ones(len(letters), np.int32)
+    for least in (0x80, 0x800, 0x10000):
+        width += letters >= least
+    bounds = np.concatenate([[0], np.cumsum(width)])[np.append(at, len(letters))].astype(np.int32)
+    data = letters.tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(data)), counts
+
+
+def words_of(texts: list[str | None]) -> tuple[pa.ChunkedArray, np.ndarray]:
+    r"""`re.findall(r"\w+|[^\w\s]", text.lower())` of all texts in a row, and how many each has."""
+    words, counts = zip(*map(words_in, cut(texts)), strict=True)
+    return pa.chunked_array(words), np.concatenate(counts).astype(np.int64)
+
+
 def tokens_of(text: str | None) -> list[str]:
-    return _TOKENS.findall((text or "").lower())
+    return words_of([text])[0].to_pylist()
 
 
 class Symbols(dict):
@@ -94,21 +146,12 @@ def frequent_words(df: DataFrame, text: str) -> list[str]:
     """The most frequent words of all texts, at most `WORDS`, ties in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                ["word", "n"],
-            )
-
         for batch in batches:
-            for value in batch.column(0):
-                counts.update(tokens_of(value.as_py()))
-                if len(counts) > HELD:
-                    yield rows()
-                    counts.clear()
-        yield rows()
+            words, _ = words_of(batch.column(0).to_pylist())
+            found = words.value_counts()
+            yield pa.RecordBatch.from_arrays(
+                [found.field("values"), found.field("counts")], ["word", "n"]
+            )
 
     counted = df.select(text).mapInArrow(run, "word string, n long").groupBy("word")
     totals = counted.agg(F.sum("n").alias("n"))
@@ -121,18 +164,22 @@ def encoded(df: DataFrame, key: str, text: str, words: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(words)
         for batch in batches:
-            ids = [
-                np.array([symbols[w] for w in tokens_of(v.as_py())], "<u2").tobytes()
-                for v in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary())], ["key", "symbols"]
-            )
+            found, counts = words_of(batch.column(1).to_pylist())
+            found = found.dictionary_encode().combine_chunks()
+            known = np.array([symbols[w] for w in found.dictionary.to_pylist()], "<u2")
+            ends = np.concatenate([[0], np.cumsum(counts)]) * known.itemsize
+            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(known[found.indices])]
+            column = pa.BinaryArray.from_buffers(pa.binary(), len(counts), buffers)
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["key", "symbols"])
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key).alias("key"), text).mapInArrow(run, f"key {kind}, symbols binary")
 
 
+#: Where the pairs of values of each symbol lie in the flat embeddings.
+CELLS = np.arange(SYMBOLS * EMBEDDING // 2).reshape(SYMBOLS, EMBEDDING // 2)
+
+
 @dataclass
 class Network:
     """Weights by name, see `SHAPES`."""
@@ -160,91 +207,90 @@ class Network:
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, hidden layer with a column of ones for the biases, and scores of the classes."""
         w = self.weights
-        inputs = w["embed"][around].reshape(len(around), -1)
+        inputs = w["embed"].take(around, axis=0).reshape(len(around), -1)
         summed = inputs @ w["hidden"]
         summed += w["hidden_bias"]
         hidden = np.ones((len(around), HIDDEN + 1), summed.dtype)
         np.tanh(summed, out=hidden[:, :HIDDEN])
         return inputs, hidden, hidden @ np.vstack([w["classes"], w["class_bias"]])
 
-    def members(self, hidden: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def members(self, hidden: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
         """Scores of the members of the class of each row, the rows being in the order of classes."""
         w = self.weights
-        weights = np.concatenate([w["members"], w["member_bias"][:, None]], axis=1)
+        weights = list(np.concatenate([w["members"], w["member_bias"][:, None]], axis=1))
         found = np.empty((len(hidden), MEMBERS), hidden.dtype)
-        for c, rows in parts_of(bounds):
-            np.matmul(hidden[rows], weights[c], out=found[rows])
+        for c, rows in parts:
+            np.dot(hidden[rows], weights[c], found[rows])
         return found
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        order, bounds = in_classes(target)
-        target = target[order]
-        _, hidden, classes = self.forward(around[order])
-        members = self.members(hidden, bounds)
+        order, parts, group, member = in_classes(target)
+        _, hidden, classes = self.forward(around.take(order, axis=0))
+        logs = log_probability(classes, group)
+        logs += log_probability(self.members(hidden, parts), member)
         found = np.empty(len(target))
-        found[order] = log_probability(classes, target // MEMBERS).astype(np.float64)
-        found[order] += log_probability(members, target % MEMBERS)
+        found[order] = logs
         return found
 
     def learn(self, around: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray]) -> None:
         """One step of Adagrad on a batch of positions."""
         w, n = self.weights, len(target)
-        order, bounds = in_classes(target)
-        around, target = around[order], target[order]
+        order, parts, group, member = in_classes(target)
+        around = around.take(order, axis=0)
         inputs, hidden, classes = self.forward(around)
-        gap = softmax(classes)
-        gap[np.arange(n), target // MEMBERS] -= 1
-        miss = softmax(self.members(hidden, bounds))
-        miss[np.arange(n), target % MEMBERS] -= 1
-        held = np.flatnonzero(np.diff(bounds))
-        members = np.empty((len(held), HIDDEN + 1, MEMBERS), miss.dtype)
+        rows = np.arange(n)
+        gap = softmax(classes, 1 / n)
+        gap[rows, group] -= 1 / n
+        miss = softmax(self.members(hidden, parts), 1 / n)
+        miss[rows, member] -= 1 / n
+        # Classes without a target have no slope, and stay as they are.
+        members = np.zeros((CLASSES, HIDDEN + 1, MEMBERS), miss.dtype)
         back = np.empty((n, HIDDEN), miss.dtype)
-        for i, (c, rows) in enumerate(parts_of(bounds)):
-            part = miss[rows]
-            np.matmul(hidden[rows].T, part, out=members[i])
-            np.matmul(part, w["members"][c].T, out=back[rows])
+        slopes, weights, columns = list(members), list(w["members"].transpose(0, 2, 1)), hidden.T
+        for c, some in parts:
+            part = miss[some]
+            np.dot(columns[:, some], part, slopes[c])
+            np.dot(part, weights[c], back[some])
         back += gap @ w["classes"].T
-        active = hidden[:, :HIDDEN]
-        back *= 1 - active * active
-        into = (back @ w["hidden"].T).ravel()
-        cells = (around.reshape(-1, 1) * EMBEDDING + np.arange(EMBEDDING)).ravel()
-        embed = np.bincount(cells, into, SYMBOLS * EMBEDDING).reshape(SYMBOLS, EMBEDDING)
-        both = hidden.T @ gap
+        steep = np.square(hidden[:, :HIDDEN])
+        back *= np.subtract(1, steep, out=steep)
+        # Two values at a time, as the parts of a complex number.
+        pair = np.result_type(back.dtype, np.complex64)
+        embed = np.zeros((SYMBOLS, EMBEDDING), back.dtype)
+        into = (back @ w["hidden"].T).ravel().view(pair)
+        np.add.at(embed.reshape(-1).view(pair), CELLS.take(around, axis=0).ravel(), into)
+        both = columns @ gap
         slope = {
-            "embed": embed.astype(into.dtype),
+            "embed": embed,
             "hidden": inputs.T @ back,
             "hidden_bias": np.ones(n, back.dtype) @ back,
             "classes": both[:HIDDEN],
             "class_bias": both[HIDDEN],
+            "members": members[:, :HIDDEN].copy(),
+            "member_bias": members[:, HIDDEN].copy(),
         }
         for name, change in slope.items():
-            _step(w[name], sums[name], change, n)
-        # Classes without a target have no slope, and stay as they are.
-        for name, change in (("members", members[:, :HIDDEN]), ("member_bias", members[:, HIDDEN])):
-            if len(held) == CLASSES:
-                _step(w[name], sums[name], change, n)
-            else:
-                part, seen = w[name][held], sums[name][held]
-                _step(part, seen, change, n)
-                w[name][held], sums[name][held] = part, seen
+            _step(w[name], sums[name], change)
 
 
-def parts_of(bounds: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Each class that has rows, and which they are."""
-    ends = bounds.tolist()
-    return ((c, slice(a, b)) for c, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b)
+def in_classes(
+    target: np.ndarray,
+) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray, np.ndarray]:
+    """Rows in the order of the classes of their targets, and which of them each class has.
 
-
-def in_classes(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in the order of the classes of their targets, and where each class begins."""
+    Then, in that order, the classes of the targets and their places in them.
+    """
     group = (target // MEMBERS).astype(np.uint8)
+    order = np.argsort(group, kind="stable")
     counts = np.bincount(group, minlength=CLASSES)
-    return np.argsort(group, kind="stable"), np.concatenate([[0], np.cumsum(counts)])
+    ends = [0, *np.cumsum(counts).tolist()]
+    parts = [(c, slice(ends[c], ends[c + 1])) for c in np.flatnonzero(counts).tolist()]
+    group = group[order].astype(np.intp)
+    return order, parts, group, target[order] - group * MEMBERS
 
 
-def _step(weights: np.ndarray, sums: np.ndarray, change: np.ndarray, n: int) -> None:
-    """Adagrad in place; `change`, the slope summed over `n` positions, is used up."""
-    change /= n
+def _step(weights: np.ndarray, sums: np.ndarray, change: np.ndarray) -> None:
+    """Adagrad in place; `change`, the mean slope of the positions, is used up."""
     spread = change * change
     sums += spread
     np.add(sums, 1e-8, out=spread)
@@ -254,34 +300,33 @@ def _step(weights: np.ndarray, sums: np.ndarray, change: np.ndarray, n: int) ->
     weights -= change
 
 
-def raised(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
-    """Exponentials of the scores, in their place, less what was taken from them first.
+def raised(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Exponentials of the scores, the sums of their rows, and what was taken from the scores first.
 
-    Nothing is where none is far from 0; one shift for all rows does where no row lies
-    so far below it that its sum would vanish.
+    Nothing is, unless a sum comes near the ends of the range of a 32-bit number.
     """
-    most, least = scores.max(), scores.min()
-    if most < 30 and least > -30:
-        shift = scores.dtype.type(0)
-    else:
-        shift = most if most - least < 60 else scores.max(axis=1, keepdims=True)
-        scores -= shift
-    return np.exp(scores, out=scores), shift
-
-
-def softmax(scores: np.ndarray) -> np.ndarray:
-    """Of each row; `scores` are used up."""
-    found, _ = raised(scores)
-    found /= (found @ np.ones(scores.shape[1], scores.dtype))[:, None]
+    ones = np.ones(scores.shape[1], scores.dtype)
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = np.exp(scores)
+        total = found @ ones
+    if total.min() > 1e-30 and total.max() < 1e30:
+        return found, total, 0.0
+    shift = scores.max(axis=1)
+    found = np.exp(scores - shift[:, None])
+    return found, found @ ones, shift
+
+
+def softmax(scores: np.ndarray, times: float = 1.0) -> np.ndarray:
+    """Of each row, multiplied by `times`."""
+    found, total, _ = raised(scores)
+    found *= (times / total)[:, None]
     return found
 
 
 def log_probability(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at one column of it; `scores` are used up."""
-    chosen = scores[np.arange(len(at)), at]
-    found, shift = raised(scores)
-    total = found @ np.ones(scores.shape[1], scores.dtype)
-    return chosen - np.ravel(shift) - np.log(total)
+    """Logarithm of the softmax of each row at one column of it."""
+    _, total, shift = raised(scores)
+    return scores[np.arange(len(at)), at] - shift - np.log(total)
 
 
 def framed(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -148,3 +150,52 @@ def test_every_position_is_trained(spark):
     # Members of a class are moved by targets of that class only, and each target has one of its own.
     moved = pseudo.train(df).weights["member_bias"].any(axis=1)
     assert moved[:60].all() and not moved[60:].any()
+
+
+def plain_words(text):
+    return re.findall(r"\w+|[^\w\s]", (text or "").lower())
+
+
+@pytest.mark.parametrize("size", [1, 50, 1 << 19])
+def test_words_of_many_texts_are_those_of_each(monkeypatch, size):
+    monkeypatch.setattr(pseudo, "CUT", size)
+    rng = random.Random(2)
+    pool = [chr(c) for c in [*range(0x250), 0x130, 0x301, 0x3A3, 0x200D, 0x2028, 0x4E2D, 0x10400, 0x1F600]]
+    texts = ["".join(rng.choices(pool, k=rng.randrange(12))) for _ in range(500)]
+    texts += [None, "", "ΑΣ", "ΑΣ ΑΣ, a", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))]
+    words, counts = pseudo.words_of(texts)
+    assert words.to_pylist() == [w for t in texts for w in plain_words(t)]
+    assert counts.tolist() == [len(plain_words(t)) for t in texts]
+    assert pseudo.words_of([])[0].to_pylist() == []
+
+
+def test_counting_words_costs_less_than_one_by_one(spark):
+    from collections import Counter
+
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+
+    def seconds(count):
+        took = []
+        for _ in range(3):
+            start = time.process_time()
+            count()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    def one_by_one():
+        counts = Counter()
+        for text in texts:
+            counts.update(plain_words(text))
+
+    assert seconds(lambda: pseudo.words_of(texts)[0].value_counts()) < 0.8 * seconds(one_by_one)
+
+
+def test_a_step_with_repeated_neighbours_moves_each_symbol_by_all_of_them():
+    rng = np.random.default_rng(6)
+    around, target = rng.integers(0, 4, (300, 4)), rng.integers(0, 200, 300)
+    network = pseudo.Network.fresh()
+    before = network.weights["embed"].copy()
+    sums = {k: np.zeros(s, np.float32) for k, s in pseudo.SHAPES.items()}
+    network.learn(around, target, sums)
+    moved = (network.weights["embed"] != before).any(axis=1)
+    assert moved[:4].all() and not moved[4:].any() and not sums["embed"][4:].any()
