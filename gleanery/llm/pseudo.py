@@ -56,6 +56,9 @@ HELD = 200_000
 #: Positions scored at once.
 SCORED = 1 << 12
 
+#: Rows of a matrix product taken at once: numpy's small products cost half as much as its large ones.
+BLOCK = 128
+
 #: Values of the network in one row of the exchange.
 SLICE = 1 << 13
 
@@ -208,11 +211,11 @@ class Network:
         """Inputs, hidden layer with a column of ones for the biases, and scores of the classes."""
         w = self.weights
         inputs = w["embed"].take(around, axis=0).reshape(len(around), -1)
-        summed = inputs @ w["hidden"]
+        summed = product(inputs, w["hidden"])
         summed += w["hidden_bias"]
         hidden = np.ones((len(around), HIDDEN + 1), summed.dtype)
         np.tanh(summed, out=hidden[:, :HIDDEN])
-        return inputs, hidden, hidden @ np.vstack([w["classes"], w["class_bias"]])
+        return inputs, hidden, product(hidden, np.vstack([w["classes"], w["class_bias"]]))
 
     def members(self, hidden: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
         """Scores of the members of the class of each row, the rows being in the order of classes."""
@@ -220,7 +223,10 @@ class Network:
         weights = list(np.concatenate([w["members"], w["member_bias"][:, None]], axis=1))
         found = np.empty((len(hidden), MEMBERS), hidden.dtype)
         for c, rows in parts:
-            np.dot(hidden[rows], weights[c], found[rows])
+            if rows.stop - rows.start > 2 * BLOCK:
+                found[rows] = product(hidden[rows], weights[c])
+            else:
+                np.dot(hidden[rows], weights[c], found[rows])
         return found
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -249,20 +255,24 @@ class Network:
         slopes, weights, columns = list(members), list(w["members"].transpose(0, 2, 1)), hidden.T
         for c, some in parts:
             part = miss[some]
-            np.dot(columns[:, some], part, slopes[c])
-            np.dot(part, weights[c], back[some])
-        back += gap @ w["classes"].T
+            if len(part) > 2 * BLOCK:
+                slopes[c][:] = across(hidden[some], part)
+                back[some] = product(part, weights[c])
+            else:
+                np.dot(columns[:, some], part, slopes[c])
+                np.dot(part, weights[c], back[some])
+        back += product(gap, w["classes"].T)
         steep = np.square(hidden[:, :HIDDEN])
         back *= np.subtract(1, steep, out=steep)
         # Two values at a time, as the parts of a complex number.
         pair = np.result_type(back.dtype, np.complex64)
         embed = np.zeros((SYMBOLS, EMBEDDING), back.dtype)
-        into = (back @ w["hidden"].T).ravel().view(pair)
+        into = product(back, w["hidden"].T).ravel().view(pair)
         np.add.at(embed.reshape(-1).view(pair), CELLS.take(around, axis=0).ravel(), into)
-        both = columns @ gap
+        both = across(hidden, gap)
         slope = {
             "embed": embed,
-            "hidden": inputs.T @ back,
+            "hidden": across(inputs, back),
             "hidden_bias": np.ones(n, back.dtype) @ back,
             "classes": both[:HIDDEN],
             "class_bias": both[HIDDEN],
@@ -273,6 +283,25 @@ class Network:
             _step(w[name], sums[name], change)
 
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`a @ b`."""
+    b = np.ascontiguousarray(b)
+    found, whole = np.empty((len(a), b.shape[1]), a.dtype), len(a) // BLOCK * BLOCK
+    blocks = found[:whole].reshape(-1, BLOCK, b.shape[1])
+    np.matmul(a[:whole].reshape(-1, BLOCK, a.shape[1]), b, out=blocks)
+    np.matmul(a[whole:], b, out=found[whole:])
+    return found
+
+
+def across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`a.T @ b`."""
+    whole = len(a) // BLOCK * BLOCK
+    blocks = a[:whole].reshape(-1, BLOCK, a.shape[1]).transpose(0, 2, 1)
+    found = np.matmul(blocks, b[:whole].reshape(-1, BLOCK, b.shape[1])).sum(axis=0)
+    found += a[whole:].T @ b[whole:]
+    return found
+
+
 def in_classes(
     target: np.ndarray,
 ) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray, np.ndarray]:
@@ -329,15 +358,22 @@ def log_probability(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return scores[np.arange(len(at)), at] - shift - np.log(total)
 
 
-def framed(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of many texts with edges between, the places of the real ones, and their texts."""
+def framed(
+    symbols: list[bytes], first: int = 0, stride: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of many texts with edges between, places of real ones, and how many each text has.
+
+    The places are those of every `stride`-th symbol of a text, beginning with its `first`.
+    """
     edge = np.full(SIDE, EDGE, "<u2")
-    parts = [np.frombuffer(s, "<u2") for s in symbols]
-    line = np.concatenate([x for p in parts for x in (edge, p)] + [edge]).astype(np.int64)
-    lengths = np.array([len(p) for p in parts])
-    text = np.repeat(np.arange(len(parts)), lengths)
-    place = np.arange(len(text)) + SIDE * (text + 1)
-    return line, place, text
+    line = np.frombuffer(edge.tobytes().join([b"", *symbols, b""]), "<u2")
+    lengths = np.array([len(s) for s in symbols], np.int64) // edge.itemsize
+    starts = np.cumsum(lengths + SIDE) - lengths
+    counts = np.maximum(0, -((first - lengths) // stride))
+    before = np.cumsum(counts) - counts
+    place = np.repeat(starts + first - stride * before, counts)
+    place += stride * np.arange(len(place))
+    return line, place, counts
 
 
 def neighbours(line: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -345,11 +381,6 @@ def neighbours(line: np.ndarray, place: np.ndarray) -> np.ndarray:
     return line[place[:, None] + steps]
 
 
-def _in_text(text: np.ndarray) -> np.ndarray:
-    """Number of every word in its text, given the texts of the words in their order."""
-    return np.arange(len(text)) - np.searchsorted(text, text)
-
-
 def train(texts: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
     """The network after `rounds` over the encoded `texts`; untrained if they hold no words."""
     network = Network.fresh()
@@ -367,8 +398,7 @@ def _averaged(texts: DataFrame, start: np.ndarray, turn: int, stride: int) -> np
         sums = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
         draw = np.random.default_rng(turn)
         for batch in batches:
-            line, place, text = framed([s.as_py() for s in batch.column(0)])
-            place = place[_in_text(text) % stride == turn % stride]
+            line, place, _ = framed(batch.column(0).to_pylist(), turn % stride, stride)
             draw.shuffle(place)
             for at in range(0, len(place), BATCH):
                 some = place[at : at + BATCH]
@@ -413,15 +443,15 @@ def scores(texts: DataFrame, key: str, network: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network.of(start)
         for batch in batches:
-            line, place, text = framed([s.as_py() for s in batch.column(1)])
+            line, place, count = framed(batch.column(1).to_pylist())
+            text = np.repeat(np.arange(batch.num_rows), count)
             total = np.zeros(batch.num_rows)
             for at in range(0, len(place), SCORED):
                 some = place[at : at + SCORED]
                 found = model.log_probabilities(neighbours(line, some), line[some])
                 total += np.bincount(text[at : at + SCORED], found, batch.num_rows)
-            count = np.bincount(text, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count.astype(np.int64)), pa.array(total)],
+                [batch.column(0), pa.array(count), pa.array(total)],
                 ["key", "n_tokens", "log_probability"],
             )
 

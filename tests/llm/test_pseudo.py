@@ -199,3 +199,26 @@ def test_a_step_with_repeated_neighbours_moves_each_symbol_by_all_of_them():
     network.learn(around, target, sums)
     moved = (network.weights["embed"] != before).any(axis=1)
     assert moved[:4].all() and not moved[4:].any() and not sums["embed"][4:].any()
+
+
+@pytest.mark.parametrize("stride", [1, 2, 3])
+def test_places_of_all_strides_are_those_of_every_symbol_once(stride):
+    rng = random.Random(7)
+    texts = [[rng.randrange(pseudo.EDGE) for _ in range(n % 5)] for n in range(40)]
+    symbols = [np.array(t, "<u2").tobytes() for t in texts]
+    found = []
+    for first in range(stride):
+        line, place, counts = pseudo.framed(symbols, first, stride)
+        assert line[place].tolist() == [s for t in texts for s in t[first::stride]]
+        assert counts.tolist() == [len(t[first::stride]) for t in texts]
+        found += place.tolist()
+    real = np.flatnonzero(line != pseudo.EDGE)
+    assert sorted(found) == real.tolist() and line[:2].tolist() == line[-2:].tolist() == [pseudo.EDGE] * 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 300])
+def test_products_in_blocks(n):
+    rng = np.random.default_rng(8)
+    a, b, c = rng.standard_normal((n, 5)), rng.standard_normal((5, 3)), rng.standard_normal((n, 4))
+    assert np.allclose(pseudo.product(a, b), a @ b)
+    assert np.allclose(pseudo.across(a, c), a.T @ c)
