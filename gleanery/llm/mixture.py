@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.tokens import ByteTokenizer
-from gleanery.scale import written
+from gleanery.scale import WIDE_ROWS, written
 
 WINDOW = 1024
 
@@ -362,7 +362,7 @@ def pack(
     """
     kind = df.schema[key].dataType.simpleString()
     names = {f"piece_{c}" if c.lower() == key.lower() else c: t for c, t in _PIECE.items()}
-    blocks = written(encoded_blocks(df, key, text, source, tokenizer, block_ids), "blocks")
+    blocks = written(encoded_blocks(df, key, text, source, tokenizer, block_ids), "blocks", WIDE_ROWS)
     counted = blocks.select(F.inline(F.arrays_zip(F.col("sources").alias("queue"), F.col("counts").alias("n"))))
     totals = {r.queue: r.n for r in counted.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     named = None if targets is None else {f"={name}": weight for name, weight in targets.items()}

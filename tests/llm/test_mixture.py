@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from gleanery import scale
 from gleanery.llm import mixture
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +65,30 @@ def test_odd_rows(spark):
     assert {p.source for p in pieces} == {"s", None}
 
 
+def test_blocks_are_stored_in_small_row_groups(spark, monkeypatch):
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    rows = [(n, "".join(rng.choices(letters, k=500_000)), "s") for n in range(24)]
+    tables = {}
+
+    def kept(df, label, *rest):
+        tables[label] = scale.written(df, label, *rest)
+        return tables[label]
+
+    monkeypatch.setattr(mixture, "written", kept)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    pieces = mixture.pack(df, "doc_id", "text", "source", PATH)
+    lengths = {r.doc_id: (r.n, r.all) for r in pieces.groupBy("doc_id").agg(
+        F.sum("length").alias("n"), F.max("doc_tokens").alias("all")
+    ).collect()}
+    assert set(lengths) == set(range(24)) and all(n == every for n, every in lengths.values())
+    (file,) = [f.removeprefix("file://") for f in tables["blocks"].inputFiles()]
+    stored = pq.ParquetFile(file).metadata
+    sizes = [stored.row_group(n).total_byte_size for n in range(stored.num_row_groups)]
+    # A page is no larger than its row group, and that one block at most over its limit.
+    assert sum(sizes) > 12 << 20 and max(sizes) < 11 << 20
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixture.pack(df, "doc_id", "text", "source", PATH).count() == 0
